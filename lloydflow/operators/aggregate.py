@@ -147,3 +147,51 @@ def members(assigned: DataFrame, x: str = "x", y: str = "y", keep: Sequence[str]
     return assigned.join(F.broadcast(avg), "center_rank").select(
         *keep, "center_x", "center_y", "avg_x", "avg_y", "n_members", x, y, point_text(x, y).alias("member")
     )
+
+
+def _qi(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def seeded_stats(assigned: DataFrame, centers: DataFrame, mode: str = "combined", rank_col: str = "center_rank",
+                 x: str = "x", y: str = "y", weight: str | None = None) -> DataFrame:
+    """O3 + A1: UNION ALL of one seed row per centre and the assigned points, grouped by centre.
+
+    This is the reference's own plan — every centre contributes a dummy record so
+    an empty cluster still reaches the aggregate — expressed as a union with a
+    k-row local relation.  No join: the seed rows carry the old coordinates.
+    Catalyst aggregates partially in every map task, so only ≤ k rows per task
+    are shuffled.  Returns ``center_rank, old_x, old_y, sum_x, sum_y, n, n_points``.
+    """
+    _mode(mode)
+    w = f"CAST({_qi(weight)} AS BIGINT)" if weight else None
+    pts = assigned.selectExpr(
+        f"{_qi(rank_col)} AS center_rank", "CAST(NULL AS INT) AS old_x", "CAST(NULL AS INT) AS old_y",
+        f"{_qi(x)} AS x", f"{_qi(y)} AS y", f"{w if w else 'CAST(1 AS BIGINT)'} AS w",
+    )
+    seed = centers.selectExpr("rank AS center_rank", "x AS old_x", "y AS old_y", "CAST(NULL AS INT) AS x",
+                              "CAST(NULL AS INT) AS y", "CAST(NULL AS BIGINT) AS w")
+    inc = "x IS NOT NULL AND x <> -1" if mode == "plain" else "x IS NOT NULL"
+    if w:
+        sums = [f"sum(CASE WHEN {inc} THEN CAST(x AS BIGINT) * w END) AS sum_x",
+                f"sum(CASE WHEN {inc} THEN CAST(y AS BIGINT) * w END) AS sum_y",
+                f"sum(CASE WHEN {inc} THEN w END) AS n", "sum(w) AS n_points"]
+    else:
+        sums = [f"sum(CASE WHEN {inc} THEN x END) AS sum_x", f"sum(CASE WHEN {inc} THEN y END) AS sum_y",
+                f"count(CASE WHEN {inc} THEN 1 END) AS n", "count(x) AS n_points"]
+    return seed.unionByName(pts).groupBy("center_rank").agg(
+        F.expr("max(old_x)").alias("old_x"), F.expr("max(old_y)").alias("old_y"),
+        *[F.expr(s.rsplit(" AS ", 1)[0]).cast("long").alias(s.rsplit(" AS ", 1)[1]) for s in sums],
+    )
+
+
+def finalize_stats(stats: DataFrame, mode: str = "combined") -> DataFrame:
+    """F5 + F9 on seeded statistics → ``rank, new_x, new_y, old_x, old_y, n_points``."""
+    _mode(mode)
+    keep = "coalesce(sum_x, 0) = 0" if mode == "plain" else "coalesce(n, 0) = 0"
+    return stats.selectExpr(
+        "center_rank AS rank",
+        f"CASE WHEN {keep} THEN old_x ELSE CAST(sum_x div n AS INT) END AS new_x",
+        f"CASE WHEN {keep} THEN old_y ELSE CAST(sum_y div n AS INT) END AS new_y",
+        "old_x", "old_y", "coalesce(n_points, 0) AS n_points",
+    )

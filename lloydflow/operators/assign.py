@@ -4,13 +4,15 @@ Each point gets the centre with the smallest distance; on equal distance the
 centre that comes first in the list (lowest rank) wins, as the reference's
 strict ``<`` scan does.  The centre list is small and bounded, so it is bound
 into the plan rather than joined: no ``Exchange`` and no pairing of rows —
-assignment is one narrow projection over the points.
+assignment is a narrow projection over the points.
 
 Two physical forms, same results:
 
-* ``unrolled`` (k ≤ ``UNROLL_LIMIT``): ``least(struct(d², rank, …), …)`` over literal
-  centres.  Structs compare field by field, so equal d² falls back to rank.  The
-  whole expression stays inside whole-stage codegen.
+* ``unrolled`` (k ≤ ``UNROLL_LIMIT``): one exact squared distance per centre, their
+  ``least``, then ``CASE WHEN d0 = m THEN 0 WHEN d1 = m THEN 1 …`` — the first
+  branch that reaches the minimum is the lowest rank.  All primitive doubles in
+  whole-stage codegen, no per-row objects.  Expressions are handed to Spark as
+  SQL text (one call), not built column by column from Python.
 * ``vectorized``: an Arrow-batched pandas UDF doing the arg-min with numpy, in row
   chunks so the distance block stays small; ``argmin`` returns the first minimum,
   i.e. the lowest rank.
@@ -29,7 +31,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.constants import FAR_SQUARED, INITIAL_BEST_DISTANCE, MAX_CENTERS, UNROLL_LIMIT
-from ..functions.geometry import squared_distance
 
 Ranked = Sequence[tuple[int, int, int]]
 
@@ -57,17 +58,42 @@ def _check(ranked: Ranked) -> None:
         raise ValueError("centres must be in strictly increasing rank order")
 
 
-def _unrolled(ranked: Ranked, x: str, y: str, with_coords: bool) -> Column:
-    candidates = []
-    for rank, cx, cy in ranked:
-        parts = [squared_distance(x, y, cx, cy).alias("d2"), F.lit(rank).alias("rank")]
-        if with_coords:
-            parts += [F.lit(cx).alias("x"), F.lit(cy).alias("y")]
-        candidates.append(F.struct(*parts))
-    return candidates[0] if len(candidates) == 1 else F.least(*candidates)
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def squared_distance_sql(x: str, y: str, cx: int, cy: int) -> str:
+    """Exact squared distance to a literal centre, as SQL text (DOUBLE, no wrap)."""
+    dx = f"(CAST({_q(x)} AS DOUBLE) - {float(cx)!r}D)"
+    dy = f"(CAST({_q(y)} AS DOUBLE) - {float(cy)!r}D)"
+    return f"({dx} * {dx} + {dy} * {dy})"
+
+
+def _far_checked(min_d2: str, rank_sql: str) -> str:
+    # The coalesce never applies (raise_error fires first); it keeps the column
+    # non-nullable so Catalyst infers no isnotnull filter that would repeat the search.
+    msg = _FAR_MESSAGE.replace("'", "\\'")
+    return (f"coalesce(CASE WHEN {min_d2} >= {FAR_SQUARED!r}D THEN CAST(raise_error('{msg}') AS INT) "
+            f"ELSE {rank_sql} END, -1)")
+
 
+def _unrolled(points: DataFrame, ranked: Ranked, x: str, y: str, rank_col: str, with_coords: bool) -> DataFrame:
+    keep = [_q(c) for c in points.columns]
+    dcols = [f"__d{r}" for r, _, _ in ranked]
+    step1 = points.selectExpr(*keep, *[f"{squared_distance_sql(x, y, cx, cy)} AS {d}"
+                                       for d, (_, cx, cy) in zip(dcols, ranked)])
+    least = dcols[0] if len(dcols) == 1 else "least(" + ", ".join(dcols) + ")"
+    step2 = step1.selectExpr(*keep, *dcols, f"{least} AS __m")
+    first = "CASE " + " ".join(f"WHEN {d} = __m THEN {r}" for d, (r, _, _) in zip(dcols, ranked)) + " END"
+    out = [*keep, f"{_far_checked('__m', first)} AS {_q(rank_col)}"]
+    if with_coords:
+        for i, name in ((1, "x"), (2, "y")):
+            branches = " ".join(f"WHEN {d} = __m THEN {c[i]}" for d, c in zip(dcols, ranked))
+            out.append(f"CASE {branches} END AS {_q(rank_col.replace('rank', name))}")
+    return step2.selectExpr(*out)
 
-def _vectorized(ranked: Ranked, x: str, y: str, with_coords: bool) -> Column:
+
+def _nearest_udf(ranked: Ranked, with_coords: bool):
     ranks = np.array([r for r, _, _ in ranked], dtype=np.int32)
     cxi = np.array([c for _, c, _ in ranked], dtype=np.int32)
     cyi = np.array([c for _, _, c in ranked], dtype=np.int32)
@@ -99,35 +125,26 @@ def _vectorized(ranked: Ranked, x: str, y: str, with_coords: bool) -> Column:
             out["y"] = cyi[idx]
         return pd.DataFrame(out)
 
-    return nearest_centre(F.col(x), F.col(y))
-
-
-def nearest_struct(ranked: Ranked, x: str = "x", y: str = "y", with_coords: bool = False,
-                   strategy: str = "auto") -> Column:
-    """``struct<d2, rank[, x, y]>`` of the nearest centre for each point."""
-    _check(ranked)
-    form = choose_strategy(len(ranked), strategy)
-    return (_unrolled if form == "unrolled" else _vectorized)(ranked, x, y, with_coords)
-
+    return nearest_centre
 
-def _checked_rank(best: str) -> Column:
-    """The nearest rank, failing the query for a point with no centre.
 
-    The outer ``coalesce`` never applies (the error is raised first); it makes the
-    column non-nullable, so Catalyst infers no ``isnotnull`` filter from the later
-    join — such a filter would evaluate the whole nearest-centre search twice.
-    """
-    far = F.col(f"{best}.d2") >= F.lit(FAR_SQUARED)
-    rank = F.when(far, F.raise_error(F.lit(_FAR_MESSAGE)).cast("int")).otherwise(F.col(f"{best}.rank"))
-    return F.coalesce(rank, F.lit(-1))
+def _vectorized(points: DataFrame, ranked: Ranked, x: str, y: str, rank_col: str, with_coords: bool) -> DataFrame:
+    keep = [_q(c) for c in points.columns]
+    udf = _nearest_udf(ranked, with_coords)
+    step1 = points.select(*points.columns, udf(F.col(x), F.col(y)).alias("__nearest"))
+    out = [*keep, f"{_far_checked('__nearest.d2', '__nearest.rank')} AS {_q(rank_col)}"]
+    if with_coords:
+        out += [f"__nearest.x AS {_q(rank_col.replace('rank', 'x'))}",
+                f"__nearest.y AS {_q(rank_col.replace('rank', 'y'))}"]
+    return step1.selectExpr(*out)
 
 
 def assign_rank(points: DataFrame, ranked: Ranked, x: str = "x", y: str = "y", strategy: str = "auto",
                 rank_col: str = "center_rank") -> DataFrame:
     """J1 core: add the rank of the nearest centre (all other columns kept)."""
-    best = "__nearest"
-    with_best = points.withColumn(best, nearest_struct(ranked, x, y, False, strategy))
-    return with_best.withColumn(rank_col, _checked_rank(best)).drop(best)
+    _check(ranked)
+    form = choose_strategy(len(ranked), strategy)
+    return (_unrolled if form == "unrolled" else _vectorized)(points, ranked, x, y, rank_col, False)
 
 
 def assign(points: DataFrame, ranked: Ranked, x: str = "x", y: str = "y", strategy: str = "auto",
@@ -137,11 +154,17 @@ def assign(points: DataFrame, ranked: Ranked, x: str = "x", y: str = "y", strate
     Used for the final listing (J3): only points are listed, so centres without
     points do not appear.
     """
-    best = "__nearest"
-    with_best = points.withColumn(best, nearest_struct(ranked, x, y, True, strategy))
-    return with_best.select(
-        *points.columns,
-        _checked_rank(best).alias(f"{prefix}rank"),
-        F.col(f"{best}.x").alias(f"{prefix}x"),
-        F.col(f"{best}.y").alias(f"{prefix}y"),
-    )
+    _check(ranked)
+    form = choose_strategy(len(ranked), strategy)
+    return (_unrolled if form == "unrolled" else _vectorized)(points, ranked, x, y, f"{prefix}rank", True)
+
+
+def nearest_struct(ranked: Ranked, x: str = "x", y: str = "y") -> Column:
+    """``struct<d2, rank>`` of the nearest centre as one Column (for ad-hoc use).
+
+    ``least`` over ``(d², rank)`` structs compares d² first, then rank — the same
+    tie rule as the projections above.
+    """
+    _check(ranked)
+    parts = ", ".join(f"named_struct('d2', {squared_distance_sql(x, y, cx, cy)}, 'rank', {r})" for r, cx, cy in ranked)
+    return F.expr(parts if len(ranked) == 1 else f"least({parts})")

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.constants import MODES, STABILITY_THRESHOLD, STATUS_CONVERGED
-from ..operators.aggregate import apply_stats, cluster_stats
+from ..operators.aggregate import finalize_stats, seeded_stats
 from ..operators.assign import assign, assign_rank
 from ..operators.convergence import status_of
 from ..operators.ordering import text_key
@@ -45,9 +45,9 @@ def _step(points: DataFrame, ranked: Sequence[tuple[int, int, int]], mode: str,
           x: str, y: str, weight: str | None) -> DataFrame:
     cols = [x, y] + ([weight] if weight else [])
     assigned = assign_rank(points.select(*cols), ranked, x, y, strategy)
-    stats = cluster_stats(assigned, mode, x=x, y=y, weight=weight)
-    result = apply_stats(stats, centers_frame(points.sparkSession, ranked), mode)
-    return result.select(F.lit(iteration).alias("iteration"), "rank", "new_x", "new_y", "old_x", "old_y", "n_points")
+    stats = seeded_stats(assigned, centers_frame(points.sparkSession, ranked), mode, x=x, y=y, weight=weight)
+    return finalize_stats(stats, mode).selectExpr(
+        f"CAST({int(iteration)} AS INT) AS iteration", "rank", "new_x", "new_y", "old_x", "old_y", "n_points")
 
 
 def step(points: DataFrame, centers, mode: str = "combined", iteration: int = 1, strategy: str = "auto",
@@ -155,6 +155,13 @@ def fit(points: DataFrame, centers, iterations: int = 1, mode: str = "combined",
     cols = [x, y] + ([weight] if weight else [])
     pts = points.select(*cols)
     if persist:
+        # The points are read R times.  An input with fewer partitions than the
+        # cluster has cores (one big file, few row groups) is spread once before
+        # caching; a real-size input already has enough partitions and is cached
+        # as read, without a shuffle.
+        cores = spark.sparkContext.defaultParallelism
+        if pts.rdd.getNumPartitions() < cores:
+            pts = pts.repartition(cores)
         pts = pts.persist(StorageLevel.MEMORY_AND_DISK)
     out = FitResult(spark, mode, stop, threshold)
     try:
