@@ -31,8 +31,9 @@ from ..sources.centers import (
     read_result,
     read_status_centers,
 )
-from ..sources.points import collapse_points, parse_point_lines, read_assignments, read_points
-from ..sources.sinks import iteration_path
+from ..sources.points import collapse_points, parse_point_lines, points_from, read_assignments, read_points
+from ..sources.sinks import assignment_lines, iteration_path, result_lines, status_lines
+from ..streaming.clusters import assign_stream, read_table_stream, running_step, write_stream
 from .lloyd import fit, prepare_centers, step
 from .workload import K5, K5F, KDUP, KE, KT, LATTICE_60, points_c, points_e, points_l, table
 
@@ -359,5 +360,55 @@ def sink_roundtrip_assignment(spark, d):
     return read_assignments(spark, iteration_path(prefix, "Final"))
 
 
+@query
+def result_text_lines(spark, d):
+    """S6 rendering: ``newX,newY<TAB>oldX,oldY`` per centre."""
+    return result_lines(step(points_l(spark, d), K5, "plain")).select("key", "value")
+
+
+@query
+def status_text_lines(spark, d):
+    """S7 rendering: the status line, then one ``x,y`` line per new centre."""
+    res = fit(points_c(spark, d), K5, iterations=2, mode="combined")
+    last = res.iterations[-1]
+    return status_lines(res.result(), last.status).select("part", "key", "value")
+
+
+@query
+def assignment_text_lines(spark, d):
+    """S8 rendering: ``cx,cy<TAB>x,y `` per point."""
+    a = assign(points_l(spark, d), prepare_centers(K5))
+    return assignment_lines(a).select("key", "x", "y", "value")
+
+
+# ---------------------------------------------------------------- streaming
+
+def _stream_points(spark, d, name, project):
+    schema = table(spark, d, name).schema
+    stream = read_table_stream(spark, f"{d.rstrip('/')}/{name}.parquet*", schema, base_path=d)
+    return project(stream)
+
+
+@query
+def stream_assign(spark, d):
+    """J3 on a stream of customer rows, appended to files and read back."""
+    pts = _stream_points(spark, d, "customer", lambda s: points_from(
+        s, F.floor(F.col("c_acctbal")), (F.col("c_custkey") * 37) % 10000, keep=("c_custkey",)))
+    out = scratch_path(spark, "stream-assign")
+    write_stream(assign_stream(pts, K5), out).awaitTermination()
+    return spark.read.parquet(out).select("c_custkey", "x", "y", "center_rank", "center_x", "center_y")
+
+
+@query
+def stream_running_step(spark, d):
+    """A plain-mode step kept current over a stream of event rows."""
+    pts = _stream_points(spark, d, "events", lambda s: points_from(
+        s, (F.col("user_id") % 9) - 4, F.floor(F.col("value"))))
+    out = scratch_path(spark, "stream-step")
+    running_step(pts, KE, out, mode="plain").awaitTermination()
+    return spark.read.parquet(out).select(F.lit(1).alias("iteration"), "rank", "new_x", "new_y", "old_x", "old_y",
+                                          "n_points")
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)

@@ -249,4 +249,22 @@ def oracle_sql() -> dict[str, str]:
     ch = Chain(C, K5).iterate(2)
     ch.assign("fa", "c3")
     q["sink_roundtrip_assignment"] = ch.sql("SELECT cx AS center_x, cy AS center_y, x, y FROM fa")
+    q["result_text_lines"] = Chain(L, K5, "plain").iterate().sql(
+        f"SELECT {_text('old_x', 'old_y')} AS key, {_text('new_x', 'new_y')} || chr(9) || {_text('old_x', 'old_y')} "
+        f"AS value FROM r1"
+    )
+    q["status_text_lines"] = Chain(C, K5).iterate(2).sql(
+        f"SELECT 0 AS part, '' AS key, {STATUS_SQL.format(stable=f'{_move()} < {THRESHOLD}')} AS value FROM r2 "
+        f"UNION ALL SELECT 1 AS part, {_text('old_x', 'old_y')} AS key, {_text('new_x', 'new_y')} AS value FROM r2"
+    )
+    ch = Chain(L, K5)
+    ch.assign("a", "c1")
+    q["assignment_text_lines"] = ch.sql(
+        f"SELECT {_text('cx', 'cy')} AS key, x, y, {_text('cx', 'cy')} || chr(9) || {_text('x', 'y')} || ' ' AS value "
+        f"FROM a"
+    )
+
+    # --- streaming: the same operators, run to completion over a file stream ------
+    q["stream_assign"] = assign_sql(C, K5, "c_custkey")
+    q["stream_running_step"] = step_sql(E, KE, "plain")
     return q
