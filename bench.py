@@ -39,7 +39,9 @@ def main() -> None:
     L = points_l(spark, SF_DIR).select("x", "y")
     C = points_c(spark, SF_DIR).select("x", "y")
     E = points_e(spark, SF_DIR).select("x", "y")
+    k30 = lattice(30)
     k100 = lattice(100)
+    k1000 = lattice(1000, cols=40, x0=-1000, dx=300, y0=0, dy=400)
 
     step(L, K5).collect()  # warm-up
 
@@ -48,7 +50,9 @@ def main() -> None:
         "step_plain_L_k5": lambda: step(L, K5, "plain").collect(),
         "step_plain_E_sentinel": lambda: step(E, KE, "plain").collect(),
         "step_collapsed_E": lambda: step(collapse_points(E), KE, "plain", weight="weight").collect(),
+        "step_combined_L_k30": lambda: step(L, k30, "combined").collect(),
         "step_combined_L_k100": lambda: step(L, k100, "combined").collect(),
+        "step_combined_L_k1000": lambda: step(L, k1000, "combined").collect(),
         "assign_L_k5": lambda: drain(assign(L, prepare_centers(K5))),
         "fit_fixed_plain_L_R5": lambda: fit(L, K5, iterations=5, mode="plain"),
         "fit_fixed_combined_L_R5": lambda: fit(L, K5, iterations=5, mode="combined"),

@@ -13,9 +13,11 @@ Two physical forms, same results:
   branch that reaches the minimum is the lowest rank.  All primitive doubles in
   whole-stage codegen, no per-row objects.  Expressions are handed to Spark as
   SQL text (one call), not built column by column from Python.
-* ``vectorized``: an Arrow-batched pandas UDF doing the arg-min with numpy, in row
-  chunks so the distance block stays small; ``argmin`` returns the first minimum,
-  i.e. the lowest rank.
+* ``vectorized``: an Arrow-batched pandas UDF doing the arg-min with numpy;
+  ``argmin`` returns the first minimum, i.e. the lowest rank.  From 128 centres
+  on, each point only scans the exact candidate list of its grid cell (see
+  ``candidate_grid``), so the work per point stays near-constant as k grows;
+  points outside the grid scan all centres in row blocks.
 
 A point whose distance to every centre is at least 2147483647 has no centre in
 the reference (the job fails); both forms fail the query for such a point.
@@ -27,17 +29,22 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.constants import FAR_SQUARED, INITIAL_BEST_DISTANCE, MAX_CENTERS, UNROLL_LIMIT
+from . import nearest_kernel
+from .nearest_kernel import candidate_grid, nearest_indices
+
+# The UDF below calls the numpy kernel; ship that module by value so executors
+# need no installed copy of this package.
+cloudpickle.register_pickle_by_value(nearest_kernel)
 
 Ranked = Sequence[tuple[int, int, int]]
 
 _FAR_MESSAGE = f"point is at distance >= {INITIAL_BEST_DISTANCE} from every centre"
 
-# Distance cells computed per numpy block in the vectorised form (~32 MB of doubles).
-_BLOCK_CELLS = 1 << 22
 
 
 def choose_strategy(k: int, strategy: str = "auto") -> str:
@@ -99,7 +106,7 @@ def _nearest_udf(ranked: Ranked, with_coords: bool):
     cyi = np.array([c for _, _, c in ranked], dtype=np.int32)
     cx = cxi.astype(np.float64)
     cy = cyi.astype(np.float64)
-    rows_per_block = max(1, _BLOCK_CELLS // len(ranked))
+    grid = candidate_grid(cx, cy)  # built once on the driver, shipped with the function
     out_type = "d2 double, rank int, x int, y int" if with_coords else "d2 double, rank int"
 
     @F.pandas_udf(out_type)
@@ -108,17 +115,7 @@ def _nearest_udf(ranked: Ranked, with_coords: bool):
         py = ys.to_numpy(dtype=np.float64, na_value=np.nan)
         if np.isnan(px).any() or np.isnan(py).any():
             raise ValueError("point coordinate is NULL")
-        idx = np.empty(len(px), dtype=np.int64)
-        best = np.empty(len(px), dtype=np.float64)
-        for start in range(0, len(px), rows_per_block):
-            stop = start + rows_per_block
-            dx = px[start:stop, None] - cx[None, :]
-            dy = py[start:stop, None] - cy[None, :]
-            d2 = dx * dx
-            d2 += dy * dy
-            i = d2.argmin(axis=1)
-            idx[start:stop] = i
-            best[start:stop] = d2[np.arange(len(i)), i]
+        idx, best = nearest_indices(px, py, cx, cy, grid)
         out = {"d2": best, "rank": ranks[idx]}
         if with_coords:
             out["x"] = cxi[idx]

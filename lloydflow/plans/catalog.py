@@ -35,7 +35,7 @@ from ..sources.points import collapse_points, parse_point_lines, points_from, re
 from ..sources.sinks import assignment_lines, iteration_path, result_lines, status_lines
 from ..streaming.clusters import assign_stream, read_table_stream, running_step, write_stream
 from .lloyd import fit, prepare_centers, step
-from .workload import K5, K5F, KDUP, KE, KT, LATTICE_60, points_c, points_e, points_l, table
+from .workload import K5, K5F, KDUP, KE, KT, LATTICE_60, LATTICE_200, points_c, points_e, points_l, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -213,6 +213,12 @@ def step_large_k(spark, d):
     return step(points_c(spark, d), LATTICE_60, "combined").select(*STEP_COLS)
 
 
+@query
+def step_grid_k200(spark, d):
+    """200 lattice centres over lineitem: the vectorised search with its candidate grid."""
+    return step(points_l(spark, d), LATTICE_200, "combined").select(*STEP_COLS)
+
+
 @query
 def preserve_empty(spark, d):
     return step(points_c(spark, d), K5F, "combined").select(*STEP_COLS)

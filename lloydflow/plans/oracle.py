@@ -16,6 +16,7 @@ from .workload import (
     KE,
     KT,
     LATTICE_60,
+    LATTICE_200,
     POINTS_C_SQL,
     POINTS_E_SQL,
     POINTS_L_SQL,
@@ -177,6 +178,7 @@ def oracle_sql() -> dict[str, str]:
     q["step_combined_sentinel"] = step_sql(E, KE, "combined")
     q["step_collapsed_sentinel"] = step_sql(E, KE, "plain")
     q["step_large_k"] = step_sql(C, LATTICE_60, "combined")
+    q["step_grid_k200"] = step_sql(L, LATTICE_200, "combined")
     q["preserve_empty"] = step_sql(C, K5F, "combined")
     q["dup_centers_collapse"] = step_sql(C, KDUP, "combined")
 

@@ -72,10 +72,12 @@ def write_assignments(assigned: DataFrame, path: str, fmt: str = "text", sort: b
     if fmt == "parquet":
         out = assigned.select("center_x", "center_y", "x", "y")
         if sort:
-            out = out.orderBy(center_text("center_x", "center_y"), "x", "y")
+            out = out.orderBy(center_text("center_x", "center_y"), "x", "y", F.monotonically_increasing_id())
         out.write.mode("errorifexists").parquet(path)
         return
     lines = assignment_lines(assigned)
     if sort:
-        lines = lines.orderBy("key", "x", "y")
+        # The row id only breaks ties between identical lines, so that even one
+        # point repeated across a third of the input is range-split over many tasks.
+        lines = lines.orderBy("key", "x", "y", F.monotonically_increasing_id())
     lines.select("value").write.mode("errorifexists").text(path)

@@ -62,3 +62,28 @@ def test_extra_columns_kept(spark):
     df = spark.createDataFrame([(7, 1, 2, "a")], "id BIGINT, x INT, y INT, tag STRING")
     r = assign(df, prepare_centers([(0, 0)])).collect()[0]
     assert (r.id, r.tag, r.center_x, r.center_y) == (7, "a", 0, 0)
+
+
+def test_candidate_grid_is_exact():
+    from lloydflow.operators.nearest_kernel import _blocks, candidate_grid, nearest_indices
+
+    rng = np.random.default_rng(7)
+    for k, span, pspan in [(130, 20, 40), (500, 3000, 9000), (300, 100000, 50)]:
+        cx = rng.integers(-span, span, k).astype(float)
+        cy = rng.integers(-span, span, k).astype(float)
+        cx[:5], cy[:5] = cx[5:10], cy[5:10]  # duplicate centres
+        px = rng.integers(-pspan, pspan, 20000).astype(float)
+        py = rng.integers(-pspan, pspan, 20000).astype(float)
+        grid = candidate_grid(cx, cy)
+        assert grid is not None
+        got = nearest_indices(px, py, cx, cy, grid)
+        want = _blocks(px, py, cx, cy, 1000)
+        assert np.array_equal(got[0], want[0]) and np.array_equal(got[1], want[1])
+
+
+def test_grid_path_in_spark_matches_brute_force(spark):
+    pts, _ = _data(11, 3000, 1, 3000)
+    ctr = lattice(200, cols=20, x0=-2500, dx=250, y0=-2500, dy=500)
+    df = spark.createDataFrame(pts, "x INT, y INT")
+    got = sorted((r.center_x, r.center_y, r.x, r.y) for r in assign(df, prepare_centers(ctr)).collect())
+    assert got == brute.assignment(pts, ctr)

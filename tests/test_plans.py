@@ -44,5 +44,7 @@ def test_nearest_search_evaluated_once(spark):
 
 def test_step_plan_size_constant_across_iterations(spark):
     pts = points_l(spark, SF_SMALL).select("x", "y")
-    sizes = [len(_plan(step(pts, [(x + i, y) for x, y in K5], iteration=i + 1))) for i in range(3)]
-    assert max(sizes) - min(sizes) < 64
+    # expression ids and centre literals differ between rounds; the plan otherwise must not
+    shapes = {re.sub(r"\d+", "0", _plan(step(pts, [(x + 7 * i, y) for x, y in K5], iteration=i + 1)))
+              for i in range(3)}
+    assert len(shapes) == 1
