@@ -25,7 +25,7 @@ from ..operators.assign import assign, assign_rank
 from ..operators.convergence import status_of
 from ..operators.ordering import text_key
 from ..sources.centers import as_center_list, centers_frame, ranked_distinct
-from ..session import local_frame
+from ..session import local_frame, scratch_path
 from ..sources.sinks import iteration_path, write_assignments, write_result, write_status
 
 STOP_RULES = ("none", "any", "all")
@@ -131,7 +131,7 @@ class FitResult:
 
 def fit(points: DataFrame, centers, iterations: int = 1, mode: str = "combined", stop: str = "none",
         threshold: int = STABILITY_THRESHOLD, strategy: str = "auto", x: str = "x", y: str = "y",
-        weight: str | None = None, persist: bool = True, output_prefix: str | None = None,
+        weight: str | None = None, persist: bool | str = True, output_prefix: str | None = None,
         status_files: bool = False, final_listing: bool = False) -> FitResult:
     """Run Lloyd iterations under one of the reference's policies.
 
@@ -143,6 +143,13 @@ def fit(points: DataFrame, centers, iterations: int = 1, mode: str = "combined",
     to ``prefix + r`` — result lines, or status-headed centre lines when
     ``status_files`` — and with ``final_listing`` the point listing goes to
     ``prefix + "Final"`` (I7, S9).
+
+    ``persist`` decides how the R passes read the points: ``True`` / ``"cache"``
+    keeps the projected points in memory and disk (lost blocks are recomputed
+    from the source); ``"table"`` writes them once as parquet under the shared
+    ``spark.checkpoint.dir`` folder and reads that table every round — lineage
+    cut, nothing to recompute if an executor is lost, best for expensive sources
+    such as large text inputs; ``False`` re-reads the source every round.
     """
     if iterations < 1:
         raise ValueError("iterations must be at least 1")
@@ -153,16 +160,24 @@ def fit(points: DataFrame, centers, iterations: int = 1, mode: str = "combined",
     ranked = prepare_centers(centers)
     spark = points.sparkSession
     cols = [x, y] + ([weight] if weight else [])
+    if persist not in (True, False, None, "cache", "table"):
+        raise ValueError(f"persist must be True, False, 'cache' or 'table', got {persist!r}")
     pts = points.select(*cols)
+    cached = persist in (True, "cache")
     if persist:
         # The points are read R times.  An input with fewer partitions than the
-        # cluster has cores (one big file, few row groups) is spread once before
-        # caching; a real-size input already has enough partitions and is cached
-        # as read, without a shuffle.
+        # cluster has cores (one big file, few row groups) is spread once first;
+        # a real-size input already has enough partitions and is kept as read,
+        # without a shuffle.
         cores = spark.sparkContext.defaultParallelism
         if pts.rdd.getNumPartitions() < cores:
             pts = pts.repartition(cores)
-        pts = pts.persist(StorageLevel.MEMORY_AND_DISK)
+        if cached:
+            pts = pts.persist(StorageLevel.MEMORY_AND_DISK)
+        else:
+            path = scratch_path(spark, "points")
+            pts.write.parquet(path)
+            pts = spark.read.parquet(path)
     out = FitResult(spark, mode, stop, threshold)
     try:
         for r in range(1, iterations + 1):
@@ -182,7 +197,7 @@ def fit(points: DataFrame, centers, iterations: int = 1, mode: str = "combined",
             if stop == "all" and it.n_stable == len(rows):
                 break
     finally:
-        if persist:
+        if cached:
             pts.unpersist()
     if output_prefix is not None and final_listing:
         write_assignments(out.assignment(points, x, y, strategy), iteration_path(output_prefix, "Final"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.constants import MAX_CENTERS
@@ -69,28 +69,35 @@ def _file_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _ranked_lines(per_file: DataFrame, lines_col: Column, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Explode each file's lines; ``pos`` numbers them across files by (file name, line).
+
+    One file is the normal case; a glob or a multi-part directory is read in
+    file-name order.  Centre-sized input only (at most ``MAX_CENTERS`` lines), so
+    the numbering window needs no partition key.
+    """
+    exploded = per_file.select("file", *keep, F.posexplode(lines_col).alias("line_no", "line"))
+    order = Window.orderBy("file", "line_no")
+    return exploded.select(*keep, (F.row_number().over(order) - 1).alias("pos"), "line")
+
+
 def read_centers(spark: SparkSession, path: str) -> DataFrame:
     """A seed centre file → ``rank, x, y`` in line order."""
-    lines = _file_lines(spark, path).select("file", F.posexplode("lines").alias("pos", "line"))
-    return parse_center_lines(lines, keep=("file",)).drop("file")
+    return parse_center_lines(_ranked_lines(_file_lines(spark, path), F.col("lines")))
 
 
 def read_status_centers(spark: SparkSession, path: str) -> DataFrame:
     """A status-headed centre file → ``status, rank, x, y`` (line 1 is the status)."""
-    files = _file_lines(spark, path)
-    body = files.select(
-        F.get(F.col("lines"), 0).alias("status"),
-        F.posexplode(F.slice(F.col("lines"), 2, F.greatest(F.size("lines") - 1, F.lit(1)))).alias("pos", "line"),
-    ).filter(F.col("line").isNotNull())
-    # slice(…, 2, 1) on a one-line file yields an empty array, so a header-only
-    # file has no centres.
-    return parse_center_lines(body, keep=("status",))
+    files = _file_lines(spark, path).select(
+        "file", F.get(F.col("lines"), 0).alias("status"), F.slice(F.col("lines"), 2, MAX_CENTERS + 1).alias("body")
+    )
+    # slice(…, 2, n) of a header-only file is empty: such a file has no centres.
+    return parse_center_lines(_ranked_lines(files, F.col("body"), keep=("status",)), keep=("status",))
 
 
 def read_result(spark: SparkSession, path: str) -> DataFrame:
     """An iteration result file → ``rank, new_x, new_y, old_x, old_y`` in line order."""
-    lines = _file_lines(spark, path).select(F.posexplode("lines").alias("pos", "line"))
-    return parse_result_lines(lines)
+    return parse_result_lines(_ranked_lines(_file_lines(spark, path), F.col("lines")))
 
 
 def next_centers(result: DataFrame) -> DataFrame:

@@ -72,3 +72,12 @@ def test_members_rows_and_average(spark):
     first = {(r.x, r.y): r for r in m}
     assert first[(-7, 0)].avg_x == -2 and first[(-7, 0)].n_members == 3  # (0+1-7)/3 truncates toward zero
     assert first[(1, 0)].member == "(1,0)"
+
+
+@pytest.mark.parametrize("persist", [True, "table", False])
+def test_persist_modes_agree(spark, persist):
+    pts = _random(4, n=2000)
+    df = spark.createDataFrame(pts, "x INT, y INT")
+    ctr = [(0, 0), (250, -250), (-250, 250)]
+    got = fit(df, ctr, iterations=3, mode="plain", persist=persist)
+    assert [it.rows for it in got.iterations] == brute.fit(pts, ctr, 3, "plain")

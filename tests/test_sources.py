@@ -138,3 +138,11 @@ def test_iterations_must_be_positive(spark):
         fit(pts, [(0, 0)], iterations=0)
     with pytest.raises(ValueError):
         fit(pts, [], iterations=1)
+
+
+def test_centres_across_files_rank_by_file_then_line(spark, scratch):
+    d = scratch("multi")
+    write_text(f"{d}/part-00001", "5,5\n6,6\n")
+    write_text(f"{d}/part-00000", "1,1\n2,2\n")
+    rows = [tuple(r) for r in read_centers(spark, d).orderBy("rank").collect()]
+    assert rows == [(0, 1, 1), (1, 2, 2), (2, 5, 5), (3, 6, 6)]
