@@ -36,6 +36,18 @@ HISTORY_SCHEMA = ("iteration INT, k INT, n_points BIGINT, max_move BIGINT, n_sta
                   "seconds DOUBLE")
 
 
+def scan_partitions(df: DataFrame) -> int | None:
+    """Number of partitions of an input that is read without a shuffle, else None.
+
+    Asking an adaptive plan that contains a shuffle for its partitions would run
+    that shuffle, so only shuffle-free plans (planning only) are asked.
+    """
+    plan = df._jdf.queryExecution().executedPlan().toString()  # noqa: SLF001 - plan inspection
+    if "Exchange" in plan:
+        return None
+    return df.rdd.getNumPartitions()
+
+
 def prepare_centers(centers) -> list[tuple[int, int, int]]:
     """Centres (DataFrame ``rank, x, y`` or ``(x, y)`` pairs) → distinct ``(rank, x, y)``."""
     return ranked_distinct(as_center_list(centers))
@@ -164,13 +176,14 @@ def fit(points: DataFrame, centers, iterations: int = 1, mode: str = "combined",
         raise ValueError(f"persist must be True, False, 'cache' or 'table', got {persist!r}")
     pts = points.select(*cols)
     cached = persist in (True, "cache")
+    map_partitions = scan_partitions(pts)
     if persist:
-        # The points are read R times.  An input with fewer partitions than the
+        # The points are read R times.  A plain scan with fewer partitions than the
         # cluster has cores (one big file, few row groups) is spread once first;
         # a real-size input already has enough partitions and is kept as read,
         # without a shuffle.
         cores = spark.sparkContext.defaultParallelism
-        if pts.rdd.getNumPartitions() < cores:
+        if map_partitions is not None and map_partitions < cores:
             pts = pts.repartition(cores)
         if cached:
             pts = pts.persist(StorageLevel.MEMORY_AND_DISK)

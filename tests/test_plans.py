@@ -48,3 +48,12 @@ def test_step_plan_size_constant_across_iterations(spark):
     shapes = {re.sub(r"\d+", "0", _plan(step(pts, [(x + 7 * i, y) for x, y in K5], iteration=i + 1)))
               for i in range(3)}
     assert len(shapes) == 1
+
+
+def test_fit_does_not_run_an_input_shuffle_twice(spark):
+    from lloydflow.plans.lloyd import scan_partitions
+    from lloydflow.sources.points import collapse_points
+
+    pts = points_l(spark, SF_SMALL).select("x", "y")
+    assert scan_partitions(pts) >= 1  # a plain scan: asked, planning only
+    assert scan_partitions(collapse_points(pts)) is None  # would run the aggregation: not asked
