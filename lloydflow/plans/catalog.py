@@ -325,6 +325,39 @@ def fit_stop_all_k5f(spark, d):
     return _fit_stop(spark, d, K5F, "all")
 
 
+@query
+def fit_fixed_plain_sentinel_3(spark, d):
+    return fit(points_e(spark, d), KE, iterations=3, mode="plain").result().select(*RESULT_COLS)
+
+
+@query
+def fit_fixed_combined_sentinel_3(spark, d):
+    return fit(points_e(spark, d), KE, iterations=3, mode="combined").result().select(*RESULT_COLS)
+
+
+@query
+def fit_large_k_3(spark, d):
+    """Three rounds with 60 centres: the vectorised search inside the loop."""
+    return fit(points_c(spark, d), LATTICE_60, iterations=3, mode="combined").result().select(*RESULT_COLS)
+
+
+@query
+def fit_stop_all_lineitem(spark, d):
+    return fit(points_l(spark, d), K5, iterations=5, mode="plain", stop="all").result().select(*RESULT_COLS)
+
+
+@query
+def fit_persist_table_3(spark, d):
+    """Points materialised once as a table under the checkpoint folder, then three rounds."""
+    res = fit(points_l(spark, d), K5, iterations=3, mode="combined", persist="table")
+    return res.result().select(*RESULT_COLS)
+
+
+@query
+def dup_centers_plain(spark, d):
+    return step(points_c(spark, d), KDUP, "plain").select(*STEP_COLS)
+
+
 @query
 def fit_status_3(spark, d):
     return fit(points_c(spark, d), K5, iterations=3, mode="combined").status_rows()

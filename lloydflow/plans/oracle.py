@@ -221,6 +221,12 @@ def oracle_sql() -> dict[str, str]:
     q["fit_stop_any_k5f"] = fit_stop_sql(C, K5F, "plain", "any")
     q["fit_stop_all_k5"] = fit_stop_sql(C, K5, "plain", "all")
     q["fit_stop_all_k5f"] = fit_stop_sql(C, K5F, "plain", "all")
+    q["fit_fixed_plain_sentinel_3"] = fit_sql(E, KE, "plain", 3)
+    q["fit_fixed_combined_sentinel_3"] = fit_sql(E, KE, "combined", 3)
+    q["fit_large_k_3"] = fit_sql(C, LATTICE_60, "combined", 3)
+    q["fit_stop_all_lineitem"] = fit_stop_sql(L, K5, "plain", "all")
+    q["fit_persist_table_3"] = fit_sql(L, K5, "combined", 3)
+    q["dup_centers_plain"] = step_sql(C, KDUP, "plain")
     ch = Chain(C, K5).iterate(3)
     parts = " UNION ALL ".join(
         f"SELECT iteration, {STATUS_WINDOW_SQL.format(stable=f'{_move()} < {THRESHOLD}')} AS status, "
