@@ -19,11 +19,20 @@ LINE_BREAK = r"\r\n|\n|\r"
 
 
 def strict_int(field: Column, what: str) -> Column:
-    """Parse one text field as INT or fail the query (NULL, blank, float, overflow)."""
-    ok = field.isNotNull() & field.rlike(INT_PATTERN)
+    """Parse one text field as INT or fail the query (NULL, blank, float, overflow).
+
+    The range is checked explicitly, so the result does not depend on the
+    session's ANSI setting: leading zeros are dropped (as ``parseInt`` allows any
+    number of them), at most ten digits remain, and the value is compared as
+    BIGINT against the 32-bit bounds.
+    """
+    trimmed = F.regexp_replace(field, r"^([+-]?)0+(?=[0-9])", "$1")
+    digits = F.regexp_replace(trimmed, r"^[+-]", "")
+    wide = F.when(F.length(digits) <= 10, trimmed.cast("long"))
+    ok = (field.isNotNull() & field.rlike(INT_PATTERN) & wide.isNotNull()
+          & wide.between(-2147483648, 2147483647))
     msg = F.concat(F.lit(f"invalid {what}: '"), F.coalesce(field, F.lit("<missing>")), F.lit("'"))
-    # The ANSI cast raises for values outside the 32-bit range.
-    return F.when(ok, field.cast("int")).otherwise(F.raise_error(msg).cast("int"))
+    return F.when(ok, wide.cast("int")).otherwise(F.raise_error(msg).cast("int"))
 
 
 def fields(line: Column) -> Column:

@@ -36,13 +36,18 @@ def read_points(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def points_from(df: DataFrame, x: str | Column, y: str | Column, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Project any table to ``x, y`` INT points; a NULL coordinate fails the query."""
+    """Project any table to ``x, y`` INT points.
+
+    A NULL or out-of-32-bit-range coordinate fails the query whatever the
+    session's ANSI setting (no silent wrap-around).
+    """
     xc = F.col(x) if isinstance(x, str) else x
     yc = F.col(y) if isinstance(y, str) else y
     checked = []
     for name, c in (("x", xc), ("y", yc)):
+        bad = c.isNull() | (c < F.lit(-2147483648)) | (c > F.lit(2147483647))
         checked.append(
-            F.when(c.isNull(), F.raise_error(F.lit(f"point {name} is NULL")).cast("int"))
+            F.when(bad, F.raise_error(F.lit(f"point {name} is NULL or outside the 32-bit range")).cast("int"))
             .otherwise(c.cast("int"))
             .alias(name)
         )

@@ -31,12 +31,22 @@ def _parse(spark, lines):
     return [tuple(r) for r in parse_point_lines(df).collect()]
 
 
-def test_point_lines_accepted(spark):
-    assert _parse(spark, ["+5,-6", "5,6,7,abc", "007,-0"]) == [(5, -6), (5, 6), (7, 0)]
+@pytest.fixture(params=["true", "false"], ids=["ansi", "no-ansi"])
+def ansi(spark, request):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", request.param)
+    yield
+    spark.conf.set("spark.sql.ansi.enabled", before)
 
 
-@pytest.mark.parametrize("bad", ["x,y", "", "1.5,2", " 5,6", "5", "5,", "2147483648,0", "5\t6", "1,2 "])
-def test_point_lines_rejected(spark, bad):
+def test_point_lines_accepted(spark, ansi):
+    lines = ["+5,-6", "5,6,7,abc", "007,-0", "2147483647,-2147483648", "000000000000012,-0000000000003"]
+    assert _parse(spark, lines) == [(5, -6), (5, 6), (7, 0), (2147483647, -2147483648), (12, -3)]
+
+
+@pytest.mark.parametrize("bad", ["x,y", "", "1.5,2", " 5,6", "5", "5,", "2147483648,0", "0,-2147483649",
+                                 "99999999999999999999999,1", "5\t6", "1,2 ", "+,1", "1,--2"])
+def test_point_lines_rejected(spark, ansi, bad):
     with pytest.raises(FAILS):
         _parse(spark, ["1,2", bad])
 
@@ -146,3 +156,14 @@ def test_centres_across_files_rank_by_file_then_line(spark, scratch):
     write_text(f"{d}/part-00000", "1,1\n2,2\n")
     rows = [tuple(r) for r in read_centers(spark, d).orderBy("rank").collect()]
     assert rows == [(0, 1, 1), (1, 2, 2), (2, 5, 5), (3, 6, 6)]
+
+
+def test_points_from_rejects_null_and_overflow(spark, ansi):
+    from lloydflow.sources.points import points_from
+
+    ok = spark.createDataFrame([(1, 2)], "a BIGINT, b BIGINT")
+    assert [tuple(r) for r in points_from(ok, "a", "b").collect()] == [(1, 2)]
+    for row in [(None, 2), (2147483648, 0), (0, -2147483649)]:
+        df = spark.createDataFrame([row], "a BIGINT, b BIGINT")
+        with pytest.raises(FAILS):
+            points_from(df, "a", "b").collect()
