@@ -67,16 +67,25 @@ def _sql_literal(v) -> str:
     return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+# Row sets up to this size become a VALUES relation; larger ones an Arrow batch.
+VALUES_MAX_ROWS = 256
+
+
 def local_frame(spark: SparkSession, rows, schema: str):
     """A DataFrame of a few driver-side rows as a JVM local relation (``VALUES``).
 
     Unlike ``createDataFrame`` on a list, no Python RDD (and no Python worker) is
-    involved.  ``schema`` is a DDL string ``"a INT, b STRING"``; only for small,
+    involved.  ``schema`` is a DDL string ``"a INT, b STRING"``; only for
     bounded row sets (centre lists, per-iteration summaries).
     """
     fields = [f.strip().split(None, 1) for f in schema.split(",")]
     if not rows:
         return spark.createDataFrame([], schema)
+    if len(rows) > VALUES_MAX_ROWS:
+        # Long VALUES texts are slow to parse; larger row sets go through Arrow.
+        import pandas as pd
+
+        return spark.createDataFrame(pd.DataFrame(list(rows), columns=[n for n, _ in fields]), schema)
     values = ", ".join("(" + ", ".join(_sql_literal(v) for v in row) + ")" for row in rows)
     cols = ", ".join(f"col{i + 1}" for i in range(len(fields)))
     select = ", ".join(f"CAST(col{i + 1} AS {t}) AS `{n}`" for i, (n, t) in enumerate(fields))

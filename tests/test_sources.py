@@ -167,3 +167,13 @@ def test_points_from_rejects_null_and_overflow(spark, ansi):
         df = spark.createDataFrame([row], "a BIGINT, b BIGINT")
         with pytest.raises(FAILS):
             points_from(df, "a", "b").collect()
+
+
+def test_local_frame_small_and_large(spark):
+    from lloydflow.session import VALUES_MAX_ROWS, local_frame
+
+    for n in (3, VALUES_MAX_ROWS + 50):
+        rows = [(i, -i, f"s'{i}", i * 0.5) for i in range(n)]
+        df = local_frame(spark, rows, "a INT, b BIGINT, c STRING, d DOUBLE")
+        assert [tuple(r) for r in df.orderBy("a").collect()] == rows
+        assert [f.dataType.simpleString() for f in df.schema.fields] == ["int", "bigint", "string", "double"]
