@@ -41,12 +41,20 @@ def rows_of(columns, records):
     return [tuple(_norm(r[i]) for i in order) for r in records], sorted(columns)
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN"}
+
+
 def compare(spark, con, name, query_fn, sql, sf_dir):
     t0 = time.perf_counter()
     df = query_fn(spark, sf_dir)
+    s_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+               for f in df.schema.fields}
     s_cols = df.columns
     s_rows = [tuple(r) for r in df.collect()]
     t1 = time.perf_counter()
+    rel = con.sql(sql)
+    o_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
     res = con.execute(sql)
     o_cols = [c[0] for c in res.description]
     o_rows = res.fetchall()
@@ -56,6 +64,8 @@ def compare(spark, con, name, query_fn, sql, sf_dir):
     problems = []
     if scols != ocols:
         problems.append(f"columns differ: spark={scols} oracle={ocols}")
+    elif s_types != o_types:
+        problems.append(f"types differ: spark={s_types} oracle={o_types}")
     if len(srows) != len(orows):
         problems.append(f"row count differs: spark={len(srows)} oracle={len(orows)}")
     elif Counter(srows) != Counter(orows):
