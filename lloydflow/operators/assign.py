@@ -14,7 +14,7 @@ Two physical forms, same results:
   whole-stage codegen, no per-row objects.  Expressions are handed to Spark as
   SQL text (one call), not built column by column from Python.
 * ``vectorized``: an Arrow-batched pandas UDF doing the arg-min with numpy;
-  ``argmin`` returns the first minimum, i.e. the lowest rank.  From 128 centres
+  ``argmin`` returns the first minimum, i.e. the lowest rank.  From 24 centres
   on, each point only scans the exact candidate list of its grid cell (see
   ``candidate_grid``), so the work per point stays near-constant as k grows;
   points outside the grid scan all centres in row blocks.
