@@ -335,6 +335,13 @@ def fit_fixed_combined_sentinel_3(spark, d):
     return fit(points_e(spark, d), KE, iterations=3, mode="combined").result().select(*RESULT_COLS)
 
 
+@query
+def fit_collapsed_sentinel_3(spark, d):
+    """Three plain rounds over event points merged into weights first."""
+    res = fit(points_e(spark, d), KE, iterations=3, mode="plain", collapse=True)
+    return res.result().select(*RESULT_COLS)
+
+
 @query
 def fit_large_k_3(spark, d):
     """Three rounds with 60 centres: the vectorised search inside the loop."""

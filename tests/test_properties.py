@@ -81,3 +81,13 @@ def test_persist_modes_agree(spark, persist):
     ctr = [(0, 0), (250, -250), (-250, 250)]
     got = fit(df, ctr, iterations=3, mode="plain", persist=persist)
     assert [it.rows for it in got.iterations] == brute.fit(pts, ctr, 3, "plain")
+
+
+@pytest.mark.parametrize("mode", ["plain", "combined"])
+def test_fit_collapse_is_exact(spark, mode):
+    pts = _random(5, span=6)
+    df = spark.createDataFrame(pts, "x INT, y INT")
+    ctr = [(-3, -3), (0, 4), (5, 1), (0, 4)]
+    got = fit(df, ctr, iterations=3, mode=mode, collapse=True)
+    assert [it.rows for it in got.iterations] == brute.fit(pts, ctr, 3, mode)
+    assert got.assignment(df).count() == len(pts)
