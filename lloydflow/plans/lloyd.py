@@ -1,8 +1,8 @@
 """Lloyd iterations (I1–I7): one step as a DataFrame, and the driver loop.
 
 A step is one Spark job: nearest-centre rank (narrow projection, centres bound
-as literals) → partial aggregate per task → exchange of ≤ k rows per task →
-final aggregate → broadcast join with the k centres.  The loop collects the k
+as literals) → UNION ALL with one seed row per centre → partial aggregate per
+task → exchange of ≤ k rows per task → final aggregate.  The loop collects the k
 result rows, orders them by old-centre text (the reference's output order,
 which decides the next iteration's ranks) and binds them as the next literals.
 Plans therefore stay the same size every round and lineage never grows; the
@@ -101,6 +101,7 @@ class FitResult:
     stop: str
     threshold: int
     iterations: list[Iteration] = field(default_factory=list)
+    points_read: DataFrame | None = None  # the (x, y[, weight]) rows each round reads
 
     @property
     def iterations_run(self) -> int:
@@ -175,12 +176,20 @@ def fit(points: DataFrame, centers, iterations: int = 1, mode: str = "combined",
         raise ValueError(f"mode must be 'plain' or 'combined', got {mode!r}")
     if stop not in STOP_RULES:
         raise ValueError(f"stop must be one of {STOP_RULES}, got {stop!r}")
+    if persist not in (True, False, None, "cache", "table"):
+        raise ValueError(f"persist must be True, False, 'cache' or 'table', got {persist!r}")
     ranked = prepare_centers(centers)
     spark = points.sparkSession
+    source = points
+    if collapse:
+        if weight:
+            raise ValueError("collapse=True computes its own weights; pass either weight or collapse")
+        source = collapse_points(points.select(x, y), x, y)
+        weight = "weight"
     cols = [x, y] + ([weight] if weight else [])
-    if persist not in (True, False, None, "cache", "table"):
-        raise ValueError(f"persist must be True, False, 'cache' or 'table', got {persist!r}")
-    pts = points.select(*cols)
+    pts = source.select(*cols)
+    out = FitResult(spark, mode, stop, threshold)
+    out.points_read = pts
     cached = persist in (True, "cache")
     map_partitions = scan_partitions(pts)
     if persist:
@@ -197,7 +206,6 @@ def fit(points: DataFrame, centers, iterations: int = 1, mode: str = "combined",
             path = scratch_path(spark, "points")
             pts.write.parquet(path)
             pts = spark.read.parquet(path)
-    out = FitResult(spark, mode, stop, threshold)
     try:
         for r in range(1, iterations + 1):
             t0 = time.perf_counter()
