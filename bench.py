@@ -19,7 +19,6 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import functions as F  # noqa: E402
 
 from lloydflow.operators.assign import assign  # noqa: E402
 from lloydflow.plans.lloyd import fit, prepare_centers, step  # noqa: E402

@@ -223,11 +223,14 @@ def fit(points: DataFrame, centers, iterations: int = 1, mode: str = "combined",
                 break
             if stop == "all" and it.n_stable == len(rows):
                 break
+        if output_prefix is not None and final_listing:
+            # The listing needs every original point: the kept copy has them unless
+            # equal points were merged, in which case the source is read again.
+            listed = points.select(x, y) if collapse else pts.select(x, y)
+            write_assignments(out.assignment(listed, x, y, strategy), iteration_path(output_prefix, "Final"))
     finally:
         if cached:
             pts.unpersist()
-    if output_prefix is not None and final_listing:
-        write_assignments(out.assignment(points, x, y, strategy), iteration_path(output_prefix, "Final"))
     return out
 
 
