@@ -45,6 +45,7 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     p.add_argument("iterations", nargs="?", type=int, default=1)
     p.add_argument("--persist", choices=["cache", "table", "none"], default="cache")
     p.add_argument("--collapse", action="store_true", help="merge equal points into weights first (exact)")
+    p.add_argument("--resume", action="store_true", help="continue after the last round already written")
     return p.parse_args(argv)
 
 
@@ -55,7 +56,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> fl
     centres = as_center_list(read_centers(spark, args.centres))
     persist = {"cache": True, "table": "table", "none": False}[args.persist]
     fit(read_points(spark, args.data), centres, iterations=args.iterations, output_prefix=args.output_prefix,
-        persist=persist, collapse=args.collapse, **VARIANTS[args.variant])
+        persist=persist, collapse=args.collapse, resume=args.resume, **VARIANTS[args.variant])
     seconds = time.time() - started
     print(f"{seconds} seconds")
     return seconds

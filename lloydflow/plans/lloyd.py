@@ -16,6 +16,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +25,7 @@ from ..operators.aggregate import finalize_stats, seeded_stats
 from ..operators.assign import assign, assign_rank
 from ..operators.convergence import status_of
 from ..operators.ordering import text_key
-from ..sources.centers import as_center_list, centers_frame, ranked_distinct
+from ..sources.centers import as_center_list, centers_frame, ranked_distinct, read_result, read_status_centers
 from ..sources.points import collapse_points
 from ..session import local_frame, scratch_path
 from ..sources.sinks import iteration_path, write_assignments, write_result, write_status
@@ -102,14 +103,22 @@ class FitResult:
     threshold: int
     iterations: list[Iteration] = field(default_factory=list)
     points_read: DataFrame | None = None  # the (x, y[, weight]) rows each round reads
+    resumed_from: int = 0  # last round read back by fit(resume=True), 0 if none
+    resumed_centers: list[tuple[int, int, int]] | None = None
 
     @property
     def iterations_run(self) -> int:
         return len(self.iterations)
 
+    @property
+    def last_iteration(self) -> int:
+        return self.iterations[-1].iteration if self.iterations else self.resumed_from
+
     @property
     def final_centers(self) -> list[tuple[int, int, int]]:
         """Ranked distinct centres after the last iteration (its new centres, in output order)."""
+        if not self.iterations:
+            return list(self.resumed_centers or [])
         return ranked_distinct(self.iterations[-1].new_centers)
 
     @property
@@ -123,7 +132,7 @@ class FitResult:
 
     def result(self) -> DataFrame:
         """The last iteration's rows — what the reference leaves in its last output."""
-        return self.results().filter(F.col("iteration") == self.iterations_run)
+        return self.results().filter(F.col("iteration") == self.last_iteration)
 
     def status_rows(self) -> DataFrame:
         """Per iteration the status and the new centres (the status-headed files)."""
@@ -146,7 +155,8 @@ class FitResult:
 def fit(points: DataFrame, centers, iterations: int = 1, mode: str = "combined", stop: str = "none",
         threshold: int = STABILITY_THRESHOLD, strategy: str = "auto", x: str = "x", y: str = "y",
         weight: str | None = None, persist: bool | str = True, output_prefix: str | None = None,
-        status_files: bool = False, final_listing: bool = False, collapse: bool = False) -> FitResult:
+        status_files: bool = False, final_listing: bool = False, collapse: bool = False,
+        resume: bool = False) -> FitResult:
     """Run Lloyd iterations under one of the reference's policies.
 
     * ``stop="none"`` — exactly ``iterations`` rounds (I2 plain, I5 combined).
@@ -169,6 +179,12 @@ def fit(points: DataFrame, centers, iterations: int = 1, mode: str = "combined",
     partially aggregated shuffle) and runs every round over distinct points —
     exact, and much less work on very repetitive integer data.  The final
     listing still lists every original point.
+
+    ``resume=True`` (with ``output_prefix``) restarts a run whose driver was lost:
+    the last round already written under the prefix is read back (S3/S4), its
+    new centres seed the next round, and its stop test is re-applied — a run
+    that had already stopped does no further round.  ``FitResult.iterations``
+    then holds the rounds run by this call; ``resumed_from`` the last round read.
     """
     if iterations < 1:
         raise ValueError("iterations must be at least 1")
@@ -190,6 +206,17 @@ def fit(points: DataFrame, centers, iterations: int = 1, mode: str = "combined",
     pts = source.select(*cols)
     out = FitResult(spark, mode, stop, threshold)
     out.points_read = pts
+    first = 1
+    if resume:
+        if output_prefix is None:
+            raise ValueError("resume needs the output_prefix of the interrupted run")
+        done, ranked_done, stopped = _resume_point(spark, output_prefix, iterations, stop, threshold, status_files)
+        if done:
+            out.resumed_from, first = done, done + 1
+            ranked = ranked_done
+            out.resumed_centers = ranked_done
+            if stopped:
+                first = iterations + 1
     cached = persist in (True, "cache")
     map_partitions = scan_partitions(pts)
     if persist:
@@ -207,7 +234,7 @@ def fit(points: DataFrame, centers, iterations: int = 1, mode: str = "combined",
             pts.write.parquet(path)
             pts = spark.read.parquet(path)
     try:
-        for r in range(1, iterations + 1):
+        for r in range(first, iterations + 1):
             t0 = time.perf_counter()
             collected = _step(pts, ranked, mode, r, strategy, x, y, weight).collect()
             collected.sort(key=lambda row: text_key(row["old_x"], row["old_y"]))
@@ -217,7 +244,9 @@ def fit(points: DataFrame, centers, iterations: int = 1, mode: str = "combined",
                            sum(1 for m in moves if m < threshold), time.perf_counter() - t0)
             out.iterations.append(it)
             if output_prefix is not None:
-                _write_iteration(out, it, iteration_path(output_prefix, r), status_files)
+                # a resumed run replaces a round folder left unfinished by the lost driver
+                _write_iteration(out, it, iteration_path(output_prefix, r), status_files,
+                                 "overwrite" if resume else "errorifexists")
             ranked = ranked_distinct(it.new_centers)
             if stop == "any" and r >= 2 and it.n_stable > 0:
                 break
@@ -227,17 +256,56 @@ def fit(points: DataFrame, centers, iterations: int = 1, mode: str = "combined",
             # The listing needs every original point: the kept copy has them unless
             # equal points were merged, in which case the source is read again.
             listed = points.select(x, y) if collapse else pts.select(x, y)
-            write_assignments(out.assignment(listed, x, y, strategy), iteration_path(output_prefix, "Final"))
+            write_assignments(out.assignment(listed, x, y, strategy), iteration_path(output_prefix, "Final"),
+                              mode="overwrite" if resume else "errorifexists")
     finally:
         if cached:
             pts.unpersist()
     return out
 
 
-def _write_iteration(fit_result: FitResult, it: Iteration, path: str, status_files: bool) -> None:
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists (a text read fails at once on a missing path)."""
+    try:
+        spark.read.text(path)
+        return True
+    except AnalysisException:
+        return False
+
+
+def _complete(spark: SparkSession, path: str) -> bool:
+    """An output folder counts only once its job committed (``_SUCCESS`` marker)."""
+    return _exists(spark, f"{path}/_SUCCESS")
+
+
+def _resume_point(spark: SparkSession, prefix: str, iterations: int, stop: str, threshold: int,
+                  status_files: bool) -> tuple[int, list[tuple[int, int, int]], bool]:
+    """The last round written under ``prefix``, its centres, and whether the run had stopped."""
+    done = 0
+    while done < iterations and _complete(spark, iteration_path(prefix, done + 1)):
+        done += 1
+    if not done:
+        return 0, [], False
+    path = iteration_path(prefix, done)
+    if status_files:
+        rows = read_status_centers(spark, path).orderBy("rank").collect()
+        ranked = ranked_distinct([(r["x"], r["y"]) for r in rows])
+        if stop == "any":
+            raise ValueError("status-headed files keep no old centres: resume stop='any' from result files")
+        stopped = stop == "all" and rows[0]["status"] == STATUS_CONVERGED
+        return done, ranked, stopped
+    rows = read_result(spark, path).orderBy("rank").collect()
+    ranked = ranked_distinct([(r["new_x"], r["new_y"]) for r in rows])
+    moves = [max(abs(r["new_x"] - r["old_x"]), abs(r["new_y"] - r["old_y"])) for r in rows]
+    stopped = (stop == "any" and done >= 2 and min(moves) < threshold) or (
+        stop == "all" and max(moves) < threshold)
+    return done, ranked, stopped
+
+
+def _write_iteration(fit_result: FitResult, it: Iteration, path: str, status_files: bool, mode: str) -> None:
     rows = [(it.iteration, pos, *r) for pos, r in enumerate(it.rows)]
     df = local_frame(fit_result.spark, rows, RESULT_SCHEMA)
     if status_files:
-        write_status(df, it.status, path)
+        write_status(df, it.status, path, mode=mode)
     else:
-        write_result(df, path)
+        write_result(df, path, mode=mode)

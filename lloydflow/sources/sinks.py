@@ -4,7 +4,8 @@ Result and status files hold one line per centre (bounded by ``MAX_CENTERS``), s
 they are written as one ordered part file.  The assignment listing holds one
 line per point; it is globally sorted by (centre text, x, y) with a range
 partitioning, so one huge cluster is spread over many tasks and files.
-Existing output paths fail the write, as the reference's output format does.
+Existing output paths fail the write, as the reference's output format does
+(``mode="overwrite"`` replaces them; a resumed run uses it for unfinished rounds).
 """
 
 from __future__ import annotations
@@ -30,14 +31,12 @@ def result_lines(result: DataFrame) -> DataFrame:
     )
 
 
-def write_result(result: DataFrame, path: str, fmt: str = "text") -> None:
+def write_result(result: DataFrame, path: str, fmt: str = "text", mode: str = "errorifexists") -> None:
     """One iteration's ``(new, old)`` rows ordered by old-centre text."""
     if fmt == "parquet":
-        result.repartition(1).sortWithinPartitions(center_text("old_x", "old_y")).write.mode(
-            "errorifexists").parquet(path)
+        result.repartition(1).sortWithinPartitions(center_text("old_x", "old_y")).write.mode(mode).parquet(path)
         return
-    (result_lines(result).repartition(1).sortWithinPartitions("key").select("value")
-     .write.mode("errorifexists").text(path))
+    result_lines(result).repartition(1).sortWithinPartitions("key").select("value").write.mode(mode).text(path)
 
 
 def status_lines(result: DataFrame, status: str) -> DataFrame:
@@ -52,10 +51,10 @@ def status_lines(result: DataFrame, status: str) -> DataFrame:
     return head.unionByName(body)
 
 
-def write_status(result: DataFrame, status: str, path: str) -> None:
+def write_status(result: DataFrame, status: str, path: str, mode: str = "errorifexists") -> None:
     """Status-headed centre file (the old centres are dropped)."""
     (status_lines(result, status).repartition(1).sortWithinPartitions("part", "key").select("value")
-     .write.mode("errorifexists").text(path))
+     .write.mode(mode).text(path))
 
 
 def assignment_lines(assigned: DataFrame) -> DataFrame:
@@ -67,17 +66,18 @@ def assignment_lines(assigned: DataFrame) -> DataFrame:
     )
 
 
-def write_assignments(assigned: DataFrame, path: str, fmt: str = "text", sort: bool = True) -> None:
+def write_assignments(assigned: DataFrame, path: str, fmt: str = "text", sort: bool = True,
+                      mode: str = "errorifexists") -> None:
     """The point → centre listing, sorted by centre text (then point) when ``sort``."""
     if fmt == "parquet":
         out = assigned.select("center_x", "center_y", "x", "y")
         if sort:
             out = out.orderBy(center_text("center_x", "center_y"), "x", "y", F.monotonically_increasing_id())
-        out.write.mode("errorifexists").parquet(path)
+        out.write.mode(mode).parquet(path)
         return
     lines = assignment_lines(assigned)
     if sort:
         # The row id only breaks ties between identical lines, so that even one
         # point repeated across a third of the input is range-split over many tasks.
         lines = lines.orderBy("key", "x", "y", F.monotonically_increasing_id())
-    lines.select("value").write.mode("errorifexists").text(path)
+    lines.select("value").write.mode(mode).text(path)

@@ -92,3 +92,32 @@ def test_fit_collapse_is_exact(spark, mode):
     assert [it.rows for it in got.iterations] == brute.fit(pts, ctr, 3, mode)
     assert got.points_read.count() == len(set(pts)) < len(pts)  # rounds read distinct points only
     assert got.assignment(df).count() == len(pts)
+
+
+@pytest.mark.parametrize("status_files", [False, True])
+def test_resume_continues_like_an_uninterrupted_run(spark, scratch, status_files):
+    import os
+
+    pts = _random(6, n=1500)
+    df = spark.createDataFrame(pts, "x INT, y INT")
+    ctr = [(0, 0), (250, -250), (-250, 250), (400, 400)]
+    prefix = scratch("resume") + "/run"
+    fit(df, ctr, iterations=2, mode="combined", output_prefix=prefix, status_files=status_files)
+    os.makedirs(prefix + "3")  # a round folder the lost driver never committed
+    open(prefix + "3/part-00000", "w").write("garbage\n")
+    res = fit(df, ctr, iterations=4, mode="combined", output_prefix=prefix, status_files=status_files, resume=True)
+    assert res.resumed_from == 2 and [it.iteration for it in res.iterations] == [3, 4]
+    want = brute.fit(pts, ctr, 4, "combined")
+    assert [it.rows for it in res.iterations] == want[2:]
+    assert os.path.exists(prefix + "3/_SUCCESS")
+
+
+def test_resume_after_a_finished_stop(spark, scratch):
+    pts = _random(7, n=800)
+    df = spark.createDataFrame(pts, "x INT, y INT")
+    ctr = [(0, 0), (250, -250), (-250, 250)]
+    prefix = scratch("resume-stop") + "/run"
+    first = fit(df, ctr, iterations=20, mode="plain", stop="all", output_prefix=prefix)
+    again = fit(df, ctr, iterations=20, mode="plain", stop="all", output_prefix=prefix, resume=True)
+    assert again.iterations == [] and again.resumed_from == first.iterations_run
+    assert again.final_centers == first.final_centers
