@@ -60,6 +60,7 @@ def main() -> None:
         "assign_L_k5": lambda: drain(assign(L, prepare_centers(K5))),
         "fit_fixed_plain_L_R5": lambda: fit(L, K5, iterations=5, mode="plain"),
         "fit_fixed_combined_L_R5": lambda: fit(L, K5, iterations=5, mode="combined"),
+        "fit_fixed_combined_L_k100_R3": lambda: fit(L, k100, iterations=3, mode="combined"),
         "fit_stop_any_C_R10": lambda: fit(C, K5, iterations=10, mode="plain", stop="any"),
         "fit_stop_all_L_R10": lambda: fit(L, K5, iterations=10, mode="plain", stop="all"),
         "fit_status_L_R3": lambda: fit(L, K5, iterations=3, mode="combined").status_rows().collect(),
