@@ -44,8 +44,10 @@ def scan_partitions(df: DataFrame) -> int | None:
     Asking an adaptive plan that contains a shuffle for its partitions would run
     that shuffle, so only shuffle-free plans (planning only) are asked.
     """
-    plan = df._jdf.queryExecution().executedPlan().toString()  # noqa: SLF001 - plan inspection
-    if "Exchange" in plan:
+    jdf = getattr(df, "_jdf", None)  # classic sessions only; elsewhere the rebalance is skipped
+    if jdf is None:
+        return None
+    if "Exchange" in jdf.queryExecution().executedPlan().toString():
         return None
     return df.rdd.getNumPartitions()
 

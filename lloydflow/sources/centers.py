@@ -76,7 +76,9 @@ def _ranked_lines(per_file: DataFrame, lines_col: Column, keep: tuple[str, ...]
     file-name order.  Centre-sized input only (at most ``MAX_CENTERS`` lines), so
     the numbering window needs no partition key.
     """
-    exploded = per_file.select("file", *keep, F.posexplode(lines_col).alias("line_no", "line"))
+    too_many = F.raise_error(F.lit(f"a centre file holds more than {MAX_CENTERS} lines"))
+    bounded = F.when(F.size(lines_col) > MAX_CENTERS, too_many.cast("array<string>")).otherwise(lines_col)
+    exploded = per_file.select("file", *keep, F.posexplode(bounded).alias("line_no", "line"))
     order = Window.orderBy("file", "line_no")
     return exploded.select(*keep, (F.row_number().over(order) - 1).alias("pos"), "line")
 

@@ -177,3 +177,12 @@ def test_local_frame_small_and_large(spark):
         df = local_frame(spark, rows, "a INT, b BIGINT, c STRING, d DOUBLE")
         assert [tuple(r) for r in df.orderBy("a").collect()] == rows
         assert [f.dataType.simpleString() for f in df.schema.fields] == ["int", "bigint", "string", "double"]
+
+
+def test_oversized_centre_file_fails(spark, scratch, monkeypatch):
+    import lloydflow.sources.centers as centers
+
+    monkeypatch.setattr(centers, "MAX_CENTERS", 3)
+    p = write_text(f"{scratch('big')}/centers.txt", "1,1\n2,2\n3,3\n4,4\n")
+    with pytest.raises(FAILS):
+        centers.read_centers(spark, p).collect()
