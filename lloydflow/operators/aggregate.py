@@ -173,15 +173,18 @@ def seeded_stats(assigned: DataFrame, centers: DataFrame, mode: str = "combined"
                               "CAST(NULL AS INT) AS y", "CAST(NULL AS BIGINT) AS w")
     inc = "x IS NOT NULL AND x <> -1" if mode == "plain" else "x IS NOT NULL"
     if w:
-        sums = [f"sum(CASE WHEN {inc} THEN CAST(x AS BIGINT) * w END) AS sum_x",
-                f"sum(CASE WHEN {inc} THEN CAST(y AS BIGINT) * w END) AS sum_y",
-                f"sum(CASE WHEN {inc} THEN w END) AS n", "sum(w) AS n_points"]
+        sums = {"sum_x": f"sum(CASE WHEN {inc} THEN CAST(x AS BIGINT) * w END)",
+                "sum_y": f"sum(CASE WHEN {inc} THEN CAST(y AS BIGINT) * w END)",
+                "n": f"sum(CASE WHEN {inc} THEN w END)",
+                "n_points": "sum(w)"}
     else:
-        sums = [f"sum(CASE WHEN {inc} THEN x END) AS sum_x", f"sum(CASE WHEN {inc} THEN y END) AS sum_y",
-                f"count(CASE WHEN {inc} THEN 1 END) AS n", "count(x) AS n_points"]
+        sums = {"sum_x": f"sum(CASE WHEN {inc} THEN x END)",
+                "sum_y": f"sum(CASE WHEN {inc} THEN y END)",
+                "n": f"count(CASE WHEN {inc} THEN 1 END)",
+                "n_points": "count(x)"}
     return seed.unionByName(pts).groupBy("center_rank").agg(
         F.expr("max(old_x)").alias("old_x"), F.expr("max(old_y)").alias("old_y"),
-        *[F.expr(s.rsplit(" AS ", 1)[0]).cast("long").alias(s.rsplit(" AS ", 1)[1]) for s in sums],
+        *[F.expr(f"CAST({e} AS BIGINT)").alias(name) for name, e in sums.items()],
     )
 
 

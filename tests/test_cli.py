@@ -40,3 +40,20 @@ def test_status_and_listing(spark, inputs):
     main(["listing", pts, ctr, f"{d}/ls", "1"], spark=spark)
     listing = read_assignments(spark, f"{d}/lsFinal").collect()
     assert len(listing) == 10 and (9999, 9999) not in {(r.center_x, r.center_y) for r in listing}
+
+
+def test_stop_any_combined_collapse_and_table(spark, inputs):
+    pts, ctr, d = inputs
+    main(["stop-any", pts, ctr, f"{d}/sa", "5"], spark=spark)
+    assert os.path.isdir(f"{d}/sa2") and not os.path.exists(f"{d}/sa3")  # never tested before round 2
+    main(["combined", pts, ctr, f"{d}/cb", "2", "--collapse", "--persist", "table"], spark=spark)
+    rows = [tuple(r)[1:] for r in read_result(spark, f"{d}/cb2").orderBy("rank").collect()]
+    assert (0, 205, 0, 205) in rows and (-2, 50, -2, 50) in rows
+
+
+def test_resume_flag(spark, inputs):
+    pts, ctr, d = inputs
+    main(["plain", pts, ctr, f"{d}/rs", "1"], spark=spark)
+    main(["plain", pts, ctr, f"{d}/rs", "2", "--resume"], spark=spark)
+    rows = [tuple(r)[1:] for r in read_result(spark, f"{d}/rs2").orderBy("rank").collect()]
+    assert rows[0] == (-3, 50, -3, 50)
