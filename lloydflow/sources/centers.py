@@ -146,15 +146,18 @@ def collapse_centers(centers: DataFrame, rank: str = "rank", x: str = "x", y: st
 def as_center_list(centers) -> list[tuple[int, int]]:
     """Centres in rank order as ``(x, y)`` pairs, from a DataFrame or any sequence.
 
-    A DataFrame is brought to the driver only up to ``MAX_CENTERS + 1`` rows: one
-    more than allowed proves the set too large and fails instead of truncating.
+    A DataFrame is counted first and brought to the driver only if it holds at
+    most ``MAX_CENTERS`` rows; a larger one fails instead of being truncated.
+    Without a ``rank`` column its row order is taken as given.
     """
     if isinstance(centers, DataFrame):
-        cols = centers.columns
-        order = "rank" if "rank" in cols else None
-        df = centers.orderBy(order) if order else centers
-        rows = df.select("x", "y").limit(MAX_CENTERS + 1).collect()
-        pairs = [(int(r[0]), int(r[1])) for r in rows]
+        df = centers.select(*(["rank"] if "rank" in centers.columns else []), "x", "y")
+        n = df.count()
+        if n > MAX_CENTERS:
+            raise ValueError(f"{n} centres: more than {MAX_CENTERS}")
+        if "rank" in df.columns:
+            df = df.orderBy("rank")
+        pairs = [(int(r["x"]), int(r["y"])) for r in df.collect()]
     else:
         pairs = [(int(c[0]), int(c[1])) for c in centers]
     if not pairs:
