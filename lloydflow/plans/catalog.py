@@ -32,7 +32,14 @@ from ..sources.centers import (
     read_status_centers,
 )
 from ..sources.points import collapse_points, parse_point_lines, points_from, read_assignments, read_points
-from ..sources.sinks import assignment_lines, iteration_path, result_lines, status_lines
+from ..sources.sinks import (
+    assignment_lines,
+    iteration_path,
+    result_lines,
+    status_lines,
+    write_assignments,
+    write_result,
+)
 from ..streaming.clusters import assign_stream, read_table_stream, running_step, write_stream
 from .lloyd import fit, prepare_centers, step
 from .workload import K5, K5F, KDUP, KE, KT, LATTICE_60, LATTICE_200, points_c, points_e, points_l, table
@@ -427,6 +434,29 @@ def assignment_text_lines(spark, d):
     return assignment_lines(a).select("key", "x", "y", "value")
 
 
+@query
+def points_collapsed(spark, d):
+    """Equal event points merged into weights (the exact pre-collapse)."""
+    return collapse_points(points_e(spark, d).select("x", "y")).select("x", "y", "weight")
+
+
+@query
+def sink_roundtrip_parquet(spark, d):
+    """S6/S8 in parquet: a round's result and the final listing, written and read back."""
+    pts = points_c(spark, d)
+    res = fit(pts, K5, iterations=1, mode="combined")
+    base = scratch_path(spark, "parquet-sinks")
+    write_result(res.result(), f"{base}/result", fmt="parquet")
+    write_assignments(res.assignment(pts), f"{base}/listing", fmt="parquet")
+    result = spark.read.parquet(f"{base}/result").select(
+        F.lit("result").alias("kind"), F.col("new_x").alias("a"), F.col("new_y").alias("b"),
+        F.col("old_x").alias("c"), F.col("old_y").alias("d"))
+    listing = spark.read.parquet(f"{base}/listing").select(
+        F.lit("listing").alias("kind"), F.col("center_x").alias("a"), F.col("center_y").alias("b"),
+        F.col("x").alias("c"), F.col("y").alias("d"))
+    return result.unionByName(listing)
+
+
 # ---------------------------------------------------------------- streaming
 
 def _stream_points(spark, d, name, project):

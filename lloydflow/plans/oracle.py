@@ -272,6 +272,13 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT {_text('cx', 'cy')} AS key, x, y, {_text('cx', 'cy')} || chr(9) || {_text('x', 'y')} || ' ' AS value "
         f"FROM a"
     )
+    q["points_collapsed"] = f"SELECT x, y, count(*) AS weight FROM ({E}) GROUP BY x, y"
+    ch = Chain(C, K5).iterate(1)
+    ch.assign("fa", "c2")
+    q["sink_roundtrip_parquet"] = ch.sql(
+        "SELECT 'result' AS kind, new_x AS a, new_y AS b, old_x AS c, old_y AS d FROM r1 "
+        "UNION ALL SELECT 'listing' AS kind, cx AS a, cy AS b, x AS c, y AS d FROM fa"
+    )
 
     # --- streaming: the same operators, run to completion over a file stream ------
     q["stream_assign"] = assign_sql(C, K5, "c_custkey")
