@@ -126,7 +126,7 @@ def finalize_partials(merged: DataFrame) -> DataFrame:
 
 
 def members(assigned: DataFrame, x: str = "x", y: str = "y", keep: Sequence[str] = ()) -> DataFrame:
-    """A5: each cluster's members with the cluster's running average, one row per point.
+    """A5: each cluster's members with the cluster's truncated average, one row per point.
 
     The reference concatenates a cluster's members into one ``(x,y) (x,y) …``
     text.  A cluster may hold a third of all points, so the list stays in long
