@@ -46,7 +46,6 @@ Ranked = Sequence[tuple[int, int, int]]
 _FAR_MESSAGE = f"point is at distance >= {INITIAL_BEST_DISTANCE} from every centre"
 
 
-
 def choose_strategy(k: int, strategy: str = "auto") -> str:
     if strategy == "auto":
         return "unrolled" if k <= UNROLL_LIMIT else "vectorized"

@@ -94,14 +94,17 @@ def nearest_indices(px: np.ndarray, py: np.ndarray, cx: np.ndarray, cy: np.ndarr
     if out.any():
         idx[out], best[out] = _blocks(px[out], py[out], cx, cy, rows_per_block)
     if inside.any():
-        pin = np.flatnonzero(inside)
-        cand = table[(cellx[pin] * g + celly[pin]).astype(np.int64)]
-        cxp = np.append(cx, np.inf)[cand]
-        cyp = np.append(cy, np.inf)[cand]
-        dx = px[pin, None] - cxp
-        dy = py[pin, None] - cyp
-        d2 = dx * dx + dy * dy
-        j = d2.argmin(axis=1)
-        idx[pin] = cand[np.arange(len(j)), j]
-        best[pin] = d2[np.arange(len(j)), j]
+        all_in = np.flatnonzero(inside)
+        cxa, cya = np.append(cx, np.inf), np.append(cy, np.inf)  # the padding centre is at infinity
+        step = max(1, _BLOCK_CELLS // table.shape[1])
+        for start in range(0, len(all_in), step):
+            pin = all_in[start:start + step]
+            cand = table[(cellx[pin] * g + celly[pin]).astype(np.int64)]
+            dx = px[pin, None] - cxa[cand]
+            dy = py[pin, None] - cya[cand]
+            d2 = dx * dx + dy * dy
+            j = d2.argmin(axis=1)
+            rows = np.arange(len(j))
+            idx[pin] = cand[rows, j]
+            best[pin] = d2[rows, j]
     return idx, best
