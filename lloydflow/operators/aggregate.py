@@ -131,7 +131,9 @@ def members(assigned: DataFrame, x: str = "x", y: str = "y", keep: Sequence[str]
     The reference concatenates a cluster's members into one ``(x,y) (x,y) …``
     text.  A cluster may hold a third of all points, so the list stays in long
     form (``member`` is the point text) and the per-cluster average — at most k
-    rows — is broadcast back to the points.
+    rows — is broadcast back to the points.  Every row needs its cluster's full
+    average, so the assigned points are read twice (averages, then rows);
+    persist ``assigned`` first when its source is expensive.
     """
     stats = assigned.groupBy("center_rank").agg(
         F.sum(F.col(x).cast("long")).alias("sum_x"),
