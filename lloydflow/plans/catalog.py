@@ -28,6 +28,7 @@ from ..sources.centers import (
     parse_center_lines,
     parse_result_lines,
     parse_status_lines,
+    read_centers,
     read_result,
     read_status_centers,
 )
@@ -98,6 +99,17 @@ def centers_parse_text(spark, d):
     return parse_center_lines(lines)
 
 
+@query
+def centers_file_roundtrip(spark, d):
+    """S2 end to end: a round's new centres written as an ``x<TAB>y`` file, read back as a seed file."""
+    res = step(points_l(spark, d), K5, "combined")
+    path = scratch_path(spark, "centres-file")
+    (res.select(center_text("old_x", "old_y").alias("key"),
+                F.concat_ws("\t", _s("new_x"), _s("new_y")).alias("value"))
+     .repartition(1).sortWithinPartitions("key").select("value").write.text(path))
+    return read_centers(spark, path)
+
+
 @query
 def status_centers_parse(spark, d):
     """S4 on documents: an order's status line, then its line items as centres."""
@@ -360,6 +372,11 @@ def fit_stop_all_lineitem(spark, d):
     return fit(points_l(spark, d), K5, iterations=5, mode="plain", stop="all").result().select(*RESULT_COLS)
 
 
+@query
+def fit_stop_any_lineitem(spark, d):
+    return fit(points_l(spark, d), K5, iterations=5, mode="plain", stop="any").result().select(*RESULT_COLS)
+
+
 @query
 def fit_persist_table_3(spark, d):
     """Points materialised once as a table under the checkpoint folder, then three rounds."""

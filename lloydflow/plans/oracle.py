@@ -132,6 +132,7 @@ def oracle_sql() -> dict[str, str]:
     q["points_parse_text"] = f"SELECT c_custkey, x, y FROM ({C})"
     q["points_file_roundtrip"] = f"SELECT x, y FROM ({C})"
     q["centers_parse_text"] = f"SELECT CAST(c_custkey AS INTEGER) AS rank, x, y FROM ({C})"
+    q["centers_file_roundtrip"] = Chain(L, K5).iterate().sql("SELECT pos AS rank, new_x AS x, new_y AS y FROM r1")
     q["status_centers_parse"] = (
         f"SELECT l.l_orderkey AS doc, CASE WHEN o.o_orderstatus = 'F' THEN 'Has converged' "
         f"ELSE 'Has not converged' END AS status, CAST(l.l_linenumber - 1 AS INTEGER) AS rank, l.x, l.y "
@@ -226,6 +227,7 @@ def oracle_sql() -> dict[str, str]:
     q["fit_collapsed_sentinel_3"] = fit_sql(E, KE, "plain", 3)
     q["fit_large_k_3"] = fit_sql(C, LATTICE_60, "combined", 3)
     q["fit_stop_all_lineitem"] = fit_stop_sql(L, K5, "plain", "all")
+    q["fit_stop_any_lineitem"] = fit_stop_sql(L, K5, "plain", "any")
     q["fit_persist_table_3"] = fit_sql(L, K5, "combined", 3)
     q["dup_centers_plain"] = step_sql(C, KDUP, "plain")
     ch = Chain(C, K5).iterate(3)
