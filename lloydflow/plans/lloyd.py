@@ -291,12 +291,16 @@ def _resume_point(spark: SparkSession, prefix: str, iterations: int, stop: str,
     path = iteration_path(prefix, done)
     if status_files:
         rows = read_status_centers(spark, path).orderBy("rank").collect()
+        if not rows:
+            raise ValueError(f"{path} holds no centres to resume from")
         ranked = ranked_distinct([(r["x"], r["y"]) for r in rows])
         if stop == "any":
             raise ValueError("status-headed files keep no old centres: resume stop='any' from result files")
         stopped = stop == "all" and rows[0]["status"] == STATUS_CONVERGED
         return done, ranked, stopped
     rows = read_result(spark, path).orderBy("rank").collect()
+    if not rows:
+        raise ValueError(f"{path} holds no centres to resume from")
     ranked = ranked_distinct([(r["new_x"], r["new_y"]) for r in rows])
     moves = [max(abs(r["new_x"] - r["old_x"]), abs(r["new_y"] - r["old_y"])) for r in rows]
     stopped = (stop == "any" and done >= 2 and min(moves) < threshold) or (
