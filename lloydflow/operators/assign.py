@@ -99,13 +99,25 @@ def _unrolled(points: DataFrame, ranked: Ranked, x: str, y: str, rank_col: str,
     return step2.selectExpr(*out)
 
 
+_GRIDS: dict[bytes, object] = {}
+
+
+def _grid_for(key: bytes, cx: np.ndarray, cy: np.ndarray):
+    """The candidate grid of a centre list, kept for the last few lists (rounds repeat them)."""
+    if key not in _GRIDS:
+        if len(_GRIDS) >= 4:
+            _GRIDS.pop(next(iter(_GRIDS)))
+        _GRIDS[key] = candidate_grid(cx, cy)
+    return _GRIDS[key]
+
+
 def _nearest_udf(ranked: Ranked, with_coords: bool):
     ranks = np.array([r for r, _, _ in ranked], dtype=np.int32)
     cxi = np.array([c for _, c, _ in ranked], dtype=np.int32)
     cyi = np.array([c for _, _, c in ranked], dtype=np.int32)
     cx = cxi.astype(np.float64)
     cy = cyi.astype(np.float64)
-    grid = candidate_grid(cx, cy)  # built once on the driver, shipped with the function
+    grid = _grid_for(cxi.tobytes() + cyi.tobytes(), cx, cy)  # built on the driver, shipped with the function
     out_type = "d2 double, rank int, x int, y int" if with_coords else "d2 double, rank int"
 
     @F.pandas_udf(out_type)

@@ -89,6 +89,7 @@ class Iteration:
     max_move: int
     n_stable: int
     seconds: float
+    replayed: bool = False  # True when the round repeated the previous centre list and was not recomputed
 
     @property
     def new_centers(self) -> list[tuple[int, int]]:
@@ -182,6 +183,10 @@ def fit(points: DataFrame, centers, iterations: int = 1, mode: str = "combined",
     exact, and much less work on very repetitive integer data.  The final
     listing still lists every original point.
 
+    A round whose centre list (values and order) equals the previous round's is
+    not recomputed: its result is the previous one (``Iteration.replayed``), so
+    fixed-round runs cost nothing after reaching a fixed point.
+
     ``resume=True`` (with ``output_prefix``) restarts a run whose driver was lost:
     the last round already written under the prefix is read back (S3/S4), its
     new centres seed the next round, and its stop test is re-applied — a run
@@ -235,16 +240,25 @@ def fit(points: DataFrame, centers, iterations: int = 1, mode: str = "combined",
             path = scratch_path(spark, "points")
             pts.write.parquet(path)
             pts = spark.read.parquet(path)
+    previous: tuple[list, Iteration] | None = None
     try:
         for r in range(first, iterations + 1):
             t0 = time.perf_counter()
-            collected = _step(pts, ranked, mode, r, strategy, x, y, weight).collect()
-            collected.sort(key=lambda row: text_key(row["old_x"], row["old_y"]))
-            rows = [(row["new_x"], row["new_y"], row["old_x"], row["old_y"], row["n_points"]) for row in collected]
-            moves = [max(abs(nx - ox), abs(ny - oy)) for nx, ny, ox, oy, _ in rows]
-            it = Iteration(r, rows, status_of(moves, threshold), max(moves),
-                           sum(1 for m in moves if m < threshold), time.perf_counter() - t0)
+            if previous is not None and previous[0] == ranked:
+                # Same centre list (values and order) as the round before: a round is a
+                # pure function of the points and that list, so its result is known.
+                last = previous[1]
+                it = Iteration(r, last.rows, last.status, last.max_move, last.n_stable, 0.0, replayed=True)
+            else:
+                collected = _step(pts, ranked, mode, r, strategy, x, y, weight).collect()
+                collected.sort(key=lambda row: text_key(row["old_x"], row["old_y"]))
+                rows = [(row["new_x"], row["new_y"], row["old_x"], row["old_y"], row["n_points"])
+                        for row in collected]
+                moves = [max(abs(nx - ox), abs(ny - oy)) for nx, ny, ox, oy, _ in rows]
+                it = Iteration(r, rows, status_of(moves, threshold), max(moves),
+                               sum(1 for m in moves if m < threshold), time.perf_counter() - t0)
             out.iterations.append(it)
+            previous = (ranked, it)
             if output_prefix is not None:
                 # a resumed run replaces a round folder left unfinished by the lost driver
                 _write_iteration(out, it, iteration_path(output_prefix, r), status_files,

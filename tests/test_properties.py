@@ -121,3 +121,14 @@ def test_resume_after_a_finished_stop(spark, scratch):
     again = fit(df, ctr, iterations=20, mode="plain", stop="all", output_prefix=prefix, resume=True)
     assert again.iterations == [] and again.resumed_from == first.iterations_run
     assert again.final_centers == first.final_centers
+
+
+def test_fixed_point_rounds_are_replayed_exactly(spark):
+    pts = _random(8, n=600, span=50)
+    df = spark.createDataFrame(pts, "x INT, y INT")
+    ctr = [(-20, -20), (20, 20), (0, 30)]
+    got = fit(df, ctr, iterations=12, mode="combined")
+    assert [it.rows for it in got.iterations] == brute.fit(pts, ctr, 12, "combined")
+    replayed = [it.replayed for it in got.iterations]
+    assert any(replayed) and not replayed[0]
+    assert all(replayed[replayed.index(True):])  # once at a fixed point, every later round is replayed
