@@ -354,6 +354,12 @@ def fit_fixed_combined_sentinel_3(spark, d):
     return fit(points_e(spark, d), KE, iterations=3, mode="combined").result().select(*RESULT_COLS)
 
 
+@query
+def fit_fixed_combined_sentinel_10(spark, d):
+    """Ten combined rounds on event points (a long chain; repeated centre lists would be replayed)."""
+    return fit(points_e(spark, d), KE, iterations=10, mode="combined").result().select(*RESULT_COLS)
+
+
 @query
 def fit_collapsed_sentinel_3(spark, d):
     """Three plain rounds over event points merged into weights first."""

@@ -224,6 +224,7 @@ def oracle_sql() -> dict[str, str]:
     q["fit_stop_all_k5f"] = fit_stop_sql(C, K5F, "plain", "all")
     q["fit_fixed_plain_sentinel_3"] = fit_sql(E, KE, "plain", 3)
     q["fit_fixed_combined_sentinel_3"] = fit_sql(E, KE, "combined", 3)
+    q["fit_fixed_combined_sentinel_10"] = fit_sql(E, KE, "combined", 10)
     q["fit_collapsed_sentinel_3"] = fit_sql(E, KE, "plain", 3)
     q["fit_large_k_3"] = fit_sql(C, LATTICE_60, "combined", 3)
     q["fit_stop_all_lineitem"] = fit_stop_sql(L, K5, "plain", "all")
