@@ -27,7 +27,7 @@ from ..operators.convergence import status_of
 from ..operators.ordering import text_key
 from ..sources.centers import as_center_list, centers_frame, ranked_distinct, read_result, read_status_centers
 from ..sources.points import collapse_points
-from ..session import local_frame, scratch_path
+from ..session import local_frame, scan_partitions, scratch_path
 from ..sources.sinks import iteration_path, write_assignments, write_result, write_status
 
 STOP_RULES = ("none", "any", "all")
@@ -38,20 +38,6 @@ HISTORY_SCHEMA = ("iteration INT, k INT, n_points BIGINT, max_move BIGINT, n_sta
                   "seconds DOUBLE")
 
 
-def scan_partitions(df: DataFrame) -> int | None:
-    """Number of partitions of an input that is read without a shuffle, else None.
-
-    Asking an adaptive plan that contains a shuffle for its partitions would run
-    that shuffle, so only shuffle-free plans (planning only) are asked.
-    """
-    jdf = getattr(df, "_jdf", None)  # classic sessions only; elsewhere the rebalance is skipped
-    if jdf is None:
-        return None
-    if "Exchange" in jdf.queryExecution().executedPlan().toString():
-        return None
-    return df.rdd.getNumPartitions()
-
-
 def prepare_centers(centers) -> list[tuple[int, int, int]]:
     """Centres (DataFrame ``rank, x, y`` or ``(x, y)`` pairs) → distinct ``(rank, x, y)``."""
     return ranked_distinct(as_center_list(centers))

@@ -90,3 +90,18 @@ def local_frame(spark: SparkSession, rows, schema: str):
     cols = ", ".join(f"col{i + 1}" for i in range(len(fields)))
     select = ", ".join(f"CAST(col{i + 1} AS {t}) AS `{n}`" for i, (n, t) in enumerate(fields))
     return spark.sql(f"SELECT {select} FROM VALUES {values} AS t({cols})")
+
+
+def scan_partitions(df) -> int | None:
+    """Number of partitions of a DataFrame that is read without a shuffle, else None.
+
+    Asking an adaptive plan that contains a shuffle for its partitions would run
+    that shuffle, so only shuffle-free plans (planning only) are asked; plan
+    inspection needs a classic session, elsewhere the answer is None.
+    """
+    jdf = getattr(df, "_jdf", None)
+    if jdf is None:
+        return None
+    if "Exchange" in jdf.queryExecution().executedPlan().toString():
+        return None
+    return df.rdd.getNumPartitions()

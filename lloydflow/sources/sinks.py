@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.constants import STATUS_CONVERGED, STATUS_NOT_CONVERGED
 from ..functions.geometry import center_text
-from ..session import local_frame
+from ..session import local_frame, scan_partitions
 
 
 def iteration_path(prefix: str, iteration: int | str) -> str:
@@ -66,18 +66,32 @@ def assignment_lines(assigned: DataFrame) -> DataFrame:
     )
 
 
+def _sorted(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Global sort for the listing, range-partitioned into at least as many parts as the input.
+
+    ``orderBy`` would use ``spark.sql.shuffle.partitions`` parts whatever the input
+    size; sizing by the input's own splits keeps sorted parts about split-sized, so
+    a 100 TB listing does not sort a few huge partitions.  The row id only breaks
+    ties between identical lines, so even one point repeated across a third of
+    the input is split over many tasks.
+    """
+    spark = df.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), scan_partitions(df) or 0)
+    with_id = df.withColumn("__row_id", F.monotonically_increasing_id())
+    order = [*keys, "__row_id"]
+    return with_id.repartitionByRange(parts, *order).sortWithinPartitions(*order).drop("__row_id")
+
+
 def write_assignments(assigned: DataFrame, path: str, fmt: str = "text", sort: bool = True,
                       mode: str = "errorifexists") -> None:
     """The point → centre listing, sorted by centre text (then point) when ``sort``."""
     if fmt == "parquet":
-        out = assigned.select("center_x", "center_y", "x", "y")
+        out = assigned.select(center_text("center_x", "center_y").alias("__key"), "center_x", "center_y", "x", "y")
         if sort:
-            out = out.orderBy(center_text("center_x", "center_y"), "x", "y", F.monotonically_increasing_id())
-        out.write.mode(mode).parquet(path)
+            out = _sorted(out, ["__key", "x", "y"])
+        out.drop("__key").write.mode(mode).parquet(path)
         return
     lines = assignment_lines(assigned)
     if sort:
-        # The row id only breaks ties between identical lines, so that even one
-        # point repeated across a third of the input is range-split over many tasks.
-        lines = lines.orderBy("key", "x", "y", F.monotonically_increasing_id())
+        lines = _sorted(lines, ["key", "x", "y"])
     lines.select("value").write.mode(mode).text(path)

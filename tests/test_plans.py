@@ -51,9 +51,19 @@ def test_step_plan_size_constant_across_iterations(spark):
 
 
 def test_fit_does_not_run_an_input_shuffle_twice(spark):
-    from lloydflow.plans.lloyd import scan_partitions
+    from lloydflow.session import scan_partitions
     from lloydflow.sources.points import collapse_points
 
     pts = points_l(spark, SF_SMALL).select("x", "y")
     assert scan_partitions(pts) >= 1  # a plain scan: asked, planning only
     assert scan_partitions(collapse_points(pts)) is None  # would run the aggregation: not asked
+
+
+def test_listing_sort_is_sized_by_the_input(spark):
+    from lloydflow.sources.sinks import _sorted
+
+    wide = spark.range(0, 5000, numPartitions=24).selectExpr("CAST(id % 7 AS STRING) AS key", "id AS x", "id AS y")
+    out = _sorted(wide, ["key", "x", "y"])
+    assert out.rdd.getNumPartitions() >= 24  # not capped at spark.sql.shuffle.partitions (8 here)
+    rows = [(r.key, r.x) for r in out.collect()]
+    assert rows == sorted(rows)
