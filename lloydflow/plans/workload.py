@@ -30,7 +30,7 @@ def lattice(n: int, cols: int = 10, x0: int = -1000, dx: int = 1200, y0: int = 5
 
 
 LATTICE_60 = lattice(60)
-LATTICE_200 = lattice(200, cols=20, x0=-500, dx=560, y0=0, dy=1100)  # the pruning-grid path (k ≥ 128)
+LATTICE_200 = lattice(200, cols=20, x0=-500, dx=560, y0=0, dy=1100)  # many centres: the pruning-grid path
 
 POINTS_L_SQL = ("SELECT l_orderkey, l_linenumber, l_suppkey, CAST(floor(l_extendedprice / 10) AS INTEGER) AS x, "
                 "CAST(floor(l_quantity * 200) AS INTEGER) AS y FROM lineitem")
