@@ -56,3 +56,17 @@ def test_plain_partials_merge_equal_plain_step(spark):
     got = sorted((r.new_x, r.new_y, r.old_x, r.old_y) for r in merged.collect())
     want = sorted(r[:4] for r in brute.step(PTS * 3, CTR, "plain"))
     assert got == want
+
+
+@pytest.mark.parametrize("strategy", ["unrolled", "vectorized"])
+@pytest.mark.parametrize("persist", [True, "table"])
+def test_collapse_with_each_strategy_and_persistence(spark, strategy, persist):
+    import random
+
+    rng = random.Random(9)
+    pts = [(rng.choice([-1, rng.randint(-6, 6)]), rng.randint(-6, 6)) for _ in range(400)]
+    ctr = [(rng.randint(-6, 6), rng.randint(-6, 6)) for _ in range(40)]
+    df = spark.createDataFrame(pts, "x INT, y INT")
+    for mode in ("plain", "combined"):
+        got = fit(df, ctr, iterations=3, mode=mode, collapse=True, strategy=strategy, persist=persist)
+        assert [it.rows for it in got.iterations] == brute.fit(pts, ctr, 3, mode)
