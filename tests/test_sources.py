@@ -186,3 +186,9 @@ def test_oversized_centre_file_fails(spark, scratch, monkeypatch):
     p = write_text(f"{scratch('big')}/centers.txt", "1,1\n2,2\n3,3\n4,4\n")
     with pytest.raises(FAILS):
         centers.read_centers(spark, p).collect()
+
+
+def test_json_export_per_group_in_rank_order(spark):
+    df = spark.createDataFrame([("a", 1, 5, 5), ("a", 0, -1, 2), ("b", 0, 7, 7)], "g STRING, rank INT, x INT, y INT")
+    got = {r.g: r.centers_json for r in centers_to_json(df, group_cols=["g"]).collect()}
+    assert got == {"a": '[{"x":-1,"y":2},{"x":5,"y":5}]', "b": '[{"x":7,"y":7}]'}
