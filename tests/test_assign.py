@@ -87,3 +87,18 @@ def test_grid_path_in_spark_matches_brute_force(spark):
     df = spark.createDataFrame(pts, "x INT, y INT")
     got = sorted((r.center_x, r.center_y, r.x, r.y) for r in assign(df, prepare_centers(ctr)).collect())
     assert got == brute.assignment(pts, ctr)
+
+
+@pytest.mark.parametrize("strategy", ["unrolled", "vectorized"])
+def test_large_coordinates_agree_with_square_root_scan(spark, strategy):
+    # |Δ| up to 4·10^7: squares stay exact in DOUBLE, so comparing d² picks the same
+    # centre as the reference's comparison of square roots, ties included.
+    rng = np.random.default_rng(21)
+    span = 20_000_000
+    pts = [tuple(int(v) for v in p) for p in rng.integers(-span, span, size=(1500, 2))]
+    ctr = [tuple(int(v) for v in p) for p in rng.integers(-span // 2, span // 2, size=(12, 2)) * 2]
+    pts.append(((ctr[0][0] + ctr[1][0]) // 2, (ctr[0][1] + ctr[1][1]) // 2))  # an exact tie
+    df = spark.createDataFrame(pts, "x INT, y INT")
+    got = sorted((r.center_x, r.center_y, r.x, r.y) for r in assign(df, prepare_centers(ctr), strategy=strategy)
+                 .collect())
+    assert got == brute.assignment(pts, ctr)
