@@ -40,8 +40,9 @@ def local_session(cores: int | str = "*", app: str = "lloydflow", shuffle_partit
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared scratch folder (``spark.checkpoint.dir``).
 
-    If the session names none (local runs, tests), a fresh folder is created and
-    registered as the checkpoint dir so later calls agree.
+    If a local session names none (local runs, tests), a fresh folder is created
+    and registered as the checkpoint dir so later calls agree; a cluster session
+    without one is an error, since a driver-local folder is not shared.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None)
@@ -50,6 +51,9 @@ def shared_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not sc.master.startswith("local"):
+        # A folder on the driver's disk is invisible to executors: a cluster must name one.
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the whole cluster")
     local = tempfile.mkdtemp(prefix="lloydflow-ckpt-")
     sc.setCheckpointDir(local)
     return (sc.getCheckpointDir() or local).rstrip("/")

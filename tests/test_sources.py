@@ -192,3 +192,22 @@ def test_json_export_per_group_in_rank_order(spark):
     df = spark.createDataFrame([("a", 1, 5, 5), ("a", 0, -1, 2), ("b", 0, 7, 7)], "g STRING, rank INT, x INT, y INT")
     got = {r.g: r.centers_json for r in centers_to_json(df, group_cols=["g"]).collect()}
     assert got == {"a": '[{"x":-1,"y":2},{"x":5,"y":5}]', "b": '[{"x":7,"y":7}]'}
+
+
+def test_shared_dir_needs_a_cluster_folder_off_local(monkeypatch):
+    from lloydflow.session import shared_dir
+
+    class Ctx:
+        master = "spark://cluster:7077"
+
+        def getConf(self):
+            return {}
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Ctx()
+
+    with pytest.raises(RuntimeError):
+        shared_dir(Session())
