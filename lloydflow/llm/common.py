@@ -72,22 +72,27 @@ def cell_index(df: DataFrame, keys: list[str], order: list[str], out: str, salts
             .drop("_salt", "_rn", "_before"))
 
 
-def global_index(df: DataFrame, order: list[Column], out: str, name: str) -> DataFrame:
-    """Add ``out``: 0-based position of each row in the order of ``order`` over all rows.
+def global_index(df: DataFrame, order: list[Column], out: str, name: str) -> tuple[DataFrame, int]:
+    """Add ``out``: 0-based position of each row in the order of ``order`` over all rows; and their number.
 
     Range partitions are sorted, numbered locally and written; the shift of a
     partition is the sum of the counts before it (one row per partition).
     """
-    spark = df.sparkSession
     ranged = (df.repartitionByRange(*order).sortWithinPartitions(*order)
               .withColumn("_mid", F.monotonically_increasing_id()))
-    rows = stored(ranged, name).withColumn("_part", F.shiftright("_mid", 33).cast("int"))
-    shifts, total = {}, 0
-    # One row per range partition: bounded by the number of partitions.
-    for r in sorted(rows.groupBy("_part").count().collect()):
-        shifts[r[0]] = total
-        total += r[1]
-    parts = spark.createDataFrame([(k, v) for k, v in shifts.items()], "_part int, _shift long")
-    return (rows.join(F.broadcast(parts), "_part")
-            .withColumn(out, F.col("_shift") + F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)))
-            .drop("_part", "_shift", "_mid"))
+    return dense(stored(ranged, name), "_mid", out)
+
+
+def dense(rows: DataFrame, mid: str, out: str) -> tuple[DataFrame, int]:
+    """Replace ``mid`` (partition << 33 | place in the partition) by ``out``: 0, 1, 2, ... in its order; and their number."""
+    part = F.shiftright(mid, 33).cast("int")
+    shifts, total = [], 0
+    # One row per partition of the job that wrote the rows.
+    for p, n in sorted(rows.groupBy(part).count().collect()):
+        shifts.append((p, total))
+        total += n
+    parts = rows.sparkSession.createDataFrame(shifts, "_part int, _shift long")
+    numbered = (rows.withColumn("_part", part).join(F.broadcast(parts), "_part")
+                .withColumn(out, F.col("_shift") + F.col(mid).bitwiseAND(F.lit((1 << 33) - 1)))
+                .drop("_part", "_shift", mid))
+    return numbered, total

@@ -34,7 +34,7 @@ def source_targets(sizes: DataFrame, weights: tuple = (1, 2, 3), cap: int = 3) -
     shared by weight among the rest until none is above.
     """
     per = sizes.groupBy("skey", "source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
-    ranked = global_index(per, [F.col("source").isNull(), F.col("source")], "_i", "sources")
+    ranked, _ = global_index(per, [F.col("source").isNull(), F.col("source")], "_i", "sources")
     w = F.element_at(F.array(*[F.lit(float(x)) for x in weights]), (F.col("_i") % len(weights) + 1).cast("int"))
     src = stored(ranked.withColumn("_w", w).drop("_i"), "weights")
     total = src.agg(F.sum("source_size")).first()[0] or 0

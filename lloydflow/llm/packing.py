@@ -27,6 +27,8 @@ from .tokenize import END_BYTES, encoder
 CAPACITY = 1024
 #: Groups of the large lengths; lengths up to CAPACITY // SMALL_PART are small.
 GROUPS, SMALL_PART = 40, 8
+#: Room up to which a substituted configuration may be kept; the plan with the fewest sequences wins.
+KEEP_ROOM = (0, 2, 5, 10, 20, 40, 80, 160)
 
 
 def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = None) -> DataFrame:
@@ -153,7 +155,23 @@ def plan_bins(histogram: dict[int, int], capacity: int = CAPACITY, groups: int =
                 run[0][1] -= t
                 if not run[0][1]:
                     run.pop(0)
-    # Best fit, longest first, of everything that is left.
+    # A substituted configuration with much room is worth less than its pieces
+    # are to best fit: try several limits of room and keep the best plan.
+    plans = []
+    for limit in KEEP_ROOM:
+        kept, rest = [], dict(left)
+        for t, lengths in bins:
+            if capacity - sum(lengths) <= limit:
+                kept.append((t, lengths))
+            else:
+                for n in lengths:
+                    rest[n] += t
+        plans.append(_best_fit(kept, rest, capacity))
+    return min(plans, key=lambda p: sum(t for t, _ in p))
+
+
+def _best_fit(bins: list[tuple[int, list[int]]], left: dict[int, int], capacity: int) -> list[tuple[int, list[int]]]:
+    """``bins`` with the ``left`` pieces (length -> count) added best-fit, longest first."""
     room: dict[int, list[tuple[int, list[int]]]] = {}
     rooms: list[int] = []  # sorted residuals that have sequences
 
