@@ -6,6 +6,7 @@ from pyspark import cloudpickle
 
 from .ann_tree import op7_ann_tree
 from .jaccard_join import OP10_SQL, op10_jaccard_join
+from .katz import op1_katz_lm
 from .lang_id import op5_language_id
 from .line_dedup import OP4_SQL, op4_line_dedup
 from .mixing import op2_entropy_mix
@@ -21,7 +22,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 def queries() -> dict:
     """One query per operator over its whole table."""
     return {f.__name__: f for f in (
-        op2_entropy_mix, op3_secret_scan, op4_line_dedup, op5_language_id, op6_exact_topk, op7_ann_tree,
+        op1_katz_lm, op2_entropy_mix, op3_secret_scan, op4_line_dedup, op5_language_id, op6_exact_topk, op7_ann_tree,
         op8_pfor_tokens, op9_best_fit_packing, op10_jaccard_join)}
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import cell_index, stored, table
-from .tokenize import END_BYTES, encoder
+from .tokenize import encoded
 
 CAPACITY = 1024
 #: Groups of the large lengths; lengths up to CAPACITY // SMALL_PART are small.
@@ -38,18 +38,24 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = No
     the remainder, all others are full.
     """
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        enc = encoder(tokenizer)
-        for batch in batches:
-            rows = []
-            for d, text in zip(batch["doc_id"].tolist(), batch["text"].tolist()):
-                data = memoryview(enc(text or "") + END_BYTES)
-                n, at, k = len(data) // 4, 0, 0
-                size = n % capacity or capacity
-                while at < n:
-                    rows.append((d, k, at, size, zlib.crc32(data[4 * at:4 * (at + size)])))
-                    at, k, size = at + size, k + 1, capacity
+        rows = []
+
+        def frame() -> pd.DataFrame:
             out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-            yield out.assign(doc_id=out["doc_id"].astype("Int64"))
+            return out.assign(doc_id=out["doc_id"].astype("Int64"))
+
+        for (d,), data in encoded(batches, ["doc_id"], tokenizer):
+            data = memoryview(data)
+            n, at, k = len(data) // 4, 0, 0
+            size = n % capacity or capacity
+            while at < n:
+                rows.append((d, k, at, size, zlib.crc32(data[4 * at:4 * (at + size)])))
+                at, k, size = at + size, k + 1, capacity
+            if len(rows) >= 50_000:
+                yield frame()
+                rows.clear()
+        if rows:
+            yield frame()
 
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
             .mapInPandas(cut, "doc_id long, piece int, start long, length long, ids_crc32 long"))

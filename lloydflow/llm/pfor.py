@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stored, table
-from .tokenize import END_BYTES, encoder
+from .tokenize import encoded
 
 MAGIC = b"PFR1"
 BLOCK = 256
@@ -50,7 +50,10 @@ def pack(ids: np.ndarray) -> bytes:
     packed: list = [b""] * n_blocks
     for w in np.unique(width):
         of = np.flatnonzero(width == w)
-        if w:
+        if w == 16:  # whole bytes need no bit work
+            for i, b in zip(of, low[of].astype("<u2")):
+                packed[i] = b.tobytes()
+        elif w:
             bits = np.unpackbits(low[of].view(np.uint8).reshape(len(of), BLOCK, 4), axis=2, bitorder="little")[:, :, :w]
             body = np.packbits(bits.reshape(len(of), BLOCK * int(w)), axis=1, bitorder="little")
             for i, b in zip(of, body):
@@ -86,6 +89,9 @@ def unpack(data: bytes, first: int = 0, count: int | None = None) -> np.ndarray:
             of = np.flatnonzero(widths == w)
             size = BLOCK * int(w) // 8
             body_bytes = raw[begins[of][:, None] + np.arange(size)]
+            if w == 16:
+                out[of] = body_bytes.view("<u2")
+                continue
             bits = np.unpackbits(body_bytes, axis=1, bitorder="little").reshape(len(of), BLOCK, int(w))
             full = np.zeros((len(of), BLOCK, 32), np.uint8)
             full[:, :, :w] = bits
@@ -128,20 +134,23 @@ def write_tokens(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     gives no file.  Other columns are not read.
     """
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        enc, part, seq = encoder(tokenizer), TaskContext.get().partitionId(), 0
+        part, seq = TaskContext.get().partitionId(), 0
         doc_ids, lengths, chunks, n = [], [], [], 0
-        for batch in batches:
-            for d, text in zip(batch["doc_id"].tolist(), batch["text"].tolist()):
-                data = enc(text or "") + END_BYTES
-                doc_ids.append(None if d is None or d != d else int(d))
-                lengths.append(len(data) // 4)
-                chunks.append(data)
-                n += lengths[-1]
-                if n >= IMAGE_IDS:
-                    yield pd.DataFrame({"part": [part], "seq": [seq], "n_ids": [n], "data": [image(doc_ids, lengths, np.frombuffer(b"".join(chunks), "<u4"))]})
-                    doc_ids, lengths, chunks, n, seq = [], [], [], 0, seq + 1
+
+        def close() -> pd.DataFrame:
+            ids = np.frombuffer(b"".join(chunks), "<u4")
+            return pd.DataFrame({"part": [part], "seq": [seq], "n_ids": [n], "data": [image(doc_ids, lengths, ids)]})
+
+        for (d,), data in encoded(batches, ["doc_id"], tokenizer):
+            doc_ids.append(None if d is None or d != d else int(d))
+            lengths.append(len(data) // 4)
+            chunks.append(data)
+            n += lengths[-1]
+            if n >= IMAGE_IDS:
+                yield close()
+                doc_ids, lengths, chunks, n, seq = [], [], [], 0, seq + 1
         if doc_ids:
-            yield pd.DataFrame({"part": [part], "seq": [seq], "n_ids": [n], "data": [image(doc_ids, lengths, np.frombuffer(b"".join(chunks), "<u4"))]})
+            yield close()
 
     ordered = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
                .repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text"))

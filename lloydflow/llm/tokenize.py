@@ -1,27 +1,28 @@
 """Token ids of whole texts with a public tokenizer, cached by word.
 
 The byte-level pattern of the tokenizer never lets a token cross a single space
-that stands between two visible characters, so a text whose spaces are all of
-that kind may be cut before each space and the pieces encoded alone.  Words
-repeat, so each worker keeps a bounded table of the encoded pieces.  Other
-texts go to the library whole.  Both ways give the library's ids.
+or line end that stands between two visible characters.  So a text whose spaces
+and line ends are all of that kind may be cut there and its words encoded
+alone.  Words repeat, so each worker keeps a bounded table of encoded words, and
+the words that a batch of texts adds to it are encoded together.  Other texts
+go to the library whole.  Both ways give the library's ids.
 """
 
 from __future__ import annotations
 
-import re
 import sys
+from itertools import chain
 
 import numpy as np
 
 END_ID = 2
-#: Most entries kept by one Python worker; pieces beyond it are encoded each time.
-CACHE_ENTRIES = 450_000
+#: Most words kept by one Python worker; what a batch needs beyond it lives as long as the batch.
+CACHE_ENTRIES = 1_200_000
+#: New words that go to the library in one call.
+BULK = 2000
 
-# A space at an end of the text, or beside other white space.
-_UNSAFE = re.compile(r"\s | \s|\A | \Z")
-# Letters with trailing ASCII stops: the library's pattern always cuts between the two.
-_STEM = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]+)\Z")
+# Stops after a letter: the library's pattern always cuts between the two.
+_STOPS = ".,;:!?"
 
 
 def tokenizer_path(path: str | None = None) -> str:
@@ -33,22 +34,52 @@ def tokenizer_path(path: str | None = None) -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-class _Pieces(dict):
-    """piece -> its ids as little-endian uint32 bytes."""
+class _Words(dict):
+    """word -> its ids as little-endian uint32 bytes.
 
-    def __init__(self, tokenizer, entries: int):
-        super().__init__()
-        self.encode, self.entries = tokenizer.encode, entries
+    A word stands for itself after a space; one that starts with a line end, for the line end
+    and itself.
+    """
 
-    def __missing__(self, piece: str) -> bytes:
-        cut = _STEM.match(piece)
-        if cut:
-            out = self[cut[1]] + self[cut[2]]
-        else:
-            out = np.array(self.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(self) < self.entries:
-            self[piece] = out
-        return out
+    def __init__(self, tokenizer, entries: int = CACHE_ENTRIES):
+        super().__init__()
+        self.tokenizer, self.entries, self.spare, self.tails = tokenizer, entries, {}, {}
+
+    def raw(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def keep(self, word: str, ids: bytes) -> bytes:
+        (self if len(self) < self.entries else self.spare)[word] = ids
+        return ids
+
+    def __missing__(self, word: str) -> bytes:
+        if word in self.spare:
+            return self.spare[word]
+        stem = word.rstrip(_STOPS)
+        if len(stem) < len(word) and stem[-1:].isalpha():
+            tail = word[len(stem):]
+            if tail not in self.tails:
+                self.tails[tail] = self.raw(tail)
+            return self.keep(word, self[stem] + self.tails[tail])
+        return self.keep(word, self.raw(word if word[0] == "\n" else " " + word))
+
+    def learn(self, words: set[str]) -> None:
+        """Encode the new words of a batch, many to a call where they are letters only."""
+        self.spare.clear()
+        new = {w.rstrip(_STOPS) for w in words if w not in self}
+        new = [w for w in new if w not in self]
+        for mark, some in ((" ", [w for w in new if w.isalpha()]), ("\n", [w for w in new if w[:1] == "\n" and w[1:].isalpha()])):
+            for at in range(0, len(some), BULK):
+                part = some[at:at + BULK]
+                enc = self.tokenizer.encode(" " + " ".join(part) if mark == " " else "".join(part), add_special_tokens=False)
+                ids, of = np.array(enc.ids, "<u4"), np.array(enc.word_ids)
+                cuts = [0, *(np.flatnonzero(of[1:] != of[:-1]) + 1).tolist(), len(ids)]
+                if mark == "\n":  # the line end is a token of its own, before each word
+                    cuts = cuts[::2]
+                if len(cuts) == len(part) + 1:  # else the words go to the library one by one
+                    raw = ids.tobytes()
+                    for w, a, b in zip(part, cuts, cuts[1:]):
+                        self.keep(w, raw[4 * a:4 * b])
 
 
 def _process_store() -> dict:
@@ -57,7 +88,7 @@ def _process_store() -> dict:
 
 
 def encoder(path: str | None = None):
-    """A function text -> bytes of its ids (little-endian uint32), without the end id."""
+    """A function texts -> bytes of each text's ids (little-endian uint32), without the end id; null texts are empty."""
     path = tokenizer_path(path)
     from tokenizers import Tokenizer
 
@@ -67,19 +98,34 @@ def encoder(path: str | None = None):
         tok.encode_special_tokens = True  # their strings in a text are ordinary text
         # The cutting rule belongs to the byte-level pattern; other tokenizers get whole texts.
         byte_level = tok.normalizer is None and str(tok.pre_tokenizer).startswith("ByteLevel(add_prefix_space=False")
-        kept[path] = (tok, _Pieces(tok, CACHE_ENTRIES), byte_level)
-    tok, pieces, byte_level = kept[path]
-    get = pieces.__getitem__
-
-    def encode(text: str) -> bytes:
-        if not text:
-            return b""
-        if not byte_level or _UNSAFE.search(text):
-            return np.array(tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        first, *rest = text.split(" ")
-        return get(first) + b"".join(map(get, [" " + w for w in rest]))
+        kept[path] = (_Words(tok), byte_level)
+    words, byte_level = kept[path]
+
+    def encode(texts: list) -> list[bytes]:
+        cut = [("\n" + t).replace("\n", " \n")[1:].split(" ") if t and byte_level else None for t in texts]
+        here = set(chain.from_iterable(c for c in cut if c))
+        # An empty word, or one with white space at an end: the text has white space side by side, or at an end.
+        loose = {w for w in here if w not in words and (w in ("", "\n") or w[w[0] == "\n":].strip() != w[w[0] == "\n":])}
+        if loose:
+            cut = [c if c and loose.isdisjoint(c) else None for c in cut]
+            here -= loose
+        words.learn(here)
+        get, start = {w: words[w] for w in here}.__getitem__, len(words.raw("\n"))
+        return [b"".join(map(get, c))[start:] if c else words.raw(t) if t else b"" for t, c in zip(texts, cut)]
 
     return encode
 
 
 END_BYTES = np.array([END_ID], "<u4").tobytes()
+#: Texts that are encoded together.
+TEXTS = 2000
+
+
+def encoded(batches, columns: list[str], path: str | None = None):
+    """(values of ``columns``, ids with the end id as bytes) of every row of pandas batches with a text column."""
+    enc = encoder(path)
+    for batch in batches:
+        for at in range(0, len(batch), TEXTS):
+            part = batch.iloc[at:at + TEXTS]
+            texts = [t if isinstance(t, str) else None for t in part["text"].tolist()]
+            yield from zip(zip(*(part[c].tolist() for c in columns)), (d + END_BYTES for d in enc(texts)))
