@@ -31,6 +31,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def boxed(docs: DataFrame, *needed: str) -> DataFrame:
+    """(_row, needed columns): every row as one struct, so that no column of the caller meets one of ours."""
+    return docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), *[docs[c] for c in needed])
+
+
+def unboxed(df: DataFrame, columns: list[str], **replaced: Column) -> DataFrame:
+    """The caller's columns out of ``_row``, some of them replaced."""
+    return df.select(*[replaced.get(c, F.col("_row").getField(c)).alias(c) for c in columns])
+
+
 def ascii_lower(c: Column) -> Column:
     """A-Z lower-cased, every other character unchanged.
 

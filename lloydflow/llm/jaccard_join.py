@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WS_CHARS, WS_CLASS, ascii_lower, cell_index, stored, table
+from .common import WS_CHARS, WS_CLASS, ascii_lower, boxed, cell_index, stored, table, unboxed
 from .components import components
 
 WORDS, SIMILARITY = 5, 0.8
@@ -357,9 +357,16 @@ def one_per_class(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     found = jaccard_classes(docs, similarity)
     gone = stored(found.filter((F.col("n_links") > 0) & ~F.col("doc_id").eqNullSafe(F.col("class_id")))
                   .select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_t")).distinct(), "gone")
-    stay = docs.withColumn("_k", F.xxhash64("text")).join(
-        gone, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_k") == F.col("_t")), "left_anti")
-    return stay.select(docs.columns)
+    keyed = boxed(docs, "doc_id", "text").withColumn("_k", F.xxhash64("text"))
+    stay = keyed.join(gone, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_k") == F.col("_t")), "left_anti")
+    # Equal rows of one doc_id are copies too; texts without a shingle have none.
+    twice = found.filter("n_links > 0").groupBy("doc_id", "text_key").count().filter("count > 1")
+    if not twice.isEmpty():
+        again = stored(twice.select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_t")), "twice")
+        match = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_k") == F.col("_t"))
+        one = stay.join(again, match, "left_semi").dropDuplicates(["doc_id", "_k"])
+        stay = stay.join(again, match, "left_anti").unionByName(one)
+    return unboxed(stay, docs.columns)
 
 
 def op10_jaccard_join(spark, sf_dir) -> DataFrame:

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, table
+from .common import boxed, crc_mod, table
 
 DIM = 1024
 ORDER = 3
@@ -131,7 +131,7 @@ def train(labelled: DataFrame, dim: int = DIM) -> tuple[list[str], np.ndarray]:
 
 
 def predict(docs: DataFrame, languages: list[str], prototypes: np.ndarray) -> DataFrame:
-    """All columns of ``docs`` plus ``_lang_pred`` and ``_score``; only text is read.
+    """(_row, doc_id, lang_pred, score): every row of ``docs`` as a struct, and what its text says.
 
     ``und`` with score 0 where the text is null or has no letter, or nothing was
     learnt.  Ties go to the language that is first by name.  The score is the cosine, at
@@ -161,23 +161,22 @@ def predict(docs: DataFrame, languages: list[str], prototypes: np.ndarray) -> Da
             yield pd.DataFrame({"lang": names, "score": scores})
 
     udf = F.pandas_udf(judge, "lang string, score double")
-    return (docs.withColumn("_judged", udf(F.col("text")))
-            .withColumn("_lang_pred", F.col("_judged.lang")).withColumn("_score", F.col("_judged.score")).drop("_judged"))
+    return (boxed(docs, "doc_id", "text").withColumn("_judged", udf(F.col("text")))
+            .select("_row", "doc_id", F.col("_judged.lang").alias("lang_pred"), F.col("_judged.score").alias("score")))
 
 
 def identify(docs: DataFrame, folds: int = 4, held_out: int = 2) -> DataFrame:
-    """All columns of ``docs`` plus ``_held_out``, ``_lang_pred`` and ``_score``.
+    """(_row, doc_id, held_out, lang_pred, score): one row per row of ``docs``, its own columns in the struct.
 
     Learns from the rows with a text and a lang whose crc32(doc_id) modulo
     ``folds`` is not ``held_out``; a null doc_id counts as the empty text.
     """
     fold = crc_mod(F.col("doc_id"), folds)
     languages, prototypes = train(docs.filter(fold != held_out).select("text", "lang"))
-    return predict(docs.withColumn("_held_out", fold == held_out), languages, prototypes)
+    return predict(docs, languages, prototypes).withColumn("held_out", fold == held_out)
 
 
 def op5_language_id(spark, sf_dir) -> DataFrame:
     """Predicted language of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    return identify(docs).select("doc_id", F.col("_held_out").alias("held_out"),
-                                 F.col("_lang_pred").alias("lang_pred"), F.col("_score").alias("score"))
+    return identify(docs).select("doc_id", "held_out", "lang_pred", "score")

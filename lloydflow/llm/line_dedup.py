@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WS_CHARS, ascii_lower, stored
+from .common import WS_CHARS, ascii_lower, boxed, stored, table
 
 #: Positions per bitmap word (a long without its sign).
 WORD_BITS = 62
@@ -57,14 +57,14 @@ def drop_bitmaps(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Dat
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
-    """All columns of ``docs`` plus ``_n_lines``, ``_n_dropped`` and ``_kept`` (the text of the kept lines).
+    """(_row, doc_id, n_lines, n_dropped, kept): every row of ``docs`` as a struct, and the text of its kept lines.
 
     See :func:`drop_bitmaps` for nulls, empty texts and repeated rows.  Extra
-    columns are carried through untouched.
+    columns travel inside the struct, whatever their names.
     """
     words = drop_bitmaps(docs, min_chars, min_docs).select(
         F.col("doc_id").alias("_d"), F.col("text_key").alias("_t"), F.col("words").alias("_words"))
-    joined = docs.withColumn("_tk", F.xxhash64("text")).join(
+    joined = boxed(docs, "doc_id", "text").withColumn("_tk", F.xxhash64("text")).join(
         words, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_tk") == F.col("_t")), "left")
     # The sparse words as a dense array, so that a line finds its bit by index.
     dense = ("CASE WHEN _words IS NULL THEN NULL ELSE transform(sequence(0, element_at(_words, -1).word), "
@@ -74,20 +74,17 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Data
             f"(shiftright(_dense[CAST(i DIV {WORD_BITS} AS INT)], CAST(i % {WORD_BITS} AS INT)) & 1L) = 0L), '\\n') END")
     return (joined.withColumn("_lines", _lines(F.col("text")))
             .withColumn("_dense", F.expr(dense))
-            .withColumn("_n_lines", F.size("_lines").cast("long"))
-            .withColumn("_n_dropped", F.expr("CASE WHEN _words IS NULL THEN 0L ELSE "
+            .withColumn("n_lines", F.size("_lines").cast("long"))
+            .withColumn("n_dropped", F.expr("CASE WHEN _words IS NULL THEN 0L ELSE "
                                             "aggregate(_words, 0L, (a, w) -> a + bit_count(w.bits)) END"))
-            .withColumn("_kept", F.expr(kept))
-            .drop("_d", "_t", "_tk", "_words", "_lines", "_dense"))
+            .withColumn("kept", F.expr(kept))
+            .select("_row", "doc_id", "n_lines", "n_dropped", "kept"))
 
 
 def op4_line_dedup(spark, sf_dir) -> DataFrame:
     """Line dedup of all documents: counts and the digest of what stays."""
-    from .common import table
-
     out = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return out.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"),
-                      F.sha2(F.col("_kept").cast("binary"), 256).alias("kept_sha256"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
 OP4_SQL = r"""

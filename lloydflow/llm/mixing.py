@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cell_index, global_index, stored, table, word_count
+from .common import boxed, cell_index, global_index, stored, table, unboxed, word_count
 
 #: Rates are integers in units of 1/RATE_ONE.
 RATE_ONE = 1 << 20
@@ -144,14 +144,19 @@ def mix(docs: DataFrame, weights: tuple = (1, 2, 3), cap: int = 3) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame, weights: tuple = (1, 2, 3), cap: int = 3) -> DataFrame:
-    """The rows of ``docs``, each repeated as often as the mix takes it."""
-    shares = mix(docs, weights, cap).filter("copies > 0").groupBy("doc_id", "tie").agg(
-        F.sum("copies").alias("_c"), F.count(F.lit(1)).alias("_rows"))
+    """The rows of ``docs``, each repeated as often as the mix takes it; extra columns go along whatever their names."""
+    shares = mix(docs, weights, cap).groupBy("doc_id", "tie").agg(
+        F.sum("copies").alias("_c"), F.count(F.lit(1)).alias("_rows")).filter("_c > 0")
     shares = shares.select(F.col("doc_id").alias("_d"), F.col("tie").alias("_t"), "_c", "_rows")
-    keyed = docs.withColumn("_k", F.xxhash64("text"))
+    keyed = boxed(docs, "doc_id", "text").withColumn("_k", F.xxhash64("text"))
     joined = keyed.join(shares, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_k") == F.col("_t")))
-    return (joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_c").cast("int"))))
-            .select(*[F.col(c) for c in docs.columns]))
+    copies = F.expr("CAST(_c DIV _rows + IF(_nth <= _c % _rows, 1, 0) AS INT)")
+    nth = Window.partitionBy("_d", "_t").orderBy(F.lit(1))
+    # Equal rows share their copies; all but those of a repeated doc_id are alone in their window.
+    repeated = joined.filter("_rows > 1").withColumn("_nth", F.row_number().over(nth))
+    alone = joined.filter("_rows = 1").withColumn("_nth", F.lit(1))
+    dealt = alone.unionByName(repeated).withColumn("_copies", copies).filter("_copies > 0")
+    return unboxed(dealt.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))), docs.columns)
 
 
 def op2_entropy_mix(spark, sf_dir) -> DataFrame:
