@@ -11,8 +11,6 @@ from .average import (
     truncated_mean,
 )
 from .constants import (
-    FAR_SQUARED,
-    MAX_CENTERS,
     STABILITY_THRESHOLD,
     STATUS_CONVERGED,
     STATUS_NOT_CONVERGED,
@@ -22,7 +20,7 @@ from .geometry import center_text, distance, is_stable, movement, point_text, sq
 from .parse import strict_int
 
 __all__ = [
-    "FAR_SQUARED", "MAX_CENTERS", "STABILITY_THRESHOLD", "STATUS_CONVERGED", "STATUS_NOT_CONVERGED",
+    "STABILITY_THRESHOLD", "STATUS_CONVERGED", "STATUS_NOT_CONVERGED",
     "UNROLL_LIMIT", "center_text", "distance", "is_stable", "keep_old", "keep_or_move",
     "merge_partials_agg", "movement", "partials_equal", "point_partial", "point_text", "seed_partial",
     "sentinel_included", "squared_distance", "strict_int", "truncated_mean",

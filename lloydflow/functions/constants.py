@@ -15,15 +15,6 @@ STATUS_NOT_CONVERGED = "Has not converged"
 PLAIN_SENTINEL_X = -1
 INITIAL_BEST_DISTANCE = 2147483647
 
-# Squared form of the initial best distance, compared against exact squared
-# distances (both sides as DOUBLE).
-FAR_SQUARED = float(INITIAL_BEST_DISTANCE) ** 2
-
-# Upper bound on the number of centres a run may carry.  Centres are bound into
-# every task as literals (or a small array for the vectorised path), so their
-# number must stay bounded; larger centre sets are rejected, not truncated.
-MAX_CENTERS = 10_000
-
 # Up to this many distinct centres the nearest-centre search is an unrolled
 # ``least`` over literal structs (whole-stage codegen); above it an Arrow-batched
 # pandas UDF does the arg-min with numpy.

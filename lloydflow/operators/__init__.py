@@ -11,12 +11,12 @@ from .aggregate import (
     seeded_stats,
     seeds,
 )
-from .assign import assign, assign_rank, choose_strategy, nearest_struct
+from .assign import assign, assign_rank, choose_strategy
 from .convergence import all_stable, any_stable, status_message, status_of, with_movement
 from .ordering import order_by_center_text, rank_by_center_text, text_key
 
 __all__ = [
     "all_stable", "any_stable", "apply_stats", "assign", "assign_rank", "choose_strategy", "cluster_stats",
-    "finalize_partials", "finalize_stats", "members", "merge_partials", "nearest_struct", "order_by_center_text", "partials",
+    "finalize_partials", "finalize_stats", "members", "merge_partials", "order_by_center_text", "partials",
     "rank_by_center_text", "seeded_stats", "seeds", "status_message", "status_of", "text_key", "with_movement",
 ]

@@ -65,12 +65,12 @@ def apply_stats(stats: DataFrame, centers: DataFrame, mode: str = "combined",
                 only_seed: str | None = None) -> DataFrame:
     """J2 + F9: centres LEFT JOIN their statistics → ``rank, old_x, old_y, new_x, new_y, n_points``.
 
-    Both sides hold at most k rows (the statistics are grouped by centre), so the
-    statistics are broadcast.
+    Both sides hold one row per centre when used as intended; how to join them is
+    left to the planner, which sees their sizes.
     """
     _mode(mode)
     old = centers.select("rank", F.col("x").alias("old_x"), F.col("y").alias("old_y"))
-    joined = old.join(F.broadcast(stats), old["rank"] == stats["center_rank"], "left")
+    joined = old.join(stats, old["rank"] == stats["center_rank"], "left")
     return joined.select(
         F.col("rank"),
         F.col("old_x"),
@@ -86,14 +86,18 @@ def partials(assigned: DataFrame, by: Sequence[str], mode: str = "combined",
     """A2: one mergeable partial per (split, centre) — the combiner's output, made visible.
 
     ``by`` names the split columns (input split, file, date…); each partial carries
-    ``sum_x, sum_y, n, only_seed`` (A4).
+    ``sum_x, sum_y, n, only_seed`` (A4) and ``n_points``.  In plain mode a sentinel
+    point (x = -1) adds nothing to the sums or ``n`` but is a point of its cluster.
     """
     _mode(mode)
-    rows = assigned
+    points = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
+    point = point_partial(x, y, weight)
     if mode == "plain":
-        rows = assigned.filter(sentinel_included(x))
-    parts = rows.select(*by, F.col(rank_col).alias("center_rank"), *point_partial(x, y, weight))
-    return parts.groupBy(*by, "center_rank").agg(*merge_partials_agg())
+        inc = sentinel_included(x)
+        names = ("sum_x", "sum_y", "n", "only_seed")
+        point = [F.when(inc, c).otherwise(z).alias(name) for c, z, name in zip(point, seed_partial(), names)]
+    parts = assigned.select(*by, F.col(rank_col).alias("center_rank"), *point, points.alias("n_points"))
+    return parts.groupBy(*by, "center_rank").agg(*merge_partials_agg(), F.sum("n_points").alias("n_points"))
 
 
 def seeds(centers: DataFrame) -> DataFrame:
@@ -107,11 +111,10 @@ def merge_partials(partial_rows: DataFrame, centers: DataFrame, mode: str = "com
     Gives exactly the rows of ``apply_stats(cluster_stats(...))``.
     """
     _mode(mode)
-    cols = ["center_rank", "sum_x", "sum_y", "n", "only_seed"]
+    cols = ["center_rank", "sum_x", "sum_y", "n", "only_seed", "n_points"]
     merged = (
-        seeds(centers).unionByName(partial_rows.select(*cols))
-        .groupBy("center_rank").agg(*merge_partials_agg())
-        .withColumn("n_points", F.col("n"))
+        seeds(centers).withColumn("n_points", F.lit(0).cast("long")).unionByName(partial_rows.select(*cols))
+        .groupBy("center_rank").agg(*merge_partials_agg(), F.sum("n_points").alias("n_points"))
     )
     return apply_stats(merged, centers, mode, only_seed="only_seed" if mode == "combined" else None)
 
@@ -130,8 +133,8 @@ def members(assigned: DataFrame, x: str = "x", y: str = "y", keep: Sequence[str]
 
     The reference concatenates a cluster's members into one ``(x,y) (x,y) …``
     text.  A cluster may hold a third of all points, so the list stays in long
-    form (``member`` is the point text) and the per-cluster average — at most k
-    rows — is broadcast back to the points.  Every row needs its cluster's full
+    form (``member`` is the point text) and the per-cluster average — one row per
+    centre — is joined back to the points.  Every row needs its cluster's full
     average, so the assigned points are read twice (averages, then rows);
     persist ``assigned`` first when its source is expensive.
     """
@@ -146,7 +149,7 @@ def members(assigned: DataFrame, x: str = "x", y: str = "y", keep: Sequence[str]
         truncated_mean("sum_y", "n").alias("avg_y"),
         F.col("n").alias("n_members"),
     )
-    return assigned.join(F.broadcast(avg), "center_rank").select(
+    return assigned.join(avg, "center_rank").select(
         *keep, "center_x", "center_y", "avg_x", "avg_y", "n_members", x, y, point_text(x, y).alias("member")
     )
 

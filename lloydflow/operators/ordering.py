@@ -21,8 +21,8 @@ def order_by_center_text(df: DataFrame, x: str = "old_x", y: str = "old_y") -> D
 def rank_by_center_text(result: DataFrame, x: str = "old_x", y: str = "old_y", name: str = "pos") -> DataFrame:
     """O2: 0-based position of each row in centre-text order.
 
-    Only for centre-sized inputs (one row per centre, at most ``MAX_CENTERS``):
-    the ranking window has no partition key.
+    For results, which hold one row per centre: that list is what the driver's loop
+    carries anyway, so the window needs no partition key.
     """
     w = Window.orderBy(center_text(x, y))
     return result.withColumn(name, (F.row_number().over(w) - 1).cast("int"))
