@@ -8,6 +8,7 @@ setting is unset (local runs and tests).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -38,20 +39,21 @@ def local_session(cores: int | str = "*", app: str = "lloydflow", shuffle_partit
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster-shared scratch folder (``spark.checkpoint.dir``).
+    """The cluster-shared scratch folder: an explicit ``setCheckpointDir``, else ``spark.checkpoint.dir``.
 
-    If a local session names none (local runs, tests), a fresh folder is created
+    If a local session names none (local runs and tests), a fresh folder is created
     and registered as the checkpoint dir so later calls agree; a cluster session
     without one is an error, since a driver-local folder is not shared.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
     current = sc.getCheckpointDir()
-    if current:
+    # The context registers the configured folder itself; any other was set by the caller.
+    if current and not (configured and _plain(current).startswith(_plain(configured))):
         return current.rstrip("/")
-    if not sc.master.startswith("local"):
+    if configured:
+        return configured.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
         # A folder on the driver's disk is invisible to executors: a cluster must name one.
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the whole cluster")
     local = tempfile.mkdtemp(prefix="lloydflow-ckpt-")
@@ -59,6 +61,11 @@ def shared_dir(spark: SparkSession) -> str:
     return (sc.getCheckpointDir() or local).rstrip("/")
 
 
+def _plain(path: str) -> str:
+    """A path without the scheme of local files and without doubled slashes."""
+    return re.sub(r"/+", "/", path.removeprefix("file:")).rstrip("/") + "/"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, not yet existing path below the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
@@ -97,18 +104,3 @@ def local_frame(spark: SparkSession, rows, schema: str):
     cols = ", ".join(f"col{i + 1}" for i in range(len(fields)))
     select = ", ".join(f"CAST(col{i + 1} AS {t}) AS `{n}`" for i, (n, t) in enumerate(fields))
     return spark.sql(f"SELECT {select} FROM VALUES {values} AS t({cols})")
-
-
-def scan_partitions(df) -> int | None:
-    """Number of partitions of a DataFrame that is read without a shuffle, else None.
-
-    Asking an adaptive plan that contains a shuffle for its partitions would run
-    that shuffle, so only shuffle-free plans (planning only) are asked; plan
-    inspection needs a classic session, elsewhere the answer is None.
-    """
-    jdf = getattr(df, "_jdf", None)
-    if jdf is None:
-        return None
-    if "Exchange" in jdf.queryExecution().executedPlan().toString():
-        return None
-    return df.rdd.getNumPartitions()

@@ -1,8 +1,8 @@
 """Centre sources and exchange formats.
 
-A centre list is small by nature (``k`` lines, bounded by ``MAX_CENTERS``) and
-its order decides ties, so a centre *file* is read whole (``wholetext``) and its
-line positions become ranks.  The line-level parsers take ``(position, line)``
+A centre list decides ties by its order, so a centre *file* is read whole
+(``wholetext``) and its line positions become ranks.  A list may hold any number of
+lines; files are numbered by adding up their line counts, one row per file.  The line-level parsers take ``(position, line)``
 rows so the same logic also applies to lines Spark derives from tables.
 """
 
@@ -13,7 +13,6 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.constants import MAX_CENTERS
 from ..functions.parse import field, fields, split_lines, strict_int
 from ..session import local_frame
 
@@ -69,18 +68,18 @@ def _file_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _ranked_lines(per_file: DataFrame, lines_col: Column, keep: tuple[str, ...] = ()) -> DataFrame:
+def _ranked_lines(per_file: DataFrame, lines_col: Column, keep: tuple[str, ...] = (), skip: int = 0) -> DataFrame:
     """Explode each file's lines; ``pos`` numbers them across files by (file name, line).
 
     One file is the normal case; a glob or a multi-part directory is read in
-    file-name order.  Centre-sized input only (at most ``MAX_CENTERS`` lines), so
-    the numbering window needs no partition key.
+    file-name order: a file's first position is the number of lines in the files before
+    it, summed over one row per file.  The first ``skip`` lines of a file are not its own.
     """
-    too_many = F.raise_error(F.lit(f"a centre file holds more than {MAX_CENTERS} lines"))
-    bounded = F.when(F.size(lines_col) > MAX_CENTERS, too_many.cast("array<string>")).otherwise(lines_col)
-    exploded = per_file.select("file", *keep, F.posexplode(bounded).alias("line_no", "line"))
-    order = Window.orderBy("file", "line_no")
-    return exploded.select(*keep, (F.row_number().over(order) - 1).alias("pos"), "line")
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    counts = per_file.select("file", (F.size(lines_col) - skip).alias("n"))
+    first = counts.select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    exploded = per_file.select("file", *keep, F.posexplode(lines_col).alias("line_no", "line")).filter(F.col("line_no") >= skip)
+    return exploded.join(first, "file").select(*keep, (F.col("first") + F.col("line_no") - skip).alias("pos"), "line")
 
 
 def read_centers(spark: SparkSession, path: str) -> DataFrame:
@@ -90,11 +89,8 @@ def read_centers(spark: SparkSession, path: str) -> DataFrame:
 
 def read_status_centers(spark: SparkSession, path: str) -> DataFrame:
     """A status-headed centre file → ``status, rank, x, y`` (line 1 is the status)."""
-    files = _file_lines(spark, path).select(
-        "file", F.get(F.col("lines"), 0).alias("status"), F.slice(F.col("lines"), 2, MAX_CENTERS + 1).alias("body")
-    )
-    # slice(…, 2, n) of a header-only file is empty: such a file has no centres.
-    return parse_center_lines(_ranked_lines(files, F.col("body"), keep=("status",)), keep=("status",))
+    files = _file_lines(spark, path).select("file", F.get(F.col("lines"), 0).alias("status"), "lines")
+    return parse_center_lines(_ranked_lines(files, F.col("lines"), keep=("status",), skip=1), keep=("status",))
 
 
 def read_result(spark: SparkSession, path: str) -> DataFrame:
@@ -113,14 +109,12 @@ def centers_to_json(centers: DataFrame, group_cols: Sequence[str] = (), rank: st
                     x: str = "x", y: str = "y") -> DataFrame:
     """S10 export: ``[{"x":..,"y":..},…]`` in rank order, one string per group.
 
-    A centre set is bounded by ``MAX_CENTERS``; a larger group fails the query
-    instead of building an unbounded string.
+    The format is one text per list, so a group is one list of centres by
+    definition; only its ranks and coordinates travel.
     """
     ordered = F.array_sort(F.collect_list(F.struct(F.col(rank).alias("r"), F.col(x).alias("x"), F.col(y).alias("y"))))
     as_xy = F.transform(ordered, lambda s: F.struct(s["x"].alias("x"), s["y"].alias("y")))
-    n = F.count(F.lit(1))
-    json = F.when(n > MAX_CENTERS, F.raise_error(F.lit(f"more than {MAX_CENTERS} centres"))).otherwise(F.to_json(as_xy))
-    return centers.groupBy(*group_cols).agg(json.alias("centers_json"))
+    return centers.groupBy(*group_cols).agg(F.to_json(as_xy).alias("centers_json"))
 
 
 def centers_from_json(df: DataFrame, json_col: str = "centers_json", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -146,24 +140,17 @@ def collapse_centers(centers: DataFrame, rank: str = "rank", x: str = "x", y: st
 def as_center_list(centers) -> list[tuple[int, int]]:
     """Centres in rank order as ``(x, y)`` pairs, from a DataFrame or any sequence.
 
-    A DataFrame is counted first and brought to the driver only if it holds at
-    most ``MAX_CENTERS`` rows; a larger one fails instead of being truncated.
-    Without a ``rank`` column its row order is taken as given.
+    The list seeds the driver's loop, so it comes to the driver whole.  A DataFrame
+    needs a ``rank`` column: its rows have no order of their own, and order decides ties.
     """
     if isinstance(centers, DataFrame):
-        df = centers.select(*(["rank"] if "rank" in centers.columns else []), "x", "y")
-        n = df.count()
-        if n > MAX_CENTERS:
-            raise ValueError(f"{n} centres: more than {MAX_CENTERS}")
-        if "rank" in df.columns:
-            df = df.orderBy("rank")
-        pairs = [(int(r["x"]), int(r["y"])) for r in df.collect()]
+        if "rank" not in centers.columns:
+            raise ValueError("a DataFrame of centres needs a rank column: their order decides ties")
+        pairs = [(int(r["x"]), int(r["y"])) for r in centers.select("rank", "x", "y").orderBy("rank").collect()]
     else:
         pairs = [(int(c[0]), int(c[1])) for c in centers]
     if not pairs:
         raise ValueError("no centres")
-    if len(pairs) > MAX_CENTERS:
-        raise ValueError(f"more than {MAX_CENTERS} centres")
     return pairs
 
 

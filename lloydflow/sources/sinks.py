@@ -1,6 +1,6 @@
 """Sinks (S6, S7, S8, S9) in the reference's text layouts, plus parquet.
 
-Result and status files hold one line per centre (bounded by ``MAX_CENTERS``), so
+Result and status files hold one line per centre (the list the loop carries), so
 they are written as one ordered part file.  The assignment listing holds one
 line per point; it is globally sorted by (centre text, x, y) with a range
 partitioning, so one huge cluster is spread over many tasks and files.
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.constants import STATUS_CONVERGED, STATUS_NOT_CONVERGED
 from ..functions.geometry import center_text
-from ..session import local_frame, scan_partitions
+from ..session import local_frame
 
 
 def iteration_path(prefix: str, iteration: int | str) -> str:
@@ -66,32 +66,53 @@ def assignment_lines(assigned: DataFrame) -> DataFrame:
     )
 
 
-def _sorted(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Global sort for the listing, range-partitioned into at least as many parts as the input.
+#: Listing lines per part.
+PART_ROWS = 4_000_000
 
-    ``orderBy`` would use ``spark.sql.shuffle.partitions`` parts whatever the input
-    size; sizing by the input's own splits keeps sorted parts about split-sized, so
-    a 100 TB listing does not sort a few huge partitions.  The row id only breaks
-    ties between identical lines, so even one point repeated across a third of
-    the input is split over many tasks.
+
+def _sorted(df: DataFrame, key: str, sizes) -> DataFrame:
+    """The listing's rows in parts that follow the centres' text order, sorted within each part.
+
+    ``sizes`` gives the (rough) number of points per centre, so parts are dealt without a
+    sampling pass over the points: a centre gets as many parts as its points
+    need, in the order of the centre texts, and its rows go to them by row id,
+    so neither a large cluster nor one repeated point makes a large part.
     """
     spark = df.sparkSession
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), scan_partitions(df) or 0)
-    with_id = df.withColumn("__row_id", F.monotonically_increasing_id())
-    order = [*keys, "__row_id"]
-    return with_id.repartitionByRange(parts, *order).sortWithinPartitions(*order).drop("__row_id")
+    parts, first = [], 0
+    for text, n in sorted((f"{x},{y}", int(n)) for x, y, n in sizes):
+        k = max(1, -(-n // PART_ROWS))
+        parts.append((text, first, k))
+        first += k
+    plan = local_frame(spark, parts, f"{key} STRING, __first INT, __parts INT")
+    dealt = df.withColumn("__id", F.monotonically_increasing_id()).join(plan, key)
+    part = F.col("__first") + F.pmod(F.xxhash64("__id"), F.col("__parts")).cast("int")
+    return (dealt.withColumn("__part", part).repartitionById(first, F.col("__part"))
+            .sortWithinPartitions("__part", key, "x", "y").drop("__id", "__first", "__parts", "__part"))
+
+
+def _counted(assigned: DataFrame) -> list[tuple[int, int, int]]:
+    """Points per centre: one row per centre."""
+    return [tuple(r) for r in assigned.groupBy("center_x", "center_y").count().collect()]
 
 
 def write_assignments(assigned: DataFrame, path: str, fmt: str = "text", sort: bool = True,
-                      mode: str = "errorifexists") -> None:
-    """The point → centre listing, sorted by centre text (then point) when ``sort``."""
+                      mode: str = "errorifexists", sizes=None) -> None:
+    """The point → centre listing, in the order of the centre texts when ``sort``.
+
+    ``sizes`` (``(x, y, points)`` per centre) spares the count of the points per centre;
+    it sizes the parts and must name every centre.
+    """
+    if sort and sizes is None:
+        sizes = _counted(assigned)
+    sort = sort and bool(sizes)
     if fmt == "parquet":
         out = assigned.select(center_text("center_x", "center_y").alias("__key"), "center_x", "center_y", "x", "y")
         if sort:
-            out = _sorted(out, ["__key", "x", "y"])
+            out = _sorted(out, "__key", sizes)
         out.drop("__key").write.mode(mode).parquet(path)
         return
     lines = assignment_lines(assigned)
     if sort:
-        lines = _sorted(lines, ["key", "x", "y"])
+        lines = _sorted(lines, "key", sizes)
     lines.select("value").write.mode(mode).text(path)

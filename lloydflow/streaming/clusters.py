@@ -10,7 +10,6 @@ folder, so a restarted query resumes where it stopped.
 
 from __future__ import annotations
 
-import math
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -23,10 +22,6 @@ from ..session import scratch_path
 from ..sources.centers import centers_frame
 
 
-# Centres whose running statistics one state partition keeps.
-STATE_ROWS_PER_PARTITION = 1000
-
-
 def read_table_stream(spark: SparkSession, path: str, schema: StructType, base_path: str | None = None,
                       max_files_per_trigger: int | None = None) -> DataFrame:
     """A parquet file-stream source (``path`` may be a directory or a glob)."""
@@ -71,14 +66,4 @@ def running_step(stream: DataFrame, centers, out_path: str, mode: str = "combine
     ck = checkpoint or scratch_path(spark, "stream-checkpoint")
     w = stats.writeStream.outputMode("complete").option("checkpointLocation", ck).foreachBatch(publish)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
-    # The state is one row per centre and each map task sends at most k partial
-    # rows, so a few state partitions suffice; their number is fixed when the
-    # query first starts (and kept in its checkpoint), so the session setting is
-    # only lowered for the start.
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(min(int(before), max(1, math.ceil(len(ranked) / STATE_ROWS_PER_PARTITION)))))
-    try:
-        return w.start()
-    finally:
-        spark.conf.set(key, before)
+    return w.start()
