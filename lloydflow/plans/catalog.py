@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.average import merge_partials_agg, partials_equal
 from ..functions.constants import STATUS_CONVERGED, STATUS_NOT_CONVERGED
 from ..functions.geometry import center_text, distance, point_text
-from ..operators.aggregate import members
+from ..operators.aggregate import finalize_partials, members, seeds
 from ..operators.aggregate import merge_partials as merge_partials_op
 from ..operators.aggregate import partials as partials_op
 from ..operators.assign import assign, assign_rank
@@ -43,7 +44,24 @@ from ..sources.sinks import (
 )
 from ..streaming.clusters import assign_stream, read_table_stream, running_step, write_stream
 from .lloyd import fit, prepare_centers, step
-from .workload import K5, K5F, KDUP, KE, KT, LATTICE_60, LATTICE_200, points_c, points_e, points_l, table
+from .workload import (
+    K5,
+    K5F,
+    KDUP,
+    KE,
+    KROOT,
+    KROOT_44,
+    KT,
+    LATTICE_60,
+    LATTICE_200,
+    LATTICE_1000F,
+    centers_o,
+    points_c,
+    points_e,
+    points_l,
+    points_s,
+    table,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -248,6 +266,37 @@ def dup_centers_collapse(spark, d):
     return step(points_c(spark, d), KDUP, "combined").select(*STEP_COLS)
 
 
+@query
+def assign_root_ties(spark, d):
+    """Distances that tie only after the root, in whole-stage code."""
+    return _assign(points_s(spark, d), KROOT, ["c_custkey"])
+
+
+@query
+def assign_root_ties_vectorized(spark, d):
+    return _assign(points_s(spark, d), KROOT_44, ["c_custkey"])
+
+
+@query
+def step_far_center(spark, d):
+    """A thousand centres, one of them far away and empty."""
+    return step(points_c(spark, d), LATTICE_1000F)
+
+
+@query
+def step_many_centers(spark, d):
+    """More than ten thousand centres, one per order."""
+    return step(points_c(spark, d), centers_o(spark, d))
+
+
+@query
+def distance_to_center(spark, d):
+    """Every point's distance to the centre it is assigned to."""
+    a = assign(points_c(spark, d), prepare_centers(K5))
+    return a.select("c_custkey", F.expr("sqrt(pow(CAST(x AS DOUBLE) - center_x, 2) + pow(CAST(y AS DOUBLE) - center_y, 2))")
+                    .alias("dist"))
+
+
 # ---------------------------------------------------------------- partials A2–A4
 
 def _split_assigned(spark, d):
@@ -269,6 +318,27 @@ def merge_partials_query(spark, d):
     return merged.select(F.lit(1).alias("iteration"), "rank", "new_x", "new_y", "old_x", "old_y", "n_points")
 
 
+@query
+def merge_partials_plain_sentinel(spark, d):
+    """Plain-mode partials: sentinel points count as points, not in the mean."""
+    ranked = prepare_centers(KE)
+    a = assign_rank(points_e(spark, d).withColumn("split", (F.col("event_id") % 8).cast("int")), ranked)
+    merged = merge_partials_op(partials_op(a, ["split"], "plain"), centers_frame(spark, ranked), "plain")
+    return merged.select(F.lit(1).alias("iteration"), "rank", "new_x", "new_y", "old_x", "old_y", "n_points")
+
+
+@query
+def partials_evaluation(spark, d):
+    """A4 over lineitem: zero elements alone, averages of merged partials, and equality of partials."""
+    _, a = _split_assigned(spark, d)
+    merged = partials_op(a, []).select("center_rank", "sum_x", "sum_y", "n", "only_seed")
+    zero = seeds(centers_frame(spark, prepare_centers(K5))).withColumn("center_rank", F.col("center_rank") + 100)
+    both = finalize_partials(zero.unionByName(merged).groupBy("center_rank").agg(*merge_partials_agg()))
+    pair = both.withColumn("a", F.struct("sum_x", "sum_y", "n")).withColumn(
+        "b", F.struct("sum_x", "sum_y", (F.col("n") + F.when(F.col("center_rank") % 2 == 0, 0).otherwise(1)).alias("n")))
+    return pair.select("center_rank", "n", "only_seed", "avg_x", "avg_y", partials_equal("a", "b").alias("same"))
+
+
 # ---------------------------------------------------------------- members A5
 
 @query
@@ -356,7 +426,7 @@ def fit_fixed_combined_sentinel_3(spark, d):
 
 @query
 def fit_fixed_combined_sentinel_10(spark, d):
-    """Ten combined rounds on event points (a long chain; repeated centre lists would be replayed)."""
+    """Ten combined rounds on event points (a long chain)."""
     return fit(points_e(spark, d), KE, iterations=10, mode="combined").result().select(*RESULT_COLS)
 
 
@@ -413,6 +483,27 @@ def run_history(spark, d):
     return res.history().drop("seconds")
 
 
+@query
+def fit_resumed_history(spark, d):
+    """Two rounds, then a resumed run of five: the history of an uninterrupted one."""
+    prefix = scratch_path(spark, "resumed") + "/it"
+    fit(points_c(spark, d), K5, iterations=2, mode="plain", output_prefix=prefix)
+    res = fit(points_c(spark, d), K5, iterations=5, mode="plain", output_prefix=prefix, resume=True)
+    return res.history().drop("seconds")
+
+
+@query
+def listing_line_positions(spark, d):
+    """The final listing's lines with their position in the written files."""
+    prefix = scratch_path(spark, "positions") + "/it"
+    fit(points_c(spark, d), K5, iterations=2, mode="combined", output_prefix=prefix, final_listing=True)
+    lines = spark.read.text(iteration_path(prefix, "Final"), wholetext=True).select(
+        F.col("_metadata.file_name").alias("file"), F.posexplode(F.split(F.rtrim(F.col("value"), F.lit("\n")), "\n")).alias("i", "line"))
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    counts = lines.groupBy("file").count().select("file", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("first"))
+    return lines.join(counts, "file").select((F.col("first") + F.col("i")).alias("pos"), "line")
+
+
 # ---------------------------------------------------------------- sinks S6–S9
 
 @query

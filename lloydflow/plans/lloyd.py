@@ -11,6 +11,7 @@ points are persisted once and recomputed from the source if an executor is lost.
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -25,9 +26,9 @@ from ..operators.aggregate import finalize_stats, seeded_stats
 from ..operators.assign import assign, assign_rank
 from ..operators.convergence import status_of
 from ..operators.ordering import text_key
-from ..sources.centers import as_center_list, centers_frame, ranked_distinct, read_result, read_status_centers
+from ..sources.centers import as_center_list, centers_frame, ranked_distinct
 from ..sources.points import collapse_points
-from ..session import local_frame, scan_partitions, scratch_path
+from ..session import local_frame, scratch_path
 from ..sources.sinks import iteration_path, write_assignments, write_result, write_status
 
 STOP_RULES = ("none", "any", "all")
@@ -75,7 +76,6 @@ class Iteration:
     max_move: int
     n_stable: int
     seconds: float
-    replayed: bool = False  # True when the round repeated the previous centre list and was not recomputed
 
     @property
     def new_centers(self) -> list[tuple[int, int]]:
@@ -93,7 +93,6 @@ class FitResult:
     iterations: list[Iteration] = field(default_factory=list)
     points_read: DataFrame | None = None  # the (x, y[, weight]) rows each round reads
     resumed_from: int = 0  # last round read back by fit(resume=True), 0 if none
-    resumed_centers: list[tuple[int, int, int]] | None = None
 
     @property
     def iterations_run(self) -> int:
@@ -101,13 +100,11 @@ class FitResult:
 
     @property
     def last_iteration(self) -> int:
-        return self.iterations[-1].iteration if self.iterations else self.resumed_from
+        return self.iterations[-1].iteration if self.iterations else 0
 
     @property
     def final_centers(self) -> list[tuple[int, int, int]]:
         """Ranked distinct centres after the last iteration (its new centres, in output order)."""
-        if not self.iterations:
-            return list(self.resumed_centers or [])
         return ranked_distinct(self.iterations[-1].new_centers)
 
     @property
@@ -136,6 +133,13 @@ class FitResult:
         ]
         return local_frame(self.spark, rows, HISTORY_SCHEMA)
 
+    def sizes(self) -> list[tuple[int, int, int]]:
+        """``(x, y, points)`` per final centre, as counted in the last round."""
+        n: dict[tuple[int, int], int] = {}
+        for new_x, new_y, _, _, points in self.iterations[-1].rows:
+            n[new_x, new_y] = n.get((new_x, new_y), 0) + points
+        return [(x, y, c) for (x, y), c in n.items()]
+
     def assignment(self, points: DataFrame, x: str = "x", y: str = "y", strategy: str = "auto") -> DataFrame:
         """Every point with its centre among the final centres (no empty centres)."""
         return assign(points, self.final_centers, x, y, strategy)
@@ -169,15 +173,15 @@ def fit(points: DataFrame, centers, iterations: int = 1, mode: str = "combined",
     exact, and much less work on very repetitive integer data.  The final
     listing still lists every original point.
 
-    A round whose centre list (values and order) equals the previous round's is
-    not recomputed: its result is the previous one (``Iteration.replayed``), so
-    fixed-round runs cost nothing after reaching a fixed point.
+    Every round is computed, also at a fixed point: R rounds give R measured times.
 
-    ``resume=True`` (with ``output_prefix``) restarts a run whose driver was lost:
-    the last round already written under the prefix is read back (S3/S4), its
-    new centres seed the next round, and its stop test is re-applied — a run
-    that had already stopped does no further round.  ``FitResult.iterations``
-    then holds the rounds run by this call; ``resumed_from`` the last round read.
+    ``resume=True`` (with ``output_prefix``) restarts a run whose driver was lost.
+    Beside the rounds a run keeps a record (folder ``prefix + "Run"``): its settings and
+    seed centres, and every round's rows once its output is written.  The rounds on
+    record are taken over with their figures, and the next one follows; a run that
+    had already stopped does no further round.  A record of other settings or
+    centres is refused, and so are rounds without a record.  ``FitResult.iterations`` holds all
+    rounds; ``resumed_from`` is the last one taken over.
     """
     if iterations < 1:
         raise ValueError("iterations must be at least 1")
@@ -200,72 +204,73 @@ def fit(points: DataFrame, centers, iterations: int = 1, mode: str = "combined",
     out = FitResult(spark, mode, stop, threshold)
     out.points_read = pts
     first = 1
+    settings = {"mode": mode, "stop": stop, "threshold": threshold, "status_files": status_files, "collapse": collapse,
+                "centers": [list(c) for c in ranked]}
     if resume:
         if output_prefix is None:
             raise ValueError("resume needs the output_prefix of the interrupted run")
-        done, ranked_done, stopped = _resume_point(spark, output_prefix, iterations, stop, threshold, status_files)
-        if done:
-            out.resumed_from, first = done, done + 1
-            ranked = ranked_done
-            out.resumed_centers = ranked_done
-            if stopped:
+        out.iterations = _recorded(spark, output_prefix, settings, iterations)
+        if out.iterations:
+            last = out.iterations[-1]
+            out.resumed_from, first = last.iteration, last.iteration + 1
+            ranked = out.final_centers
+            if _stops(stop, last):
                 first = iterations + 1
+    if output_prefix is not None and not out.iterations:
+        _record(spark, output_prefix, "settings", settings)
     cached = persist in (True, "cache")
-    map_partitions = scan_partitions(pts)
-    if persist:
-        # The points are read R times.  A plain scan with fewer partitions than the
-        # cluster has cores (one big file, few row groups) is spread once first;
-        # a real-size input already has enough partitions and is kept as read,
-        # without a shuffle.
-        cores = spark.sparkContext.defaultParallelism
-        if map_partitions is not None and map_partitions < cores:
-            pts = pts.repartition(cores)
-        if cached:
-            pts = pts.persist(StorageLevel.MEMORY_AND_DISK)
-        else:
-            path = scratch_path(spark, "points")
-            pts.write.parquet(path)
-            pts = spark.read.parquet(path)
-    previous: tuple[list, Iteration] | None = None
+    table = None
+    if cached:
+        # Kept as read: the scan's split settings decide the parallelism, without a shuffle.
+        pts = pts.persist(StorageLevel.MEMORY_AND_DISK)
+    elif persist:
+        table = scratch_path(spark, "points")
+        pts.write.parquet(table)
+        pts = spark.read.parquet(table)
     try:
         for r in range(first, iterations + 1):
             t0 = time.perf_counter()
-            if previous is not None and previous[0] == ranked:
-                # Same centre list (values and order) as the round before: a round is a
-                # pure function of the points and that list, so its result is known.
-                last = previous[1]
-                it = Iteration(r, last.rows, last.status, last.max_move, last.n_stable, 0.0, replayed=True)
-            else:
-                collected = _step(pts, ranked, mode, r, strategy, x, y, weight).collect()
-                collected.sort(key=lambda row: text_key(row["old_x"], row["old_y"]))
-                rows = [(row["new_x"], row["new_y"], row["old_x"], row["old_y"], row["n_points"])
-                        for row in collected]
-                moves = [max(abs(nx - ox), abs(ny - oy)) for nx, ny, ox, oy, _ in rows]
-                it = Iteration(r, rows, status_of(moves, threshold), max(moves),
-                               sum(1 for m in moves if m < threshold), time.perf_counter() - t0)
+            collected = _step(pts, ranked, mode, r, strategy, x, y, weight).collect()
+            collected.sort(key=lambda row: text_key(row["old_x"], row["old_y"]))
+            rows = [(row["new_x"], row["new_y"], row["old_x"], row["old_y"], row["n_points"])
+                    for row in collected]
+            it = _iteration(r, rows, threshold, time.perf_counter() - t0)
             out.iterations.append(it)
-            previous = (ranked, it)
             if output_prefix is not None:
                 # a resumed run replaces a round folder left unfinished by the lost driver
                 _write_iteration(out, it, iteration_path(output_prefix, r), status_files,
                                  "overwrite" if resume else "errorifexists")
+                _record(spark, output_prefix, f"round{r}", {"iteration": r, "rows": [list(x) for x in rows], "seconds": it.seconds})
             ranked = ranked_distinct(it.new_centers)
-            if stop == "any" and r >= 2 and it.n_stable > 0:
-                break
-            if stop == "all" and it.n_stable == len(rows):
+            if _stops(stop, it):
                 break
         if output_prefix is not None and final_listing:
             # The listing needs every original point: the kept copy has them unless
             # equal points were merged, in which case the source is read again.
             listed = points.select(x, y) if collapse else pts.select(x, y)
             write_assignments(out.assignment(listed, x, y, strategy), iteration_path(output_prefix, "Final"),
-                              mode="overwrite" if resume else "errorifexists")
+                              mode="overwrite" if resume else "errorifexists", sizes=out.sizes())
     finally:
         if cached:
             pts.unpersist()
+        if table:
+            _delete(spark, table)
+            out.points_read = source.select(*cols)
     return out
 
 
+def _iteration(r: int, rows: list[tuple[int, int, int, int, int]], threshold: int, seconds: float) -> Iteration:
+    moves = [max(abs(nx - ox), abs(ny - oy)) for nx, ny, ox, oy, _ in rows]
+    return Iteration(r, rows, status_of(moves, threshold), max(moves), sum(1 for m in moves if m < threshold), seconds)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder of our own from whatever file system holds it."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists (a text read fails at once on a missing path)."""
     try:
@@ -275,37 +280,42 @@ def _exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def _complete(spark: SparkSession, path: str) -> bool:
-    """An output folder counts only once its job committed (``_SUCCESS`` marker)."""
-    return _exists(spark, f"{path}/_SUCCESS")
+def _stops(stop: str, it: Iteration) -> bool:
+    """Whether a run under the rule ends after this round."""
+    return (stop == "any" and it.iteration >= 2 and it.n_stable > 0) or (stop == "all" and it.n_stable == len(it.rows))
 
 
-def _resume_point(spark: SparkSession, prefix: str, iterations: int, stop: str, threshold: int,
-                  status_files: bool) -> tuple[int, list[tuple[int, int, int]], bool]:
-    """The last round written under ``prefix``, its centres, and whether the run had stopped."""
-    done = 0
-    while done < iterations and _complete(spark, iteration_path(prefix, done + 1)):
-        done += 1
-    if not done:
-        return 0, [], False
-    path = iteration_path(prefix, done)
-    if status_files:
-        rows = read_status_centers(spark, path).orderBy("rank").collect()
-        if not rows:
-            raise ValueError(f"{path} holds no centres to resume from")
-        ranked = ranked_distinct([(r["x"], r["y"]) for r in rows])
-        if stop == "any":
-            raise ValueError("status-headed files keep no old centres: resume stop='any' from result files")
-        stopped = stop == "all" and rows[0]["status"] == STATUS_CONVERGED
-        return done, ranked, stopped
-    rows = read_result(spark, path).orderBy("rank").collect()
-    if not rows:
-        raise ValueError(f"{path} holds no centres to resume from")
-    ranked = ranked_distinct([(r["new_x"], r["new_y"]) for r in rows])
-    moves = [max(abs(r["new_x"] - r["old_x"]), abs(r["new_y"] - r["old_y"])) for r in rows]
-    stopped = (stop == "any" and done >= 2 and min(moves) < threshold) or (
-        stop == "all" and max(moves) < threshold)
-    return done, ranked, stopped
+def _record_path(prefix: str, name: str) -> str:
+    return f"{iteration_path(prefix, 'Run')}/{name}"
+
+
+def _record(spark: SparkSession, prefix: str, name: str, entry: dict) -> None:
+    """One entry of a run's record: a line of JSON, written after what it tells of."""
+    local_frame(spark, [(json.dumps(entry),)], "value STRING").coalesce(1).write.mode("overwrite").text(_record_path(prefix, name))
+
+
+def _entry(spark: SparkSession, prefix: str, name: str) -> dict | None:
+    """An entry of the record; None if it is missing or was not finished."""
+    path = _record_path(prefix, name)
+    if not _exists(spark, path):
+        return None
+    lines = [r[0] for r in spark.read.text(path).collect()]
+    return json.loads(lines[0]) if len(lines) == 1 else None
+
+
+def _recorded(spark: SparkSession, prefix: str, settings: dict, iterations: int) -> list[Iteration]:
+    """The rounds on record under ``prefix``, in order, after a check of the settings."""
+    known = _entry(spark, prefix, "settings")
+    if known is None:
+        if _exists(spark, iteration_path(prefix, 1)):
+            raise ValueError(f"{prefix} holds rounds without a run record: they can't be resumed")
+        return []
+    if known != json.loads(json.dumps(settings)):
+        raise ValueError(f"the run under {prefix} had other settings or centres")
+    rounds: list[Iteration] = []
+    while len(rounds) < iterations and (e := _entry(spark, prefix, f"round{len(rounds) + 1}")):
+        rounds.append(_iteration(e["iteration"], [tuple(x) for x in e["rows"]], settings["threshold"], e["seconds"]))
+    return rounds
 
 
 def _write_iteration(fit_result: FitResult, it: Iteration, path: str, status_files: bool, mode: str) -> None:

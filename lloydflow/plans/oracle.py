@@ -1,7 +1,7 @@
 """Independent SQL (DuckDB dialect) for every catalog query — the correctness oracle.
 
 The oracle is written the naive way on purpose: the arg-min pairs every point
-with every centre and keeps ``row_number() = 1`` by (squared distance, rank), and
+with every centre and keeps ``row_number() = 1`` by (distance, rank), and
 R iterations are R chained CTEs.  It shares no code with the Spark plans.
 """
 
@@ -10,16 +10,21 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from .workload import (
+    CENTERS_O_SQL,
     K5,
     K5F,
     KDUP,
     KE,
+    KROOT,
+    KROOT_44,
     KT,
     LATTICE_60,
     LATTICE_200,
+    LATTICE_1000F,
     POINTS_C_SQL,
     POINTS_E_SQL,
     POINTS_L_SQL,
+    POINTS_S_SQL,
     THRESHOLD,
 )
 
@@ -46,20 +51,21 @@ class Chain:
     the assignment ``a{r}``, statistics ``s{r}``, result ``r{r}`` (with output
     position ``pos``) and next centres ``c{r+1}``."""
 
-    def __init__(self, points_sql: str, centers: Sequence[tuple[int, int]], mode: str = "combined"):
+    def __init__(self, points_sql: str, centers: Sequence[tuple[int, int]] | str, mode: str = "combined"):
         self.mode = mode
+        source = f"({centers})" if isinstance(centers, str) else _values(centers)
         self.ctes = [
             f"pp AS (SELECT row_number() OVER () AS pid, q.* FROM ({points_sql}) q)",
-            f"c1 AS (SELECT CAST(min(rank) AS INTEGER) AS rank, x, y FROM {_values(centers)} GROUP BY x, y)",
+            f"c1 AS (SELECT CAST(min(rank) AS INTEGER) AS rank, x, y FROM {source} GROUP BY x, y)",
         ]
         self.done = 0
 
     def assign(self, name: str, centers_cte: str) -> str:
-        d2 = ("(CAST(p.x AS DOUBLE) - c.x) * (CAST(p.x AS DOUBLE) - c.x) + "
-              "(CAST(p.y AS DOUBLE) - c.y) * (CAST(p.y AS DOUBLE) - c.y)")
+        dist = ("sqrt((CAST(p.x AS DOUBLE) - c.x) * (CAST(p.x AS DOUBLE) - c.x) + "
+                "(CAST(p.y AS DOUBLE) - c.y) * (CAST(p.y AS DOUBLE) - c.y))")
         self.ctes.append(
             f"{name} AS (SELECT p.*, c.rank AS crank, c.x AS cx, c.y AS cy FROM pp p CROSS JOIN {centers_cte} c "
-            f"QUALIFY row_number() OVER (PARTITION BY p.pid ORDER BY {d2}, c.rank) = 1)"
+            f"QUALIFY row_number() OVER (PARTITION BY p.pid ORDER BY {dist}, c.rank) = 1)"
         )
         return name
 
@@ -124,7 +130,7 @@ def assign_sql(points: str, centers, keys: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    L, C, E = POINTS_L_SQL, POINTS_C_SQL, POINTS_E_SQL
+    L, C, E, S = POINTS_L_SQL, POINTS_C_SQL, POINTS_E_SQL, POINTS_S_SQL
     q: dict[str, str] = {}
 
     # --- sources (S1–S5) ---------------------------------------------------
@@ -183,7 +189,24 @@ def oracle_sql() -> dict[str, str]:
     q["preserve_empty"] = step_sql(C, K5F, "combined")
     q["dup_centers_collapse"] = step_sql(C, KDUP, "combined")
 
+    q["assign_root_ties"] = assign_sql(S, KROOT, "c_custkey")
+    q["assign_root_ties_vectorized"] = assign_sql(S, KROOT_44, "c_custkey")
+    q["step_far_center"] = step_sql(C, LATTICE_1000F, "combined")
+    q["step_many_centers"] = step_sql(C, CENTERS_O_SQL, "combined")
+    ch = Chain(C, K5)
+    ch.assign("a", "c1")
+    q["distance_to_center"] = ch.sql(
+        "SELECT c_custkey, sqrt(pow(CAST(x AS DOUBLE) - cx, 2) + pow(CAST(y AS DOUBLE) - cy, 2)) AS dist FROM a")
+
     # --- partial aggregation (A2–A4, O3) --------------------------------------
+    q["merge_partials_plain_sentinel"] = step_sql(E, KE, "plain")
+    ch = Chain(L, K5)
+    ch.assign("a", "c1")
+    q["partials_evaluation"] = ch.sql(
+        "SELECT crank AS center_rank, count(*) AS n, false AS only_seed, "
+        "CAST(CAST(sum(x) AS BIGINT) // count(*) AS INTEGER) AS avg_x, "
+        "CAST(CAST(sum(y) AS BIGINT) // count(*) AS INTEGER) AS avg_y, crank % 2 = 0 AS same FROM a GROUP BY crank "
+        "UNION ALL SELECT CAST(rank + 100 AS INTEGER), 0, true, NULL, NULL, rank % 2 = 0 FROM c1")
     ch = Chain(L, K5)
     ch.assign("a", "c1")
     q["partials"] = ch.sql(
@@ -250,6 +273,20 @@ def oracle_sql() -> dict[str, str]:
         )
     )
 
+    q["fit_resumed_history"] = Chain(C, K5, "plain").iterate(5).sql(
+        " UNION ALL ".join(
+            f"SELECT iteration, CAST(count(*) AS INTEGER) AS k, CAST(sum(n_points) AS BIGINT) AS n_points, "
+            f"max({_move()}) AS max_move, CAST(count(*) FILTER (WHERE {_move()} < {THRESHOLD}) AS INTEGER) AS n_stable, "
+            f"{STATUS_SQL.format(stable=f'{_move()} < {THRESHOLD}')} AS status FROM r{r} GROUP BY iteration"
+            for r in range(1, 6)
+        )
+    )
+    ch = Chain(C, K5).iterate(2)
+    ch.assign("fa", "c3")
+    q["listing_line_positions"] = ch.sql(
+        f"SELECT CAST(row_number() OVER (ORDER BY {_text('cx', 'cy')}, x, y) - 1 AS BIGINT) AS pos, "
+        f"{_text('cx', 'cy')} || chr(9) || {_text('x', 'y')} || ' ' AS line FROM fa")
+
     # --- sinks read back (S6–S9) ------------------------------------------------
     q["sink_roundtrip_result"] = Chain(C, K5).iterate(2).sql(
         "SELECT pos AS rank, new_x, new_y, old_x, old_y FROM r2"

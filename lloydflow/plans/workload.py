@@ -32,10 +32,21 @@ def lattice(n: int, cols: int = 10, x0: int = -1000, dx: int = 1200, y0: int = 5
 LATTICE_60 = lattice(60)
 LATTICE_200 = lattice(200, cols=20, x0=-500, dx=560, y0=0, dy=1100)  # many centres: the pruning-grid path
 
+# Many centres, one of them far from all others and without points.
+LATTICE_1000F = [(-9_000_000, -9_000_000), *lattice(999, cols=40, x0=-500, dx=280, y0=0, dy=400)]
+# Squared distances from small points to the first two differ, their roots do not: the first wins.
+KROOT = [(134217728, 2), (134217728, 0), (-134217728, 5), (-134217728, 3)]
+KROOT_44 = KROOT + [(134217728 + i, 1_000_000 + i) for i in range(40)]
+
 POINTS_L_SQL = ("SELECT l_orderkey, l_linenumber, l_suppkey, CAST(floor(l_extendedprice / 10) AS INTEGER) AS x, "
                 "CAST(floor(l_quantity * 200) AS INTEGER) AS y FROM lineitem")
 POINTS_C_SQL = ("SELECT c_custkey, CAST(floor(c_acctbal) AS INTEGER) AS x, "
                 "CAST((c_custkey * 37) % 10000 AS INTEGER) AS y FROM customer")
+POINTS_S_SQL = ("SELECT c_custkey, CAST(c_custkey % 3 - 1 AS INTEGER) AS x, CAST(c_custkey % 7 AS INTEGER) AS y "
+                "FROM customer")
+# One centre per order: more than ten thousand.
+CENTERS_O_SQL = ("SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS rank, CAST(floor(o_totalprice / 40) AS INTEGER) AS x, "
+                 "CAST((o_orderkey * 53) % 10000 AS INTEGER) AS y FROM orders")
 POINTS_E_SQL = ("SELECT event_id, CAST((user_id % 9) - 4 AS INTEGER) AS x, "
                 "CAST(floor(value) AS INTEGER) AS y FROM events")
 
@@ -58,3 +69,14 @@ def points_c(spark: SparkSession, sf_dir: str) -> DataFrame:
 def points_e(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = table(spark, sf_dir, "events")
     return points_from(t, (F.col("user_id") % 9) - 4, F.floor(F.col("value")), keep=("event_id",))
+
+
+def points_s(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = table(spark, sf_dir, "customer")
+    return points_from(t, F.col("c_custkey") % 3 - 1, F.col("c_custkey") % 7, keep=("c_custkey",))
+
+
+def centers_o(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = table(spark, sf_dir, "orders")
+    return t.select(F.col("o_orderkey").alias("rank"), F.floor(F.col("o_totalprice") / 40).cast("int").alias("x"),
+                    ((F.col("o_orderkey") * 53) % 10000).cast("int").alias("y"))

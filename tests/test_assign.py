@@ -64,21 +64,40 @@ def test_extra_columns_kept(spark):
     assert (r.id, r.tag, r.center_x, r.center_y) == (7, "a", 0, 0)
 
 
-def test_candidate_grid_is_exact():
-    from lloydflow.operators.nearest_kernel import _blocks, candidate_grid, nearest_indices
+def test_candidate_cells_are_exact():
+    from lloydflow.operators.nearest_kernel import _nearest, candidate_cells, nearest_indices
 
     rng = np.random.default_rng(7)
-    for k, span, pspan in [(130, 20, 40), (500, 3000, 9000), (300, 100000, 50)]:
+    for k, span, pspan in [(9, 50, 90), (130, 20, 40), (500, 3000, 9000), (300, 100000, 50), (2000, 4000, 5000)]:
         cx = rng.integers(-span, span, k).astype(float)
         cy = rng.integers(-span, span, k).astype(float)
-        cx[:5], cy[:5] = cx[5:10], cy[5:10]  # duplicate centres
+        cx[:4], cy[:4] = cx[4:8], cy[4:8]  # duplicate centres
+        cx[8], cy[8] = -9_000_000, -9_000_000  # a far one
         px = rng.integers(-pspan, pspan, 20000).astype(float)
         py = rng.integers(-pspan, pspan, 20000).astype(float)
-        grid = candidate_grid(cx, cy)
-        assert grid is not None
-        got = nearest_indices(px, py, cx, cy, grid)
-        want = _blocks(px, py, cx, cy, 1000)
+        px[:5], py[:5] = 2e9, -2e9
+        cells = candidate_cells(cx, cy)
+        got = nearest_indices(px, py, cx, cy, cells)
+        want = _nearest(px, py, cx, cy)
         assert np.array_equal(got[0], want[0]) and np.array_equal(got[1], want[1])
+        if k >= 500 and pspan > 50:
+            assert cells["table"].shape[1] <= 32  # a far centre does not widen the lists of the others
+
+
+@pytest.mark.parametrize("strategy", ["unrolled", "vectorized"])
+@pytest.mark.parametrize("point", [(None, 1), (1, None), (None, None)])
+def test_null_coordinate_fails_with_the_same_message(spark, strategy, point):
+    df = spark.createDataFrame([(1, 1), point], "x INT, y INT")
+    with pytest.raises(Exception, match="point coordinate is NULL"):
+        assign(df, prepare_centers([(0, 0), (5, 5)]), strategy=strategy).collect()
+
+
+@pytest.mark.parametrize("strategy", ["unrolled", "vectorized"])
+def test_roots_that_tie_go_to_the_first_centre(spark, strategy):
+    df = spark.createDataFrame([(0, 0), (1, 3)], "x INT, y INT")
+    ctr = [(134217728, 2), (134217728, 0), *[(2**30 + i, -(2**30)) for i in range(12)]]
+    got = assign(df, prepare_centers(ctr), strategy=strategy, prefix="rank_").collect()
+    assert [(r.rank_rank, r.rank_x, r.rank_y) for r in got] == [(0, 134217728, 2)] * 2
 
 
 def test_grid_path_in_spark_matches_brute_force(spark):

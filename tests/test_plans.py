@@ -2,6 +2,8 @@
 
 import re
 
+from pyspark.sql import functions as F
+
 from lloydflow import step
 from lloydflow.operators.assign import assign
 from lloydflow.plans.lloyd import prepare_centers
@@ -50,20 +52,24 @@ def test_step_plan_size_constant_across_iterations(spark):
     assert len(shapes) == 1
 
 
-def test_fit_does_not_run_an_input_shuffle_twice(spark):
-    from lloydflow.session import scan_partitions
-    from lloydflow.sources.points import collapse_points
+def test_fit_adds_no_shuffle_of_the_points(spark):
+    from lloydflow.plans.lloyd import _step
 
     pts = points_l(spark, SF_SMALL).select("x", "y")
-    assert scan_partitions(pts) >= 1  # a plain scan: asked, planning only
-    assert scan_partitions(collapse_points(pts)) is None  # would run the aggregation: not asked
+    plan = _step(pts, prepare_centers(K5), "combined", 1, "auto", "x", "y", None)._jdf.queryExecution().toString()
+    assert "RoundRobinPartitioning" not in plan
 
 
-def test_listing_sort_is_sized_by_the_input(spark):
-    from lloydflow.sources.sinks import _sorted
+def test_listing_parts_follow_the_clusters_sizes(spark, monkeypatch):
+    from lloydflow.sources import sinks
 
+    monkeypatch.setattr(sinks, "PART_ROWS", 200)
     wide = spark.range(0, 5000, numPartitions=24).selectExpr("CAST(id % 7 AS STRING) AS key", "id AS x", "id AS y")
-    out = _sorted(wide, ["key", "x", "y"])
-    assert out.rdd.getNumPartitions() >= 24  # not capped at spark.sql.shuffle.partitions (8 here)
-    rows = [(r.key, r.x) for r in out.collect()]
-    assert rows == sorted(rows)
+    sizes = [(k, 0, 5000 // 7) for k in range(7)]
+    wide = wide.withColumn("key", F.concat("key", F.lit(",0")))
+    out = sinks._sorted(wide, "key", sizes)
+    assert out.rdd.getNumPartitions() == 7 * 4  # by the clusters' sizes, not spark.sql.shuffle.partitions
+    parts = out.rdd.glom().collect()
+    assert [r.key for p in parts for r in p] == sorted(r.key for p in parts for r in p)
+    assert all([r.x for r in p] == sorted(r.x for r in p) for p in parts)
+    assert max(map(len, parts)) < 2.5 * 5000 / 28

@@ -103,13 +103,21 @@ def test_resume_continues_like_an_uninterrupted_run(spark, scratch, status_files
     ctr = [(0, 0), (250, -250), (-250, 250), (400, 400)]
     prefix = scratch("resume") + "/run"
     fit(df, ctr, iterations=2, mode="combined", output_prefix=prefix, status_files=status_files)
+    for r in (1, 2):
+        os.remove(f"{prefix}{r}/_SUCCESS")  # some committers leave no marker
     os.makedirs(prefix + "3")  # a round folder the lost driver never committed
     open(prefix + "3/part-00000", "w").write("garbage\n")
     res = fit(df, ctr, iterations=4, mode="combined", output_prefix=prefix, status_files=status_files, resume=True)
-    assert res.resumed_from == 2 and [it.iteration for it in res.iterations] == [3, 4]
-    want = brute.fit(pts, ctr, 4, "combined")
-    assert [it.rows for it in res.iterations] == want[2:]
+    assert res.resumed_from == 2 and [it.iteration for it in res.iterations] == [1, 2, 3, 4]
+    whole = fit(df, ctr, iterations=4, mode="combined")
+    assert [it.rows for it in res.iterations] == brute.fit(pts, ctr, 4, "combined")
+    assert res.history().drop("seconds").collect() == whole.history().drop("seconds").collect()
     assert os.path.exists(prefix + "3/_SUCCESS")
+    for other in ({"mode": "plain"}, {"stop": "all"}, {"threshold": 7}):
+        with pytest.raises(ValueError):
+            fit(df, ctr, **({"iterations": 4, "mode": "combined", "output_prefix": prefix, "status_files": status_files, "resume": True} | other))
+    with pytest.raises(ValueError):
+        fit(df, ctr[:2], iterations=4, mode="combined", output_prefix=prefix, status_files=status_files, resume=True)
 
 
 def test_resume_after_a_finished_stop(spark, scratch):
@@ -119,16 +127,38 @@ def test_resume_after_a_finished_stop(spark, scratch):
     prefix = scratch("resume-stop") + "/run"
     first = fit(df, ctr, iterations=20, mode="plain", stop="all", output_prefix=prefix)
     again = fit(df, ctr, iterations=20, mode="plain", stop="all", output_prefix=prefix, resume=True)
-    assert again.iterations == [] and again.resumed_from == first.iterations_run
+    assert again.resumed_from == first.iterations_run == len(again.iterations) and again.converged
+    assert again.result().collect() == first.result().collect()
     assert again.final_centers == first.final_centers
 
 
-def test_fixed_point_rounds_are_replayed_exactly(spark):
+def test_rounds_without_a_record_are_not_resumed(spark, scratch):
+    import shutil
+
+    df = spark.createDataFrame(_random(9, n=100), "x INT, y INT")
+    prefix = scratch("resume-bare") + "/run"
+    fit(df, [(0, 0), (50, 50)], iterations=1, output_prefix=prefix)
+    shutil.move(prefix + "Run", prefix + "Elsewhere")
+    with pytest.raises(ValueError):
+        fit(df, [(0, 0), (50, 50)], iterations=2, output_prefix=prefix, resume=True)
+
+
+def test_table_persistence_leaves_no_copy(spark, scratch):
+    import os
+
+    from lloydflow.session import shared_dir
+
+    df = spark.createDataFrame(_random(10, n=100), "x INT, y INT")
+    folder = shared_dir(spark).removeprefix("file:")
+    before = {f for f in os.listdir(folder) if f.startswith("points-")}
+    fit(df, [(0, 0), (50, 50)], iterations=2, persist="table")
+    assert {f for f in os.listdir(folder) if f.startswith("points-")} == before
+
+
+def test_rounds_at_a_fixed_point_are_run_and_timed(spark):
     pts = _random(8, n=600, span=50)
     df = spark.createDataFrame(pts, "x INT, y INT")
     ctr = [(-20, -20), (20, 20), (0, 30)]
     got = fit(df, ctr, iterations=12, mode="combined")
     assert [it.rows for it in got.iterations] == brute.fit(pts, ctr, 12, "combined")
-    replayed = [it.replayed for it in got.iterations]
-    assert any(replayed) and not replayed[0]
-    assert all(replayed[replayed.index(True):])  # once at a fixed point, every later round is replayed
+    assert len(got.iterations) == 12 and all(it.seconds > 0 for it in got.iterations)

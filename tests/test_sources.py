@@ -179,13 +179,19 @@ def test_local_frame_small_and_large(spark):
         assert [f.dataType.simpleString() for f in df.schema.fields] == ["int", "bigint", "string", "double"]
 
 
-def test_oversized_centre_file_fails(spark, scratch, monkeypatch):
-    import lloydflow.sources.centers as centers
+def test_centre_files_of_any_length_are_numbered_across_files(spark, scratch):
+    d = scratch("big")
+    write_text(f"{d}/a.txt", "\n".join(f"{i},{-i}" for i in range(12_000)) + "\n")
+    write_text(f"{d}/b.txt", "7,7\n8,8\n")
+    got = [tuple(r) for r in read_centers(spark, f"{d}/*.txt").orderBy("rank").collect()]
+    assert got == [(i, i, -i) for i in range(12_000)] + [(12_000, 7, 7), (12_001, 8, 8)]
 
-    monkeypatch.setattr(centers, "MAX_CENTERS", 3)
-    p = write_text(f"{scratch('big')}/centers.txt", "1,1\n2,2\n3,3\n4,4\n")
-    with pytest.raises(FAILS):
-        centers.read_centers(spark, p).collect()
+
+def test_centres_without_a_rank_are_refused(spark):
+    from lloydflow.sources.centers import as_center_list
+
+    with pytest.raises(ValueError):
+        as_center_list(spark.createDataFrame([(1, 1)], "x INT, y INT"))
 
 
 def test_json_export_per_group_in_rank_order(spark):
