@@ -23,7 +23,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from lloydflow.operators.assign import assign  # noqa: E402
 from lloydflow.plans.lloyd import fit, prepare_centers, step  # noqa: E402
 from lloydflow.plans.workload import K5, lattice, points_c, points_e, points_l  # noqa: E402
-from lloydflow.session import local_session  # noqa: E402
+from lloydflow.session import local_session, scratch_path  # noqa: E402
+from lloydflow.sources.sinks import write_assignments  # noqa: E402
 from lloydflow.sources.points import collapse_points  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
@@ -57,6 +58,9 @@ def main() -> None:
         "step_combined_L_k30": lambda: step(L, k30, "combined").collect(),
         "step_combined_L_k100": lambda: step(L, k100, "combined").collect(),
         "step_combined_L_k1000": lambda: step(L, k1000, "combined").collect(),
+        "step_combined_L_k1000_far": lambda: step(L, [(-9_000_000, -9_000_000), *k1000[1:]], "combined").collect(),
+        **{f"assign_L_k{k}": (lambda c: lambda: drain(assign(L, prepare_centers(c))))(lattice(k)) for k in (24, 28, 32, 40)},
+        "write_listing_L_k5": lambda: write_assignments(assign(L, prepare_centers(K5)), scratch_path(spark, "bench-listing")),
         "assign_L_k5": lambda: drain(assign(L, prepare_centers(K5))),
         "fit_fixed_plain_L_R5": lambda: fit(L, K5, iterations=5, mode="plain"),
         "fit_fixed_combined_L_R5": lambda: fit(L, K5, iterations=5, mode="combined"),
