@@ -19,15 +19,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, light: bool = False) -> DataFrame:
     """``df`` written to the cluster's shared folder and read back.
 
     Cuts lineage so that a lost executor never forces the work above to be done
-    again, and lets several readers share one evaluation.
+    again, and lets several readers share one evaluation.  A ``light`` table (a few
+    numbers per row) is written by at most four tasks a core, so that many shuffle partitions
+    don't become as many tiny files.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    out = df.coalesce(4 * spark.sparkContext.defaultParallelism) if light else df
+    out.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

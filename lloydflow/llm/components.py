@@ -15,17 +15,17 @@ def components(edges: DataFrame) -> DataFrame:
     label, so labels travel in doubling steps.  Each round's labels are
     written, so a lost executor costs that round at most.
     """
-    both = stored(edges.select("a", "b").union(edges.select("b", "a")).filter("a <> b").distinct(), "edges")
+    both = stored(edges.select("a", "b").union(edges.select("b", "a")).filter("a <> b").distinct(), "edges", light=True)
     labels = stored(both.groupBy(F.col("a").alias("v")).agg(F.min("b").alias("root"))
-                    .select("v", F.least("v", "root").alias("root")), "labels")
+                    .select("v", F.least("v", "root").alias("root")), "labels", light=True)
     while True:
         near = (both.join(labels.withColumnRenamed("v", "b"), "b").groupBy(F.col("a").alias("v"))
                 .agg(F.min("root").alias("near")))
         least = stored(labels.join(near, "v", "left").select(
-            "v", F.col("root").alias("was"), F.least("root", "near").alias("root")), "labels")
+            "v", F.col("root").alias("was"), F.least("root", "near").alias("root")), "labels", light=True)
         jump = least.select(F.col("v").alias("root"), F.col("root").alias("far"))
         nxt = stored(least.join(jump, "root", "left").select(
-            "v", "was", F.least("root", F.coalesce("far", "root")).alias("root")), "labels")
+            "v", "was", F.least("root", F.coalesce("far", "root")).alias("root")), "labels", light=True)
         labels = nxt.drop("was")
         if nxt.filter("was <> root").isEmpty():
             return labels

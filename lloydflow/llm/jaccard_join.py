@@ -32,13 +32,14 @@ WORDS, SIMILARITY = 5, 0.8
 #: Probability that a pair at the threshold meets in a bucket of some run.
 RECALL = 0.9999
 #: Sampled shingles per run, over 1 / similarity; sketch entries that split a node.
-OVERSAMPLE, BRANCH = 1.5, 3
+OVERSAMPLE, BRANCH = 1.5, 2
 #: Buckets up to this size are compared by brute force; levels of splitting.
 SMALL, DEPTH = 48, 4
 BINS = 128
-#: Estimated similarity that ties two documents into a candidate group, and that lets one leave a large bucket with its pivot.
-#: (1 - J is a metric: a partner of a document that leaves is itself at least LEAVE - (1 - SIMILARITY) from the pivot.)
-TIE, LEAVE = 0.55, 0.88
+#: Estimated similarity that ties two documents of a small bucket, that ties one to the pivot of a large bucket,
+#: and from which it leaves the large bucket.  1 - J is a metric: a partner of a document that leaves is itself
+#: at least LEAVE - (1 - SIMILARITY) from the pivot, well above STAR, so it is tied as well.
+TIE, STAR, LEAVE = 0.6, 0.3, 0.7
 #: Documents of a candidate group that are compared in one block.
 BLOCK = 512
 
@@ -199,8 +200,9 @@ def _ties(sets: DataFrame) -> DataFrame:
     buckets = sets.select(F.explode("keys").alias("bucket"), "row")
     found, small = [], []
     for level in range(DEPTH + 1):
-        counts = stored(buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "buckets")
-        met = stored(buckets.join(counts, "bucket").join(sk, "row").select("bucket", "n", "row", "sketch"), "met")
+        counts = stored(buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "buckets", light=True)
+        # Sketches grow with the documents: they are merged at every size, never broadcast.
+        met = stored(buckets.join(counts, "bucket").join(sk.hint("merge"), "row").select("bucket", "n", "row", "sketch"), "met")
         small.append(met.filter(F.col("n") <= SMALL).select("bucket", "row", "sketch"))
         large = met.filter(F.col("n") > SMALL).drop("n")
         if large.isEmpty():
@@ -215,8 +217,8 @@ def _ties(sets: DataFrame) -> DataFrame:
 
         measured = stored(large.join(pivots, "bucket").select("bucket", "row", "sketch", "pivot", "pivot_sketch")
                           .mapInPandas(measure, "bucket long, row long, sketch binary, pivot long, near double"), "measured")
-        found.append(measured.filter((F.col("near") >= TIE) & (F.col("row") != F.col("pivot")))
-                     .select(F.col("row").alias("a"), F.col("pivot").alias("b")).distinct())
+        found.append(measured.filter((F.col("near") >= STAR) & (F.col("row") != F.col("pivot")))
+                     .select(F.col("row").alias("a"), F.col("pivot").alias("b")))
         rest = measured.filter(F.col("near") < LEAVE).select("bucket", "row", "sketch")
         if level == DEPTH:
             # What no level could split is compared in full, block against block.
@@ -242,7 +244,7 @@ def _block_pairs(indexed: DataFrame, key: str, size: int, columns: list[str], ma
     block of its key, so a task holds two blocks at a time.  ``match`` gets the
     rows of one pair with their block number ``_b``.
     """
-    blocks = stored(indexed.groupBy(key).agg((F.floor(F.max("_i") / size) + 1).cast("long").alias("_n")), "blocks")
+    blocks = stored(indexed.groupBy(key).agg((F.floor(F.max("_i") / size) + 1).cast("long").alias("_n")), "blocks", light=True)
     own = F.floor(F.col("_i") / size).cast("long")
     dealt = (indexed.join(blocks, key).withColumn("_b", own)
              .withColumn("_o", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1)))
@@ -293,7 +295,7 @@ def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
 def _links(docs: DataFrame, reps: DataFrame, groups: DataFrame, similarity: float) -> DataFrame:
     """(row, links, least): exact links of the rows of every candidate group ``groups`` (v, root)."""
     wanted = stored(groups.withColumnRenamed("v", "row").join(reps, "row").select(
-        "root", "row", "copies", F.col("doc_id").alias("_d"), F.col("text_key").alias("_t")), "wanted")
+        "root", "row", "copies", F.col("doc_id").alias("_d"), F.col("text_key").alias("_t")), "wanted", light=True)
     texts = docs.select(F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text").alias("_k"), "text")
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -301,8 +303,9 @@ def _links(docs: DataFrame, reps: DataFrame, groups: DataFrame, similarity: floa
             yield pd.DataFrame({"root": b["root"], "row": b["row"], "copies": b["copies"],
                                 "set": [shingles(np.asarray(w, np.int64)).tobytes() for w in b["words"]]})
 
-    # Equal rows may match a representative more than once; one is enough.
-    sets = (texts.join(wanted, F.col("_id").eqNullSafe(F.col("_d")) & (F.col("_k") == F.col("_t")))
+    # Equal rows may match a representative more than once; one is enough.  What is wanted grows
+    # with the documents, so the join is a merge at every size.
+    sets = (texts.join(wanted.hint("merge"), F.col("_id").eqNullSafe(F.col("_d")) & (F.col("_k") == F.col("_t")))
             .select("root", "row", "copies", word_hashes(F.col("text")).alias("words"))
             .mapInPandas(cut, "root long, row long, copies long, set binary").dropDuplicates(["root", "row"]))
     indexed = stored(cell_index(stored(sets, "sets"), ["root"], ["row"], "_i"), "groups")
@@ -319,7 +322,7 @@ def _links(docs: DataFrame, reps: DataFrame, groups: DataFrame, similarity: floa
         label = forest(len(rows), *np.nonzero(linked))
         return pd.DataFrame({"row": rows, "links": linked @ copies, "least": rows[label]})
 
-    return stored(_block_pairs(indexed, "root", BLOCK, ["row", "copies", "set"], link, "row long, links long, least long"), "links")
+    return stored(_block_pairs(indexed, "root", BLOCK, ["row", "copies", "set"], link, "row long, links long, least long"), "links", light=True)
 
 
 def jaccard_classes(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
@@ -336,7 +339,7 @@ def jaccard_classes(docs: DataFrame, similarity: float = SIMILARITY, recall: flo
     """
     rows = _sketched(docs, runs_needed(recall, similarity), similarity)
     same = stored(rows.filter("n > 0").groupBy("k1", "k2", "n").agg(
-        F.min("row").alias("row"), F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("least_id")), "same")
+        F.min("row").alias("row"), F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("least_id")), "same", light=True)
     reps = stored(same.join(rows.select("row", "doc_id", "text_key", "keys", "sketch"), "row"), "reps")
     groups = components(_ties(reps.select("row", "keys", "sketch")))
     links = _links(docs, reps.select("row", "copies", "doc_id", "text_key"), groups, similarity)
@@ -344,9 +347,9 @@ def jaccard_classes(docs: DataFrame, similarity: float = SIMILARITY, recall: flo
     total = links.groupBy("row").agg(F.sum("links").alias("links"))
     named = stored(same.join(classes.withColumnRenamed("v", "row"), "row", "left").join(total, "row", "left").select(
         "k1", "k2", "n", "copies", "least_id", F.coalesce("root", "row").alias("root"),
-        (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "named")
-    names = stored(named.groupBy("root").agg(F.min("least_id").alias("class_id")), "names")
-    by_set = stored(named.join(names, "root").select("k1", "k2", "n", "class_id", "n_links"), "classes")
+        (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "named", light=True)
+    names = stored(named.groupBy("root").agg(F.min("least_id").alias("class_id")), "names", light=True)
+    by_set = stored(named.join(names, "root").select("k1", "k2", "n", "class_id", "n_links"), "classes", light=True)
     return rows.join(by_set, ["k1", "k2", "n"], "left").select(
         "row", "doc_id", F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "text_key")
@@ -356,13 +359,13 @@ def one_per_class(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs`` of the smallest doc_id of each class; one of equal rows, and every row without a link."""
     found = jaccard_classes(docs, similarity)
     gone = stored(found.filter((F.col("n_links") > 0) & ~F.col("doc_id").eqNullSafe(F.col("class_id")))
-                  .select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_t")).distinct(), "gone")
+                  .select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_t")).distinct(), "gone", light=True)
     keyed = boxed(docs, "doc_id", "text").withColumn("_k", F.xxhash64("text"))
     stay = keyed.join(gone, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_k") == F.col("_t")), "left_anti")
     # Equal rows of one doc_id are copies too; texts without a shingle have none.
     twice = found.filter("n_links > 0").groupBy("doc_id", "text_key").count().filter("count > 1")
     if not twice.isEmpty():
-        again = stored(twice.select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_t")), "twice")
+        again = stored(twice.select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_t")), "twice", light=True)
         match = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_k") == F.col("_t"))
         one = stay.join(again, match, "left_semi").dropDuplicates(["doc_id", "_k"])
         stay = stay.join(again, match, "left_anti").unionByName(one)

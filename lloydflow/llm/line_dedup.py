@@ -48,7 +48,7 @@ def drop_bitmaps(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Dat
     firsts = ranged.withColumn("nth", F.row_number().over(stream)).filter("nth = 1")
     repeated = (firsts.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("keeper"))
                 .filter(F.col("n_docs") >= min_docs).drop("n_docs"))
-    repeated = stored(repeated, "repeated")  # a plain read, so that the join may split a common line's partition
+    repeated = stored(repeated, "repeated", light=True)  # a plain read, so that the join may split a common line's partition
     gone = (lines.join(repeated, ["h1", "h2"])
             .filter(~F.col("doc_id").eqNullSafe(F.col("keeper"))))
     bits = (gone.groupBy("doc_id", "text_key", F.expr(f"CAST(pos DIV {WORD_BITS} AS INT)").alias("word"))

@@ -36,7 +36,7 @@ def source_targets(sizes: DataFrame, weights: tuple = (1, 2, 3), cap: int = 3) -
     per = sizes.groupBy("skey", "source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
     ranked, _ = global_index(per, [F.col("source").isNull(), F.col("source")], "_i", "sources")
     w = F.element_at(F.array(*[F.lit(float(x)) for x in weights]), (F.col("_i") % len(weights) + 1).cast("int"))
-    src = stored(ranked.withColumn("_w", w).drop("_i"), "weights")
+    src = stored(ranked.withColumn("_w", w).drop("_i"), "weights", light=True)
     total = src.agg(F.sum("source_size")).first()[0] or 0
     level, capped = 0.0, -1
     while total:
@@ -94,8 +94,8 @@ def mix(docs: DataFrame, weights: tuple = (1, 2, 3), cap: int = 3) -> DataFrame:
     sized = stored(docs.select(
         "doc_id", F.xxhash64("text").alias("tie"), "source", F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("skey"),
         word_count(F.col("text")).alias("size")), "sizes")
-    cells = stored(sized.groupBy("skey", "source", "size").agg(F.count(F.lit(1)).alias("n")), "cells")
-    targets = stored(source_targets(cells, weights, cap), "targets")
+    cells = stored(sized.groupBy("skey", "source", "size").agg(F.count(F.lit(1)).alias("n")), "cells", light=True)
+    targets = stored(source_targets(cells, weights, cap), "targets", light=True)
     cells = cells.drop("source").filter("size > 0")
 
     scale = cells.groupBy("skey").agg((F.sum(F.col("size").cast("double") * F.col("size") * F.col("n"))
@@ -104,11 +104,11 @@ def mix(docs: DataFrame, weights: tuple = (1, 2, 3), cap: int = 3) -> DataFrame:
     state = stored(scale.join(targets.select("skey", "target"), "skey").select(
         "skey", "scale", "target", F.lit(0.0).alias("lam"),
         (-15.0 * F.col("scale") / F.col("least")).alias("lo"), (2.0 * F.col("scale") / F.col("least")).alias("hi"),
-        F.lit(False).alias("done")), "dual")
+        F.lit(False).alias("done")), "dual", light=True)
     for _ in range(ROUNDS):
         for _ in range(STEPS):
             state = _newton(cells, state.drop("done"), cap)
-        state = stored(state, "dual")
+        state = stored(state, "dual", light=True)
         if state.filter("NOT done").isEmpty():
             break
 
@@ -117,7 +117,7 @@ def mix(docs: DataFrame, weights: tuple = (1, 2, 3), cap: int = 3) -> DataFrame:
     rated = cells.join(state.drop("done"), "skey").withColumn("_m", _rate(cap) * F.col("n"))
     rated = rated.withColumn("_c", F.sum("_m").over(first))
     rounded = stored(rated.select("skey", "size", "n", "target", F.expr(
-        f"least({cap} * n, _c DIV {RATE_ONE} - (_c - _m) DIV {RATE_ONE})").alias("m")), "rounded")
+        f"least({cap} * n, _c DIV {RATE_ONE} - (_c - _m) DIV {RATE_ONE})").alias("m")), "rounded", light=True)
 
     # The gap that is left is filled with sizes that fit, longest first; each
     # round takes every size that fits whole and part of the next, so the gap shrinks below it.
@@ -130,7 +130,7 @@ def mix(docs: DataFrame, weights: tuple = (1, 2, 3), cap: int = 3) -> DataFrame:
         extra = fits.select("skey", "size", F.expr("least(_w, greatest(0L, gap - _b)) DIV size").alias("_x")).filter("_x > 0")
         filled = stored(rounded.join(extra, ["skey", "size"], "left").select(
             "skey", "size", "n", "target", (F.col("m") + F.coalesce("_x", F.lit(0))).alias("m"),
-            F.coalesce("_x", F.lit(0)).alias("_x")), "filled")
+            F.coalesce("_x", F.lit(0)).alias("_x")), "filled", light=True)
         rounded = filled.drop("_x")
         if filled.filter("_x > 0").isEmpty():
             break
