@@ -72,8 +72,9 @@ def gram_codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     doc = np.repeat(np.arange(len(texts)), lengths)
     # One gap before and after each document keeps its n-grams to itself.
     ends = np.cumsum(lengths)
-    sym = np.insert(sym, np.concatenate([ends - lengths, ends]), 0)
-    doc = np.insert(doc, np.concatenate([ends - lengths, ends]), np.tile(np.arange(len(texts)), 2))
+    edges = np.stack([ends - lengths, ends], axis=1).ravel()
+    sym = np.insert(sym, edges, 0)
+    doc = np.insert(doc, edges, np.repeat(np.arange(len(texts)), 2))
     has = np.zeros(len(texts), bool)
     has[doc[sym > 0]] = True
     keep = np.ones(len(sym), bool)
