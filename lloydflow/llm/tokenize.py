@@ -17,7 +17,7 @@ import numpy as np
 
 END_ID = 2
 #: Most words kept by one Python worker; what a batch needs beyond it lives as long as the batch.
-CACHE_ENTRIES = 1_200_000
+CACHE_ENTRIES = 500_000
 #: New words that go to the library in one call.
 BULK = 2000
 
@@ -60,7 +60,7 @@ class _Words(dict):
             tail = word[len(stem):]
             if tail not in self.tails:
                 self.tails[tail] = self.raw(tail)
-            return self.keep(word, self[stem] + self.tails[tail])
+            return self[stem] + self.tails[tail]
         return self.keep(word, self.raw(word if word[0] == "\n" else " " + word))
 
     def learn(self, words: set[str]) -> None:
@@ -118,7 +118,7 @@ def encoder(path: str | None = None):
 
 END_BYTES = np.array([END_ID], "<u4").tobytes()
 #: Texts that are encoded together.
-TEXTS = 2000
+TEXTS = 1500
 
 
 def encoded(batches, columns: list[str], path: str | None = None):
