@@ -4,9 +4,9 @@ A document is the set of hashes of its five-word shingles; equal sets are
 collapsed first.  Each run sends a set into the buckets of a few sampled
 shingles (the same hash decides for every set, so similar sets meet).  Buckets
 that are small are compared by brute force; larger ones are split again on
-sampled entries of the members' sketches, after everything close to a pivot of
-the bucket has been tied to it, so that a large group of near copies leaves in
-linear time.  Runs are repeated until a pair at the threshold is missed with
+sampled entries of the members' sketches (every member has children, however
+short its text), after everything close to a pivot of the bucket has been tied to
+it, so that a large group of near copies leaves in linear time.  Runs are repeated until a pair at the threshold is missed with
 less than the allowed probability.
 
 Bucket comparisons use 128-bin minimum sketches with a wide margin and only
@@ -47,8 +47,11 @@ _U = np.uint64
 
 
 def runs_needed(recall: float = RECALL, similarity: float = SIMILARITY) -> int:
-    """Runs until a pair at the threshold shares a sampled shingle in one of them."""
-    miss = math.exp(-OVERSAMPLE)  # Poisson: OVERSAMPLE shared samples are expected in a run
+    """Runs until a pair at the threshold meets in an unsplit bucket of one of them, whatever is split on the way."""
+    parted = 0.0  # probability that a pair in one bucket is in no common bucket DEPTH levels below
+    for _ in range(DEPTH):
+        parted = (1 - similarity * (1 - parted)) ** BRANCH
+    miss = math.exp(-OVERSAMPLE * (1 - parted))  # Poisson: OVERSAMPLE shared samples are expected in a run
     return max(1, math.ceil(math.log(1 - recall) / math.log(miss)))
 
 
@@ -179,17 +182,26 @@ def _brute(members: DataFrame) -> DataFrame:
     return dealt.mapInPandas(compare, "a long, b long")
 
 
+def _child(node: np.ndarray, sk: np.ndarray, t: int) -> np.ndarray:
+    """The t-th child of each member (node, sketch): by its first filled bin in the order that node and t give the bins.
+
+    Every set has a filled bin, however short it is, and two sets choose the same
+    entry with the probability of their similarity.
+    """
+    own = mix(node + _U(t))
+    order = mix(own[:, None] + np.arange(1, BINS + 1, dtype=np.uint64) * _U(0x9E3779B97F4A7C15))
+    bin_ = np.where(sk > 0, order, ~_U(0)).argmin(axis=1)
+    value = sk[np.arange(len(sk)), bin_].astype(np.uint64)
+    return mix(own + (value | bin_.astype(np.uint64) << _U(16)))
+
+
 def _split(members: DataFrame) -> DataFrame:
-    """(bucket, row): the child buckets of (bucket, row, sketch)."""
+    """(bucket, row): the child buckets of (bucket, row, sketch), BRANCH for each member."""
     def children(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             node, sk = b["bucket"].to_numpy(np.int64).view(np.uint64), _sketches(b["sketch"])
             for t in range(1, BRANCH + 1):
-                bin_ = (mix(node + _U(t)) % _U(BINS)).astype(np.int64)
-                value = sk[np.arange(len(sk)), bin_]
-                child = mix(mix(node + _U(t)) + value.astype(np.uint64))
-                full = value > 0
-                yield pd.DataFrame({"bucket": child[full].view(np.int64), "row": b["row"].to_numpy()[full]})
+                yield pd.DataFrame({"bucket": _child(node, sk, t).view(np.int64), "row": b["row"].to_numpy()})
 
     return members.mapInPandas(children, "bucket long, row long")
 

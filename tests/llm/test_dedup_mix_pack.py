@@ -77,6 +77,35 @@ def test_jaccard_join_large_groups_in_small_buckets(spark, monkeypatch):
     assert sorted(((r["doc_id"], r["class_id"], r["n_links"]) for r in got), key=str) == brute_jaccard(rows)
 
 
+def frequent_lines(n, seed=6):
+    """Pairs of near copies of two lines each; their common shingles are in many other texts."""
+    rng = random.Random(seed)
+    lines = [" ".join(f"l{j}w{i}" for i in range(6 + j % 2)) for j in range(12)]
+    bases = [" ".join((rng.choice(lines), rng.choice(lines))) for _ in range(n)]
+    return [(2 * g + i, f"{base} end{2 * g + i}") for g, base in enumerate(bases) for i in range(2)]
+
+
+def test_jaccard_join_short_texts_of_frequent_lines(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "SMALL", 4)
+    rows = frequent_lines(400)
+    got = jaccard_join.jaccard_classes(documents(spark, rows)).collect()
+    assert sorted(((r["doc_id"], r["class_id"], r["n_links"]) for r in got), key=str) == brute_jaccard(rows)
+
+
+def test_jaccard_join_splits_give_short_texts_children(spark):
+    # 13 to 15 words in one bucket: each has its children, and near copies mostly share one.
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 2 ** 63, 10).astype(np.uint64)) for _ in range(300)]
+    rows = [(7, 2 * g + i, bytearray(jaccard_join.sketch(np.unique(np.append(s, np.uint64(2 * g + i) << np.uint64(54)))).tobytes()))
+            for g, s in enumerate(sets) for i in range(2)]
+    children = defaultdict(set)
+    for r in jaccard_join._split(spark.createDataFrame(rows, "bucket long, row long, sketch binary")).collect():
+        children[r["row"]].add(r["bucket"])
+    assert all(len(children[i]) == jaccard_join.BRANCH for i in range(600))
+    # At J = 10 / 12 a pair shares none with probability (2 / 12) ** 2.
+    assert sum(bool(children[2 * g] & children[2 * g + 1]) for g in range(300)) >= 280
+
+
 def test_jaccard_join_empty_and_one_per_class(spark):
     assert jaccard_join.jaccard_classes(documents(spark, [])).count() == 0
     docs = documents(spark, [(9, "a b c d e f g"), (4, "A b c d e f g"), (4, "A b c d e f g"), (5, None), (6, "other words")], extra=True)
