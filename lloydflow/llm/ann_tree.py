@@ -3,9 +3,10 @@
 The tree is fitted on a bounded sample on the driver and every row is put into a
 leaf.  A query walks the tree through a priority queue of nodes, ordered by the
 inner product with their centres, and visits leaves until it has seen as many as
-calibration asks for.  Calibration takes a bounded set of queries, finds their
-true neighbours among all rows and widens the visits until the target share of
-them lies in visited leaves.
+calibration asks for and they hold k candidates, if there are as many.  Calibration
+takes a bounded set of queries for each size class of leaves, finds their true
+neighbours among all rows and widens the visits of the class until the target share
+of its queries find the target share of theirs in visited leaves.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from .vectors import best, padded, usable
 
 #: Vectors the tree is fitted on; its fan-out; sample vectors in a leaf at most.
 SAMPLE, BRANCH, LEAF = 20_000, 8, 64
-#: Queries that set the number of visits, and the recall asked of them.
+#: Queries of a size class of leaves that set its number of visits, and the recall asked of them.
 CALIBRATION, RECALL = 96, 0.97
 #: Members of a leaf, and queries at a leaf, that meet in one group at most.
 MEMBERS, QUERIES = 2048, 1024
@@ -83,13 +84,14 @@ def leaf_of(x: np.ndarray, node: Node) -> np.ndarray:
     return out
 
 
-def leaves_in_order(q: np.ndarray, root: Node, visits: int) -> list[int]:
-    """Best-bin-first: the first ``visits`` leaves that the queue yields."""
-    heap, tie, out = [(0.0, 0, root)], 0, []
-    while heap and len(out) < visits:
+def leaves_in_order(q: np.ndarray, root: Node, visits: int, counts: dict[int, int] | None = None, least: int = 0) -> list[int]:
+    """Best-bin-first: the first ``visits`` leaves that the queue yields, and further ones until they hold ``least`` rows."""
+    heap, tie, out, held = [(0.0, 0, root)], 0, [], 0
+    while heap and (len(out) < visits or held < least):
         _, _, node = heapq.heappop(heap)
         if not isinstance(node, Node):
             out.append(node)
+            held += counts.get(node, 0) if counts else 0
             continue
         for worth, child in zip((node.centres @ q).tolist(), node.children):
             tie += 1
@@ -97,6 +99,16 @@ def leaves_in_order(q: np.ndarray, root: Node, visits: int) -> list[int]:
     return out
 
 
+def size_class(rows: int) -> int:
+    """Class of a leaf by its rows: powers of eight."""
+    return rows.bit_length() // 3
+
+
+def quantile(values: list[int], share: float) -> int:
+    """The least value that the share of the values do not exceed."""
+    return sorted(values)[min(len(values), int(np.ceil(share * len(values)))) - 1]
+
+
 def _top(q: np.ndarray, x: np.ndarray, ids: np.ndarray, qid: int, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(ids, scores) of the k best rows of x.
 
@@ -140,13 +152,16 @@ def ann_topk(vectors: DataFrame, k: int = 20, every: int = 20, recall: float = R
 
     index = stored(rows.mapInPandas(place, "vec_id long, leaf long, v binary"), "leaves")
 
-    # Calibration: the true neighbours of a bounded set of queries, over all rows.
-    asked = rows.filter(F.col("vec_id") % every == 0)
-    few = asked.orderBy(F.xxhash64(F.lit(1), "vec_id"), "vec_id").limit(CALIBRATION)
-    few_pd = few.toPandas()
+    counts = {r[0]: r[1] for r in index.groupBy("leaf").count().collect()}  # at most n_leaves rows
+    classes = spark.createDataFrame([(n, size_class(c)) for n, c in counts.items()], "leaf long, class int")
+    asked = index.filter(F.col("vec_id") % every == 0).join(F.broadcast(classes), "leaf")
+
+    # Calibration: the true neighbours of a bounded set of queries of each class, over all rows.
+    few_pd = pd.concat([asked.filter(F.col("class") == c).orderBy(F.xxhash64(F.lit(1), "vec_id"), "vec_id").limit(CALIBRATION).toPandas()
+                        for c in sorted({size_class(c) for c in counts.values()})]).drop_duplicates("vec_id")
     if not len(few_pd):
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    q_ids, q_rows = few_pd["vec_id"].to_numpy(np.int64), padded(few_pd["embedding"].tolist(), dims)
+    q_ids, q_rows = few_pd["vec_id"].to_numpy(np.int64), np.frombuffer(b"".join(few_pd["v"]), np.float64).reshape(len(few_pd), dims)
 
     def truth(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -158,20 +173,26 @@ def ann_topk(vectors: DataFrame, k: int = 20, every: int = 20, recall: float = R
 
     true = best_with_leaf(index.mapInPandas(truth, "query_id long, vec_id long, score double, leaf long"), k)
     places = {int(qid): {leaf: i for i, leaf in enumerate(leaves_in_order(q, tree, n_leaves))} for qid, q in zip(q_ids, q_rows)}
-    # At most CALIBRATION * k rows.
-    depth = sorted(places[r["query_id"]][r["leaf"]] + 1 for r in true.collect())
-    visits = depth[min(len(depth) - 1, int(np.ceil(recall * len(depth))) - 1)] if depth else n_leaves
-
-    # Hot leaves are dealt in chunks; the chunks of a leaf meet its queries each.
-    counts = {r[0]: r[1] for r in index.groupBy("leaf").count().collect()}  # at most n_leaves rows
+    # At most CALIBRATION * k rows a class.
+    depth = {int(qid): [] for qid in q_ids}
+    for r in true.collect():
+        depth[r["query_id"]].append(places[r["query_id"]][r["leaf"]] + 1)
+    needs = {}
+    for qid, c in zip(q_ids.tolist(), few_pd["class"].tolist()):
+        needs.setdefault(c, []).append(quantile(depth[qid], recall) if depth[qid] else 1)
+    visits = {c: quantile(x, recall) for c, x in needs.items()}
+
+    # Rows of a query's own vec_id are no candidates of it.
+    repeated = stored(asked.groupBy("vec_id").agg(F.count(F.lit(1)).alias("own")).filter("own > 1"), "repeated", light=True)
+    asked = asked.join(repeated, "vec_id", "left").select("vec_id", "v", "class", F.coalesce("own", F.lit(1)).alias("own"))
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            x = padded(b["embedding"].tolist(), dims)
-            for qid, q in zip(b["vec_id"].tolist(), x):
-                leaves = [n for n in leaves_in_order(q, tree, visits) if n in counts]
-                yield pd.DataFrame({"query_id": qid, "leaf": leaves, "q": [q.tobytes()] * len(leaves)})
+            for qid, v, c, own in zip(b["vec_id"].tolist(), b["v"], b["class"].tolist(), b["own"].tolist()):
+                leaves = [n for n in leaves_in_order(np.frombuffer(v, np.float64), tree, visits[c], counts, k + own) if n in counts]
+                yield pd.DataFrame({"query_id": qid, "leaf": leaves, "q": [v] * len(leaves)})
 
+    # Hot leaves are dealt in chunks; the chunks of a leaf meet its queries each.
     asks = stored(asked.mapInPandas(walk, "query_id long, leaf long, q binary"), "visits")
     wanted = {r[0]: r[1] for r in asks.groupBy("leaf").count().collect()}  # at most n_leaves rows
     deals = spark.createDataFrame(

@@ -77,3 +77,27 @@ def test_ann_few_rows(spark):
     got = ann_tree.ann_topk(vectors(spark, rows)).collect()
     assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got) == [
         (0, 1, 1, 0.5), (0, 2, 20, 0.0), (20, 1, 0, 0.0), (20, 2, 1, 0.0)]
+
+
+def skewed(n=2400, dims=16, seed=4):
+    """Three large groups of copies, and sixty outliers at right angles to them, two of them queries."""
+    rng = np.random.default_rng(seed)
+    x = 5 * np.eye(dims)[rng.integers(0, 3, n)]
+    far = [0, 1200, *[i for i in range(1, n, 37) if i % 20][:58]]
+    x[far] = 0
+    x[far, 3:] = rng.normal(size=(60, dims - 3))
+    return [(i, v.tolist()) for i, v in enumerate(x.astype(np.float32))]
+
+
+def test_ann_outliers_have_full_lists(spark):
+    rows = skewed()
+    got = ann_tree.ann_topk(vectors(spark, rows)).collect()
+    x = np.array([v for _, v in rows], np.float32).astype(float)
+    by = {}
+    for r in got:
+        by.setdefault(r["query_id"], []).append(r["vec_id"])
+    assert {q: len(found) for q, found in by.items()} == {q: 20 for q in range(0, 2400, 20)}
+    for q in (0, 1200):
+        s = x @ x[q]
+        s[q] = -np.inf
+        assert sum(s[c] >= np.sort(s)[-20] - 1e-9 for c in by[q]) >= 18
