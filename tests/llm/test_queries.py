@@ -15,7 +15,7 @@ def con():
 
 def test_one_query_per_operator_and_the_pipeline():
     names = entry.queries()
-    assert [sum(q.startswith(f"op{n}_") for q in names) for n in range(1, 11)] == [1] * 10
+    assert [sum(q.startswith(f"op{n}_") for q in names) for n in range(1, 14)] == [1] * 13
     assert "pipeline" in names and set(llm.oracle_sql()) <= set(entry.oracle_sql())
 
 
