@@ -23,7 +23,7 @@ import time
 from pyspark.sql import SparkSession
 
 from .plans.lloyd import fit
-from .sources.centers import as_center_list, read_centers
+from .sources.centers import read_centers
 from .sources.points import read_points
 
 VARIANTS = {
@@ -53,7 +53,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> fl
     args = parse_args(sys.argv[1:] if argv is None else argv)
     started = time.time()
     spark = spark or SparkSession.builder.appName(f"lloydflow-{args.variant}").getOrCreate()
-    centres = as_center_list(read_centers(spark, args.centres))
+    centres = read_centers(spark, args.centres)
     persist = {"cache": True, "table": "table", "none": False}[args.persist]
     fit(read_points(spark, args.data), centres, iterations=args.iterations, output_prefix=args.output_prefix,
         persist=persist, collapse=args.collapse, resume=args.resume, **VARIANTS[args.variant])

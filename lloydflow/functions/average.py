@@ -68,6 +68,11 @@ def truncated_mean(sum_col: str, n_col: str) -> Column:
     return F.expr(f"CAST(`{sum_col}` div `{n_col}` AS INT)")
 
 
+def truncated_mean_of(coord: str) -> Column:
+    """F5 as an aggregate over points: their summed coordinate ``div`` their number."""
+    return F.expr(f"CAST(sum(CAST(`{coord}` AS BIGINT)) div count(1) AS INT)")
+
+
 def keep_old(mode: str, sum_x: str = "sum_x", n: str = "n", only_seed: str | None = None) -> Column:
     """F9 condition: when the old centre is kept instead of moving to the mean.
 

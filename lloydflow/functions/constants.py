@@ -16,8 +16,12 @@ PLAIN_SENTINEL_X = -1
 INITIAL_BEST_DISTANCE = 2147483647
 
 # Up to this many distinct centres the nearest-centre search is an unrolled
-# ``least`` over literal structs (whole-stage codegen); above it an Arrow-batched
+# ``least`` over literal distances (whole-stage codegen); above it an Arrow-batched
 # pandas UDF does the arg-min with numpy.
 UNROLL_LIMIT = 32
 
+# Up to this many rows a DataFrame of centres is collected and bound into the plan;
+# a longer one stays a table (tiled search, loop state in written tables).
+IN_PLAN_CENTERS = 4096
+
 MODES = ("plain", "combined")

@@ -14,9 +14,6 @@ from pyspark.sql import functions as F
 # Fixed value: the accepted integer syntax of the reference's parser.
 INT_PATTERN = r"^[+-]?[0-9]+$"
 
-# Line terminators accepted between lines of a centre file.
-LINE_BREAK = r"\r\n|\n|\r"
-
 
 def strict_int(field: Column, what: str) -> Column:
     """Parse one text field as INT or fail the query (NULL, blank, float, overflow).
@@ -43,9 +40,3 @@ def fields(line: Column) -> Column:
 def field(parts: Column, i: int) -> Column:
     """0-based field access; a missing field is NULL (and then fails ``strict_int``)."""
     return F.get(parts, i)
-
-
-def split_lines(text: Column) -> Column:
-    """Split a whole file into lines; trailing empty lines are dropped, inner ones kept."""
-    trimmed = F.regexp_replace(text, r"(\r\n|\n|\r)+$", "")
-    return F.split(trimmed, LINE_BREAK)

@@ -22,9 +22,11 @@ from ..functions.average import (
     seed_partial,
     sentinel_included,
     truncated_mean,
+    truncated_mean_of,
 )
 from ..functions.constants import MODES
 from ..functions.geometry import point_text
+from .uneven import join_by_size
 
 
 def _mode(mode: str) -> str:
@@ -128,28 +130,27 @@ def finalize_partials(merged: DataFrame) -> DataFrame:
     )
 
 
-def members(assigned: DataFrame, x: str = "x", y: str = "y", keep: Sequence[str] = ()) -> DataFrame:
+def members(assigned: DataFrame, x: str = "x", y: str = "y", keep: Sequence[str] = (),
+            averages: DataFrame | None = None, hot_rows: int | None = None) -> DataFrame:
     """A5: each cluster's members with the cluster's truncated average, one row per point.
 
     The reference concatenates a cluster's members into one ``(x,y) (x,y) …``
     text.  A cluster may hold a third of all points, so the list stays in long
     form (``member`` is the point text) and the per-cluster average — one row per
-    centre — is joined back to the points.  Every row needs its cluster's full
-    average, so the assigned points are read twice (averages, then rows);
-    persist ``assigned`` first when its source is expensive.
+    centre — is joined back to the points.  ``averages`` (``center_rank, avg_x, avg_y,
+    n_members``), such as a round has already computed, spares the first of two
+    reads of the points; a short one is a local relation that the planner broadcasts, a
+    table goes through ``join_by_size``, which keeps large clusters out of the shuffle.
     """
-    stats = assigned.groupBy("center_rank").agg(
-        F.sum(F.col(x).cast("long")).alias("sum_x"),
-        F.sum(F.col(y).cast("long")).alias("sum_y"),
-        F.count(F.lit(1)).alias("n"),
-    )
-    avg = stats.select(
-        "center_rank",
-        truncated_mean("sum_x", "n").alias("avg_x"),
-        truncated_mean("sum_y", "n").alias("avg_y"),
-        F.col("n").alias("n_members"),
-    )
-    return assigned.join(avg, "center_rank").select(
+    if averages is None:
+        averages = assigned.groupBy("center_rank").agg(
+            truncated_mean_of(x).alias("avg_x"), truncated_mean_of(y).alias("avg_y"), F.count(F.lit(1)).alias("n_members"))
+        joined = join_by_size(assigned, averages, "center_rank", "n_members", hot_rows)
+    elif hot_rows is not None:
+        joined = join_by_size(assigned, averages, "center_rank", "n_members", hot_rows)
+    else:
+        joined = assigned.join(averages, "center_rank")
+    return joined.select(
         *keep, "center_x", "center_y", "avg_x", "avg_y", "n_members", x, y, point_text(x, y).alias("member")
     )
 

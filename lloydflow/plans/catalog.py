@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.average import merge_partials_agg, partials_equal
@@ -21,6 +21,7 @@ from ..operators.aggregate import partials as partials_op
 from ..operators.assign import assign, assign_rank
 from ..operators.convergence import all_stable, any_stable, status_message, with_movement
 from ..operators.ordering import rank_by_center_text
+from ..operators.tiles import assign_table, build_index
 from ..session import scratch_path
 from ..sources.centers import (
     centers_frame,
@@ -28,10 +29,14 @@ from ..sources.centers import (
     centers_to_json,
     parse_center_lines,
     parse_result_lines,
+    line_positions,
     parse_status_lines,
+    ranked_table,
     read_centers,
+    read_centers_json,
     read_result,
     read_status_centers,
+    write_centers_json,
 )
 from ..sources.points import collapse_points, parse_point_lines, points_from, read_assignments, read_points
 from ..sources.sinks import (
@@ -42,7 +47,7 @@ from ..sources.sinks import (
     write_assignments,
     write_result,
 )
-from ..streaming.clusters import assign_stream, read_table_stream, running_step, write_stream
+from ..streaming.clusters import assign_stream, assign_stream_table, read_table_stream, running_step, write_stream
 from .lloyd import fit, prepare_centers, step
 from .workload import (
     K5,
@@ -55,7 +60,9 @@ from .workload import (
     LATTICE_60,
     LATTICE_200,
     LATTICE_1000F,
+    MANY,
     centers_o,
+    centers_s,
     points_c,
     points_e,
     points_l,
@@ -285,8 +292,22 @@ def step_far_center(spark, d):
 
 @query
 def step_many_centers(spark, d):
-    """More than ten thousand centres, one per order."""
-    return step(points_c(spark, d), centers_o(spark, d))
+    """One centre per order: the centres stay a table."""
+    return step(points_c(spark, d), centers_o(spark, d), in_plan=MANY)
+
+
+@query
+def step_many_centers_plain(spark, d):
+    """As many centres as lineitem points are dealt to, with a sentinel mean."""
+    return step(points_l(spark, d), centers_s(spark, d), "plain", in_plan=0)
+
+
+@query
+def assign_many_centers(spark, d):
+    """Every point with its centre among a table of centres, through a tile index."""
+    index = build_index(ranked_table(centers_o(spark, d)), per_tile=500)
+    a = assign_table(points_c(spark, d), index)
+    return a.select("c_custkey", "x", "y", "center_rank", "center_x", "center_y")
 
 
 @query
@@ -343,6 +364,14 @@ def partials_evaluation(spark, d):
 
 @query
 def members_list(spark, d):
+    """The members of a round's clusters, with the averages that the round computed."""
+    pts = points_c(spark, d)
+    return fit(pts, K5, iterations=1).members(pts, keep=("c_custkey",))
+
+
+@query
+def members_list_joined(spark, d):
+    """The same without a round: averages from the points themselves."""
     a = assign(points_c(spark, d), prepare_centers(K5))
     return members(a, keep=("c_custkey",))
 
@@ -497,11 +526,83 @@ def listing_line_positions(spark, d):
     """The final listing's lines with their position in the written files."""
     prefix = scratch_path(spark, "positions") + "/it"
     fit(points_c(spark, d), K5, iterations=2, mode="combined", output_prefix=prefix, final_listing=True)
-    lines = spark.read.text(iteration_path(prefix, "Final"), wholetext=True).select(
-        F.col("_metadata.file_name").alias("file"), F.posexplode(F.split(F.rtrim(F.col("value"), F.lit("\n")), "\n")).alias("i", "line"))
-    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    counts = lines.groupBy("file").count().select("file", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("first"))
-    return lines.join(counts, "file").select((F.col("first") + F.col("i")).alias("pos"), "line")
+    return line_positions(spark, iteration_path(prefix, "Final"))
+
+
+# ---------------------------------------------------------------- a table of centres
+
+def _fit_many(spark, d, iterations, **options):
+    return fit(points_c(spark, d), centers_o(spark, d), iterations=iterations, in_plan=MANY, **options)
+
+
+@query
+def fit_many_centers_2(spark, d):
+    """Two rounds over a table of centres: their rows stay in tables."""
+    return _fit_many(spark, d, 2).result().select(*RESULT_COLS)
+
+
+@query
+def fit_many_centers_stop_any(spark, d):
+    return _fit_many(spark, d, 3, mode="plain", stop="any").result().select(*RESULT_COLS)
+
+
+@query
+def fit_many_centers_history(spark, d):
+    return _fit_many(spark, d, 2, mode="plain").history().drop("seconds")
+
+
+@query
+def fit_many_centers_resumed(spark, d):
+    """One round, then a resumed run of two with status files, read back."""
+    prefix = scratch_path(spark, "many") + "/it"
+    _fit_many(spark, d, 1, output_prefix=prefix, status_files=True)
+    res = _fit_many(spark, d, 2, output_prefix=prefix, status_files=True, resume=True)
+    if res.resumed_from != 1:
+        raise AssertionError("the first round was not taken over")
+    return read_status_centers(spark, iteration_path(prefix, 2))
+
+
+@query
+def fit_many_centers_listing(spark, d):
+    """The listing of a run over a table of centres, with its lines' positions in the written files."""
+    prefix = scratch_path(spark, "many-listing") + "/it"
+    _fit_many(spark, d, 1, output_prefix=prefix, final_listing=True)
+    return line_positions(spark, iteration_path(prefix, "Final"))
+
+
+@query
+def result_file_many_centers(spark, d):
+    """S6 with one line per order: the lines' positions over all parts."""
+    prefix = scratch_path(spark, "many-result") + "/it"
+    _fit_many(spark, d, 1, output_prefix=prefix)
+    return line_positions(spark, iteration_path(prefix, 1))
+
+
+@query
+def centers_file_many(spark, d):
+    """S2 with one line per order: written in several parts, read in splits."""
+    path = scratch_path(spark, "many-centres")
+    (centers_o(spark, d).orderBy("rank").select(F.concat_ws(",", _s("x"), _s("y")).alias("value")).write.text(path))
+    return read_centers(spark, path)
+
+
+@query
+def centers_json_file(spark, d):
+    """S10 as a file of one centre a line, written and read by ranges."""
+    path = scratch_path(spark, "json")
+    write_centers_json(centers_o(spark, d), path)
+    return read_centers_json(spark, path)
+
+
+@query
+def stream_assign_many_centers(spark, d):
+    """J3 on a stream of customer rows against a saved index of one centre per order."""
+    pts = _stream_points(spark, d, "customer", lambda s: points_from(
+        s, F.floor(F.col("c_acctbal")), (F.col("c_custkey") * 37) % 10000, keep=("c_custkey",)))
+    index, out = scratch_path(spark, "index"), scratch_path(spark, "stream-many")
+    build_index(ranked_table(centers_o(spark, d))).save(index)
+    assign_stream_table(pts, index, out).awaitTermination()
+    return spark.read.parquet(out).select("c_custkey", "x", "y", "center_rank", "center_x", "center_y")
 
 
 # ---------------------------------------------------------------- sinks S6–S9

@@ -11,25 +11,26 @@ points are persisted once and recomputed from the source if an executor is lost.
 
 from __future__ import annotations
 
-import json
 import time
 from collections.abc import Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.constants import MODES, STABILITY_THRESHOLD, STATUS_CONVERGED
-from ..operators.aggregate import finalize_stats, seeded_stats
+from ..functions.constants import IN_PLAN_CENTERS, MODES, STABILITY_THRESHOLD, STATUS_CONVERGED
+from ..operators.aggregate import finalize_stats, members, seeded_stats
 from ..operators.assign import assign, assign_rank
 from ..operators.convergence import status_of
 from ..operators.ordering import text_key
-from ..sources.centers import as_center_list, centers_frame, ranked_distinct
+from ..sources.centers import as_center_list, centers_frame, is_table, ranked_distinct
 from ..sources.points import collapse_points
-from ..session import local_frame, scratch_path
+from ..session import delete_path, local_frame, scratch_path
 from ..sources.sinks import iteration_path, write_assignments, write_result, write_status
+from .large import TableFitResult, fit_table, step_table
+from .record import RunRecord
 
 STOP_RULES = ("none", "any", "all")
 
@@ -39,9 +40,9 @@ HISTORY_SCHEMA = ("iteration INT, k INT, n_points BIGINT, max_move BIGINT, n_sta
                   "seconds DOUBLE")
 
 
-def prepare_centers(centers) -> list[tuple[int, int, int]]:
-    """Centres (DataFrame ``rank, x, y`` or ``(x, y)`` pairs) → distinct ``(rank, x, y)``."""
-    return ranked_distinct(as_center_list(centers))
+def prepare_centers(centers, most: int = IN_PLAN_CENTERS) -> list[tuple[int, int, int]]:
+    """Centres (DataFrame ``rank, x, y`` of at most ``most`` rows, or ``(x, y)`` pairs) → distinct ``(rank, x, y)``."""
+    return ranked_distinct(as_center_list(centers, most))
 
 
 def _step(points: DataFrame, ranked: Sequence[tuple[int, int, int]], mode: str, iteration: int, strategy: str,
@@ -54,16 +55,19 @@ def _step(points: DataFrame, ranked: Sequence[tuple[int, int, int]], mode: str,
 
 
 def step(points: DataFrame, centers, mode: str = "combined", iteration: int = 1, strategy: str = "auto",
-         x: str = "x", y: str = "y", weight: str | None = None) -> DataFrame:
+         x: str = "x", y: str = "y", weight: str | None = None, in_plan: int = IN_PLAN_CENTERS) -> DataFrame:
     """One Lloyd step → ``iteration, rank, new_x, new_y, old_x, old_y, n_points``.
 
     One row per distinct old centre (equal centres collapse, the first keeps its
     rank); an empty cluster keeps its centre.  ``mode`` picks the reference's
     plain or combiner semantics (they differ on x = -1 points and zero x-sums).
+    A DataFrame of more than ``in_plan`` centres stays a table (``plans.large``).
     """
     if mode not in MODES:
         raise ValueError(f"mode must be 'plain' or 'combined', got {mode!r}")
-    return _step(points, prepare_centers(centers), mode, iteration, strategy, x, y, weight)
+    if is_table(centers, in_plan):
+        return step_table(points, centers, mode, iteration, x, y, weight)
+    return _step(points, prepare_centers(centers, in_plan), mode, iteration, strategy, x, y, weight)
 
 
 @dataclass
@@ -93,6 +97,7 @@ class FitResult:
     iterations: list[Iteration] = field(default_factory=list)
     points_read: DataFrame | None = None  # the (x, y[, weight]) rows each round reads
     resumed_from: int = 0  # last round read back by fit(resume=True), 0 if none
+    started_from: list[tuple[int, int, int]] = field(default_factory=list)  # the seed centres, ranked and distinct
 
     @property
     def iterations_run(self) -> int:
@@ -107,6 +112,11 @@ class FitResult:
         """Ranked distinct centres after the last iteration (its new centres, in output order)."""
         return ranked_distinct(self.iterations[-1].new_centers)
 
+    @property
+    def searched(self) -> list[tuple[int, int, int]]:
+        """Ranked distinct centres that the last iteration assigned points to."""
+        return ranked_distinct(self.iterations[-2].new_centers) if len(self.iterations) > 1 else self.started_from
+
     @property
     def converged(self) -> bool:
         return self.iterations[-1].status == STATUS_CONVERGED
@@ -140,6 +150,19 @@ class FitResult:
             n[new_x, new_y] = n.get((new_x, new_y), 0) + points
         return [(x, y, c) for (x, y), c in n.items()]
 
+    def members(self, points: DataFrame, keep: Sequence[str] = (), x: str = "x", y: str = "y", strategy: str = "auto") -> DataFrame:
+        """A5: the last round's clusters with their members, in one pass over the points.
+
+        The averages are those that the round computed (a combined round moves every centre with
+        points to its truncated mean), so only the listing itself reads the points.
+        """
+        if self.mode != "combined":
+            raise ValueError("only a combined round's new centres are the averages of all members")
+        moved = {(ox, oy): (nx, ny, n) for nx, ny, ox, oy, n in self.iterations[-1].rows}
+        averages = [(rank, *moved[cx, cy]) for rank, cx, cy in self.searched]
+        assigned = assign(points, self.searched, x, y, strategy)
+        return members(assigned, x, y, keep, local_frame(self.spark, averages, "center_rank INT, avg_x INT, avg_y INT, n_members BIGINT"))
+
     def assignment(self, points: DataFrame, x: str = "x", y: str = "y", strategy: str = "auto") -> DataFrame:
         """Every point with its centre among the final centres (no empty centres)."""
         return assign(points, self.final_centers, x, y, strategy)
@@ -149,7 +172,7 @@ def fit(points: DataFrame, centers, iterations: int = 1, mode: str = "combined",
         threshold: int = STABILITY_THRESHOLD, strategy: str = "auto", x: str = "x", y: str = "y",
         weight: str | None = None, persist: bool | str = True, output_prefix: str | None = None,
         status_files: bool = False, final_listing: bool = False, collapse: bool = False,
-        resume: bool = False) -> FitResult:
+        resume: bool = False, in_plan: int = IN_PLAN_CENTERS) -> FitResult | TableFitResult:
     """Run Lloyd iterations under one of the reference's policies.
 
     * ``stop="none"`` — exactly ``iterations`` rounds (I2 plain, I5 combined).
@@ -180,8 +203,13 @@ def fit(points: DataFrame, centers, iterations: int = 1, mode: str = "combined",
     seed centres, and every round's rows once its output is written.  The rounds on
     record are taken over with their figures, and the next one follows; a run that
     had already stopped does no further round.  A record of other settings or
-    centres is refused, and so are rounds without a record.  ``FitResult.iterations`` holds all
+    centres is refused, and so are rounds without a record; a start without ``resume`` on a
+    prefix that already holds a run is refused before anything is written (``RunRecord``).  ``FitResult.iterations`` holds all
     rounds; ``resumed_from`` is the last one taken over.
+
+    A DataFrame of more than ``in_plan`` centres stays a table: rounds and results are
+    tables too, only figures come to the driver, and a ``TableFitResult`` is returned.
+    ``strategy`` has no meaning there.
     """
     if iterations < 1:
         raise ValueError("iterations must be at least 1")
@@ -191,7 +219,8 @@ def fit(points: DataFrame, centers, iterations: int = 1, mode: str = "combined",
         raise ValueError(f"stop must be one of {STOP_RULES}, got {stop!r}")
     if persist not in (True, False, None, "cache", "table"):
         raise ValueError(f"persist must be True, False, 'cache' or 'table', got {persist!r}")
-    ranked = prepare_centers(centers)
+    table_form = is_table(centers, in_plan)
+    ranked = [] if table_form else prepare_centers(centers, in_plan)
     spark = points.sparkSession
     source = points
     if collapse:
@@ -201,33 +230,32 @@ def fit(points: DataFrame, centers, iterations: int = 1, mode: str = "combined",
         weight = "weight"
     cols = [x, y] + ([weight] if weight else [])
     pts = source.select(*cols)
-    out = FitResult(spark, mode, stop, threshold)
+    out = FitResult(spark, mode, stop, threshold, started_from=ranked)
     out.points_read = pts
     first = 1
-    settings = {"mode": mode, "stop": stop, "threshold": threshold, "status_files": status_files, "collapse": collapse,
-                "centers": [list(c) for c in ranked]}
+    settings = {"mode": mode, "stop": stop, "threshold": threshold, "status_files": status_files, "collapse": collapse}
+    if resume and output_prefix is None:
+        raise ValueError("resume needs the output_prefix of the interrupted run")
+    if table_form:
+        with _kept(pts, persist) as kept:
+            return fit_table(kept, points.select(x, y) if collapse else kept.select(x, y), centers, iterations, mode, stop, threshold,
+                             x, y, weight, settings, output_prefix, status_files, final_listing, resume)
+    settings["centers"] = [list(c) for c in ranked]
     if resume:
-        if output_prefix is None:
-            raise ValueError("resume needs the output_prefix of the interrupted run")
-        out.iterations = _recorded(spark, output_prefix, settings, iterations)
+        record = RunRecord(spark, output_prefix)
+        out.iterations = [_iteration(e["iteration"], [tuple(x) for x in e["rows"]], threshold, e["seconds"])
+                          for e in record.resume(settings, iterations)]
         if out.iterations:
             last = out.iterations[-1]
             out.resumed_from, first = last.iteration, last.iteration + 1
             ranked = out.final_centers
             if _stops(stop, last):
                 first = iterations + 1
-    if output_prefix is not None and not out.iterations:
-        _record(spark, output_prefix, "settings", settings)
-    cached = persist in (True, "cache")
-    table = None
-    if cached:
-        # Kept as read: the scan's split settings decide the parallelism, without a shuffle.
-        pts = pts.persist(StorageLevel.MEMORY_AND_DISK)
-    elif persist:
-        table = scratch_path(spark, "points")
-        pts.write.parquet(table)
-        pts = spark.read.parquet(table)
-    try:
+    elif output_prefix is not None:
+        record = RunRecord(spark, output_prefix)
+        record.begin(settings)
+    with _kept(pts, persist) as pts:
+        out.points_read = pts
         for r in range(first, iterations + 1):
             t0 = time.perf_counter()
             collected = _step(pts, ranked, mode, r, strategy, x, y, weight).collect()
@@ -240,7 +268,7 @@ def fit(points: DataFrame, centers, iterations: int = 1, mode: str = "combined",
                 # a resumed run replaces a round folder left unfinished by the lost driver
                 _write_iteration(out, it, iteration_path(output_prefix, r), status_files,
                                  "overwrite" if resume else "errorifexists")
-                _record(spark, output_prefix, f"round{r}", {"iteration": r, "rows": [list(x) for x in rows], "seconds": it.seconds})
+                record.add(f"round{r}", {"iteration": r, "rows": [list(x) for x in rows], "seconds": it.seconds})
             ranked = ranked_distinct(it.new_centers)
             if _stops(stop, it):
                 break
@@ -250,78 +278,46 @@ def fit(points: DataFrame, centers, iterations: int = 1, mode: str = "combined",
             listed = points.select(x, y) if collapse else pts.select(x, y)
             write_assignments(out.assignment(listed, x, y, strategy), iteration_path(output_prefix, "Final"),
                               mode="overwrite" if resume else "errorifexists", sizes=out.sizes())
-    finally:
-        if cached:
-            pts.unpersist()
-        if table:
-            _delete(spark, table)
-            out.points_read = source.select(*cols)
+    out.points_read = source.select(*cols)
     return out
 
 
+@contextmanager
+def _kept(points: DataFrame, persist: bool | str | None):
+    """The points as the rounds read them (see ``fit``), for as long as they run."""
+    spark = points.sparkSession
+    if persist in (True, "cache"):
+        # Kept as read: the scan's split settings decide the parallelism, without a shuffle.
+        kept = points.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            yield kept
+        finally:
+            kept.unpersist()
+    elif persist:
+        path = scratch_path(spark, "points")
+        points.write.parquet(path)
+        try:
+            yield spark.read.parquet(path)
+        finally:
+            delete_path(spark, path)
+    else:
+        yield points
+
+
 def _iteration(r: int, rows: list[tuple[int, int, int, int, int]], threshold: int, seconds: float) -> Iteration:
     moves = [max(abs(nx - ox), abs(ny - oy)) for nx, ny, ox, oy, _ in rows]
     return Iteration(r, rows, status_of(moves, threshold), max(moves), sum(1 for m in moves if m < threshold), seconds)
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    """Remove a folder of our own from whatever file system holds it."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path exists (a text read fails at once on a missing path)."""
-    try:
-        spark.read.text(path)
-        return True
-    except AnalysisException:
-        return False
-
-
 def _stops(stop: str, it: Iteration) -> bool:
     """Whether a run under the rule ends after this round."""
     return (stop == "any" and it.iteration >= 2 and it.n_stable > 0) or (stop == "all" and it.n_stable == len(it.rows))
 
 
-def _record_path(prefix: str, name: str) -> str:
-    return f"{iteration_path(prefix, 'Run')}/{name}"
-
-
-def _record(spark: SparkSession, prefix: str, name: str, entry: dict) -> None:
-    """One entry of a run's record: a line of JSON, written after what it tells of."""
-    local_frame(spark, [(json.dumps(entry),)], "value STRING").coalesce(1).write.mode("overwrite").text(_record_path(prefix, name))
-
-
-def _entry(spark: SparkSession, prefix: str, name: str) -> dict | None:
-    """An entry of the record; None if it is missing or was not finished."""
-    path = _record_path(prefix, name)
-    if not _exists(spark, path):
-        return None
-    lines = [r[0] for r in spark.read.text(path).collect()]
-    return json.loads(lines[0]) if len(lines) == 1 else None
-
-
-def _recorded(spark: SparkSession, prefix: str, settings: dict, iterations: int) -> list[Iteration]:
-    """The rounds on record under ``prefix``, in order, after a check of the settings."""
-    known = _entry(spark, prefix, "settings")
-    if known is None:
-        if _exists(spark, iteration_path(prefix, 1)):
-            raise ValueError(f"{prefix} holds rounds without a run record: they can't be resumed")
-        return []
-    if known != json.loads(json.dumps(settings)):
-        raise ValueError(f"the run under {prefix} had other settings or centres")
-    rounds: list[Iteration] = []
-    while len(rounds) < iterations and (e := _entry(spark, prefix, f"round{len(rounds) + 1}")):
-        rounds.append(_iteration(e["iteration"], [tuple(x) for x in e["rows"]], settings["threshold"], e["seconds"]))
-    return rounds
-
-
 def _write_iteration(fit_result: FitResult, it: Iteration, path: str, status_files: bool, mode: str) -> None:
     rows = [(it.iteration, pos, *r) for pos, r in enumerate(it.rows)]
     df = local_frame(fit_result.spark, rows, RESULT_SCHEMA)
     if status_files:
-        write_status(df, it.status, path, mode=mode)
+        write_status(df, it.status, path, mode=mode, short=True)
     else:
-        write_result(df, path, mode=mode)
+        write_result(df, path, mode=mode, short=True)

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from .workload import (
     CENTERS_O_SQL,
+    CENTERS_S_SQL,
     K5,
     K5F,
     KDUP,
@@ -123,6 +124,22 @@ def fit_stop_sql(points: str, centers, mode: str, stop: str, limit: int = 5) ->
     return ch.sql(f"SELECT {RESULT_COLS} FROM allr WHERE iteration = (SELECT it FROM stop_it)")
 
 
+LISTING_LINES_SQL = (
+    f"SELECT CAST(row_number() OVER (ORDER BY {_text('cx', 'cy')}, x, y) - 1 AS BIGINT) AS pos, "
+    f"{_text('cx', 'cy')} || chr(9) || {_text('x', 'y')} || ' ' AS line FROM fa")
+
+
+def history_sql(points: str, centers, mode: str, r: int) -> str:
+    return Chain(points, centers, mode).iterate(r).sql(
+        " UNION ALL ".join(
+            f"SELECT iteration, CAST(count(*) AS INTEGER) AS k, CAST(sum(n_points) AS BIGINT) AS n_points, "
+            f"max({_move()}) AS max_move, CAST(count(*) FILTER (WHERE {_move()} < {THRESHOLD}) AS INTEGER) AS n_stable, "
+            f"{STATUS_SQL.format(stable=f'{_move()} < {THRESHOLD}')} AS status FROM r{i} GROUP BY iteration"
+            for i in range(1, r + 1)
+        )
+    )
+
+
 def assign_sql(points: str, centers, keys: str) -> str:
     ch = Chain(points, centers)
     ch.assign("a", "c1")
@@ -193,6 +210,21 @@ def oracle_sql() -> dict[str, str]:
     q["assign_root_ties_vectorized"] = assign_sql(S, KROOT_44, "c_custkey")
     q["step_far_center"] = step_sql(C, LATTICE_1000F, "combined")
     q["step_many_centers"] = step_sql(C, CENTERS_O_SQL, "combined")
+    q["step_many_centers_plain"] = step_sql(L, CENTERS_S_SQL, "plain")
+    q["assign_many_centers"] = assign_sql(C, CENTERS_O_SQL, "c_custkey")
+    q["stream_assign_many_centers"] = q["assign_many_centers"]
+    q["fit_many_centers_2"] = fit_sql(C, CENTERS_O_SQL, "combined", 2)
+    q["fit_many_centers_stop_any"] = fit_stop_sql(C, CENTERS_O_SQL, "plain", "any", 3)
+    q["fit_many_centers_history"] = history_sql(C, CENTERS_O_SQL, "plain", 2)
+    q["fit_many_centers_resumed"] = Chain(C, CENTERS_O_SQL).iterate(2).sql(
+        f"SELECT {STATUS_WINDOW_SQL.format(stable=f'{_move()} < {THRESHOLD}')} AS status, pos AS rank, new_x AS x, new_y AS y FROM r2")
+    q["result_file_many_centers"] = Chain(C, CENTERS_O_SQL).iterate(1).sql(
+        f"SELECT CAST(pos AS BIGINT) AS pos, {_text('new_x', 'new_y')} || chr(9) || {_text('old_x', 'old_y')} AS line FROM r1")
+    ch = Chain(C, CENTERS_O_SQL).iterate(1)
+    ch.assign("fa", "c2")
+    q["fit_many_centers_listing"] = ch.sql(LISTING_LINES_SQL)
+    q["centers_file_many"] = f"SELECT CAST(rank AS INTEGER) AS rank, x, y FROM ({CENTERS_O_SQL})"
+    q["centers_json_file"] = q["centers_file_many"]
     ch = Chain(C, K5)
     ch.assign("a", "c1")
     q["distance_to_center"] = ch.sql(
@@ -226,6 +258,7 @@ def oracle_sql() -> dict[str, str]:
         "SELECT c_custkey, cx AS center_x, cy AS center_y, avg_x, avg_y, n_members, x, y, "
         "'(' || CAST(x AS VARCHAR) || ',' || CAST(y AS VARCHAR) || ')' AS member FROM a JOIN m USING (crank)"
     )
+    q["members_list_joined"] = q["members_list"]
 
     # --- convergence (F8, A6–A8) and ordering (O1, O2) ---------------------------
     q["movement"] = Chain(C, K5).iterate().sql(
@@ -264,28 +297,11 @@ def oracle_sql() -> dict[str, str]:
     ch = Chain(L, K5).iterate(2)
     ch.assign("fa", "c3")
     q["fit_final_assignment_2"] = ch.sql("SELECT l_orderkey, l_linenumber, x, y, cx AS center_x, cy AS center_y FROM fa")
-    q["run_history"] = Chain(C, K5, "plain").iterate(3).sql(
-        " UNION ALL ".join(
-            f"SELECT iteration, CAST(count(*) AS INTEGER) AS k, CAST(sum(n_points) AS BIGINT) AS n_points, "
-            f"max({_move()}) AS max_move, CAST(count(*) FILTER (WHERE {_move()} < {THRESHOLD}) AS INTEGER) AS n_stable, "
-            f"{STATUS_SQL.format(stable=f'{_move()} < {THRESHOLD}')} AS status FROM r{r} GROUP BY iteration"
-            for r in range(1, 4)
-        )
-    )
-
-    q["fit_resumed_history"] = Chain(C, K5, "plain").iterate(5).sql(
-        " UNION ALL ".join(
-            f"SELECT iteration, CAST(count(*) AS INTEGER) AS k, CAST(sum(n_points) AS BIGINT) AS n_points, "
-            f"max({_move()}) AS max_move, CAST(count(*) FILTER (WHERE {_move()} < {THRESHOLD}) AS INTEGER) AS n_stable, "
-            f"{STATUS_SQL.format(stable=f'{_move()} < {THRESHOLD}')} AS status FROM r{r} GROUP BY iteration"
-            for r in range(1, 6)
-        )
-    )
+    q["run_history"] = history_sql(C, K5, "plain", 3)
+    q["fit_resumed_history"] = history_sql(C, K5, "plain", 5)
     ch = Chain(C, K5).iterate(2)
     ch.assign("fa", "c3")
-    q["listing_line_positions"] = ch.sql(
-        f"SELECT CAST(row_number() OVER (ORDER BY {_text('cx', 'cy')}, x, y) - 1 AS BIGINT) AS pos, "
-        f"{_text('cx', 'cy')} || chr(9) || {_text('x', 'y')} || ' ' AS line FROM fa")
+    q["listing_line_positions"] = ch.sql(LISTING_LINES_SQL)
 
     # --- sinks read back (S6–S9) ------------------------------------------------
     q["sink_roundtrip_result"] = Chain(C, K5).iterate(2).sql(

@@ -44,6 +44,11 @@ POINTS_C_SQL = ("SELECT c_custkey, CAST(floor(c_acctbal) AS INTEGER) AS x, "
                 "CAST((c_custkey * 37) % 10000 AS INTEGER) AS y FROM customer")
 POINTS_S_SQL = ("SELECT c_custkey, CAST(c_custkey % 3 - 1 AS INTEGER) AS x, CAST(c_custkey % 7 AS INTEGER) AS y "
                 "FROM customer")
+# Above this many rows the queries keep their centres a table (also on the smallest tables).
+MANY = 1000
+# One centre per supplier.
+CENTERS_S_SQL = ("SELECT CAST(row_number() OVER (ORDER BY s_suppkey) - 1 AS INTEGER) AS rank, "
+                 "CAST((s_suppkey * 7919) % 11000 AS INTEGER) AS x, CAST((s_suppkey * 104729) % 10100 AS INTEGER) AS y FROM supplier")
 # One centre per order: more than ten thousand.
 CENTERS_O_SQL = ("SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS rank, CAST(floor(o_totalprice / 40) AS INTEGER) AS x, "
                  "CAST((o_orderkey * 53) % 10000 AS INTEGER) AS y FROM orders")
@@ -76,6 +81,12 @@ def points_s(spark: SparkSession, sf_dir: str) -> DataFrame:
     return points_from(t, F.col("c_custkey") % 3 - 1, F.col("c_custkey") % 7, keep=("c_custkey",))
 
 
+def centers_s(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = table(spark, sf_dir, "supplier")
+    return t.select(F.col("s_suppkey").alias("rank"), ((F.col("s_suppkey") * 7919) % 11000).cast("int").alias("x"),
+                    ((F.col("s_suppkey") * 104729) % 10100).cast("int").alias("y"))
+
+
 def centers_o(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = table(spark, sf_dir, "orders")
     return t.select(F.col("o_orderkey").alias("rank"), F.floor(F.col("o_totalprice") / 40).cast("int").alias("x"),

@@ -71,6 +71,37 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+# Tables written below the shared folder by this process, for ``clear_scratch``.
+_WRITTEN: dict[str, list[str]] = {}
+
+
+def written(df, name: str):
+    """``df`` written below the shared folder and read back.
+
+    Cuts lineage: a lost executor never forces the work above to be done again, and
+    several readers share one evaluation.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder of our own from whatever file system holds it."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the tables that ``written`` made in this session; their DataFrames can't be read any more."""
+    paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        delete_path(spark, path)
+    return len(paths)
+
+
 def _sql_literal(v) -> str:
     if v is None:
         return "NULL"

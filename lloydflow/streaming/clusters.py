@@ -17,6 +17,7 @@ from pyspark.sql.types import StructType
 
 from ..operators.aggregate import apply_stats, cluster_stats
 from ..operators.assign import assign, assign_rank
+from ..operators.tiles import TileIndex, assign_table
 from ..plans.lloyd import prepare_centers
 from ..session import scratch_path
 from ..sources.centers import centers_frame
@@ -47,6 +48,23 @@ def write_stream(df: DataFrame, path: str, checkpoint: str | None = None, availa
     return w.start()
 
 
+def assign_stream_table(stream: DataFrame, index_path: str, path: str, x: str = "x", y: str = "y", checkpoint: str | None = None,
+                        available_now: bool = True) -> StreamingQuery:
+    """J3 on a stream against any number of centres: every micro-batch is searched through a saved ``TileIndex``.
+
+    The index is read by path in each batch, so one that was written anew is taken up by
+    the next batch.  A batch is written to its own folder of ``path``, which a repeated batch replaces.
+    """
+    def search(batch: DataFrame, batch_id: int) -> None:
+        index = TileIndex.load(batch.sparkSession, index_path)
+        assign_table(batch, index, x, y).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    ck = checkpoint or scratch_path(stream.sparkSession, "stream-checkpoint")
+    w = stream.writeStream.option("checkpointLocation", ck).foreachBatch(search)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
+    return w.start()
+
+
 def running_step(stream: DataFrame, centers, out_path: str, mode: str = "combined", x: str = "x", y: str = "y",
                  checkpoint: str | None = None, available_now: bool = True) -> StreamingQuery:
     """One Lloyd step over all points seen so far, refreshed every micro-batch.
