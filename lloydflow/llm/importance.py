@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, boxed, global_index, stored, table
+from .common import LOWER, UPPER, global_index, stored, table
 from .fim import draws
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -74,8 +74,11 @@ def _words(piece: str, split) -> list[str]:
     return [piece[a:b] for _, (a, b) in split(piece)]
 
 
-def featured(docs: DataFrame, buckets: int = BUCKETS, grams: int = GRAMS) -> DataFrame:
-    """``docs`` as ``_row`` with n_features, n_words and the buckets of their features (packed uint16, or uint32 beyond 65,536 buckets)."""
+def featured(docs: DataFrame, buckets: int = BUCKETS, grams: int = GRAMS, keep: list[str] | None = None) -> DataFrame:
+    """``docs`` (of them the columns ``keep``) as ``_row`` with n_features, n_words and the buckets of their features.
+
+    The buckets are packed as uint16, beyond 65,536 buckets as uint32.
+    """
     kind = "<u2" if buckets <= 1 << 16 else "<u4"
 
     @F.pandas_udf("n_features long, n_words long, buckets binary")
@@ -88,7 +91,8 @@ def featured(docs: DataFrame, buckets: int = BUCKETS, grams: int = GRAMS) -> Dat
                 rows.append((len(b), n, b.astype(kind).tobytes()))
             yield pd.DataFrame(rows, columns=["n_features", "n_words", "buckets"])
 
-    return boxed(docs, "text").select("_row", cut("text").alias("_f")).select("_row", "_f.*")
+    row = F.struct(*[docs[c] for c in docs.columns if keep is None or c in keep])
+    return docs.select(row.alias("_row"), cut(docs["text"]).alias("_f")).select("_row", "_f.*")
 
 
 def histogram(features: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
@@ -98,8 +102,7 @@ def histogram(features: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(buckets, np.int64)
         for batch in batches:
-            for b in batch["buckets"]:
-                total += np.bincount(np.frombuffer(b, kind), minlength=buckets)
+            total += np.bincount(np.frombuffer(b"".join(batch["buckets"]), kind), minlength=buckets)
         at = np.flatnonzero(total)
         yield pd.DataFrame({"b": at, "n": total[at]})
 
@@ -123,18 +126,19 @@ def gumbel(h: Column) -> Column:
 
 
 def resample(docs: DataFrame, target: DataFrame, percent: int = PERCENT, least_words: int = LEAST_WORDS, buckets: int = BUCKETS,
-             grams: int = GRAMS, seed: int = SEED) -> DataFrame:
-    """``docs`` as ``_row`` with n_features, weight, score and rank; rank is null for what was not drawn.
+             grams: int = GRAMS, seed: int = SEED, keep: list[str] | None = None) -> DataFrame:
+    """``docs`` (of them the columns ``keep``, doc_id among them; all by default) as ``_row`` with n_features, weight, score, rank.
 
-    Drawn are the ``percent`` highest scores of the documents of ``least_words`` words or
+    rank is null for what was not drawn.  Drawn are the ``percent`` highest scores of the documents of ``least_words`` words or
     more, ties by smaller doc_id (null ids last); rows equal in both are ranked in any order.  A
     null or empty text has no features and weight 0.  The draw of a row depends on
     ``seed`` and doc_id alone, so rows of one doc_id share theirs.  A very long
     text is cut in pieces between words and counted whole.  An empty target leaves the
     corpus alone to decide; an empty table gives an empty one.  Other columns, whatever their
-    names, stay in ``_row``; ``target`` needs a text column.
+    names, stay in ``_row`` and are written three times on the way, so leave long ones out by
+    ``keep`` where the ids will do; ``target`` needs a text column.
     """
-    features = stored(featured(docs, buckets, grams), "features")
+    features = stored(featured(docs, buckets, grams, keep), "features")
     gain = gains(histogram(features, buckets), histogram(featured(target.select("text"), buckets, grams), buckets))
     kind = "<u2" if buckets <= 1 << 16 else "<u4"
 
@@ -159,8 +163,7 @@ def resample(docs: DataFrame, target: DataFrame, percent: int = PERCENT, least_w
 
 def op13_importance_resampling(spark, sf_dir) -> DataFrame:
     """A quarter of the documents, drawn towards the benchmark's distribution."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = resample(docs, table(spark, sf_dir, "benchmark"))
+    out = resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
     return out.select(F.col("_row.doc_id").alias("doc_id"), "n_features", "weight", "score", "rank")
 
 

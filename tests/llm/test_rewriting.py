@@ -126,7 +126,9 @@ def test_resampling_edges(spark):
     assert importance.resample(documents(spark, []), docs).count() == 0
     rows = importance.resample(docs, none).collect()
     assert len(rows) == len(ODD) and {r["weight"] for r in rows if r["n_features"] == 0} == {0}
-    assert set(EXTRA) <= set(importance.resample(documents(spark, [(1, "a b")], extra=True), none).schema["_row"].dataType.names)
+    extra = documents(spark, [(1, "a b")], extra=True)
+    assert set(EXTRA) <= set(importance.resample(extra, none).schema["_row"].dataType.names)
+    assert importance.resample(extra, none, keep=["doc_id", "n"]).schema["_row"].dataType.names == ["doc_id", "n"]
 
 
 def test_split_finds_the_words_of_the_pattern():
