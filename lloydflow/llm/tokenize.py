@@ -11,9 +11,11 @@ go to the library whole.  Both ways give the library's ids.
 from __future__ import annotations
 
 import sys
-from itertools import chain
+from array import array
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 END_ID = 2
 #: Most words kept by one Python worker; what a batch needs beyond it lives as long as the batch.
@@ -21,6 +23,7 @@ CACHE_ENTRIES = 500_000
 #: New words that go to the library in one call.
 BULK = 2000
 
+END_BYTES = np.array([END_ID], "<u4").tobytes()
 # Stops after a letter: the library's pattern always cuts between the two.
 _STOPS = ".,;:!?"
 
@@ -34,6 +37,13 @@ def tokenizer_path(path: str | None = None) -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+# The last letter that the library's pattern and Python surely agree on as one.
+_LATIN = "\u024f"
+# Byte-level vocabularies write a byte as a letter: printable ones as themselves, the others as U+0100 and up, in order.
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTE_LETTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+
+
 class _Words(dict):
     """word -> its ids as little-endian uint32 bytes.
 
@@ -63,12 +73,22 @@ class _Words(dict):
             return self[stem] + self.tails[tail]
         return self.keep(word, self.raw(word if word[0] == "\n" else " " + word))
 
-    def learn(self, words: set[str]) -> None:
-        """Encode the new words of a batch, many to a call where they are letters only."""
+    def learn(self, words: list[str]) -> None:
+        """Encode the new words of a batch: Latin letters by the library's model alone, other letters many to a call."""
         self.spare.clear()
-        new = {w.rstrip(_STOPS) for w in words if w not in self}
-        new = [w for w in new if w not in self]
-        for mark, some in ((" ", [w for w in new if w.isalpha()]), ("\n", [w for w in new if w[:1] == "\n" and w[1:].isalpha()])):
+        new = [w for w in {w.rstrip(_STOPS) for w in words} if w not in self]
+        lead, tokenize, rest = self.raw("\n"), self.tokenizer.model.tokenize, []
+        for w in new:
+            letters = w[1:] if w[:1] == "\n" else w
+            if not letters.isalpha():
+                continue  # one by one, when asked for
+            if max(letters) > _LATIN:
+                rest.append(w)
+            elif letters is w:
+                self.keep(w, _packed(tokenize((" " + w).encode().decode("latin-1").translate(_BYTE_LETTERS))))
+            else:
+                self.keep(w, lead + _packed(tokenize(letters.encode().decode("latin-1").translate(_BYTE_LETTERS))))
+        for mark, some in ((" ", [w for w in rest if w[0] != "\n"]), ("\n", [w for w in rest if w[0] == "\n"])):
             for at in range(0, len(some), BULK):
                 part = some[at:at + BULK]
                 enc = self.tokenizer.encode(" " + " ".join(part) if mark == " " else "".join(part), add_special_tokens=False)
@@ -82,13 +102,21 @@ class _Words(dict):
                         self.keep(w, raw[4 * a:4 * b])
 
 
+def _packed(tokens) -> bytes:
+    return array("I", [t.id for t in tokens]).tobytes()
+
+
 def _process_store() -> dict:
     """What one Python process keeps between its tasks (this module is shipped by value, so its globals are per task)."""
     return sys.modules["tokenizers"].__dict__.setdefault("_kept_encoders", {})
 
 
 def encoder(path: str | None = None):
-    """A function texts -> bytes of each text's ids (little-endian uint32), without the end id; null texts are empty."""
+    """A function texts -> each text's ids and the end id (little-endian uint32); null texts are empty.
+
+    The words of a batch of texts are cut and told apart by Arrow, each different one is looked
+    up once, and all ids are gathered by their offsets.
+    """
     path = tokenizer_path(path)
     from tokenizers import Tokenizer
 
@@ -101,31 +129,63 @@ def encoder(path: str | None = None):
         kept[path] = (_Words(tok), byte_level)
     words, byte_level = kept[path]
 
-    def encode(texts: list) -> list[bytes]:
-        cut = [("\n" + t).replace("\n", " \n")[1:].split(" ") if t and byte_level else None for t in texts]
-        here = set(chain.from_iterable(c for c in cut if c))
+    def encode(texts: list) -> list[memoryview]:
+        if not byte_level:
+            return [memoryview(words.raw(t) + END_BYTES if t else END_BYTES) for t in texts]
+        # Every word's mark: a line end of its own, or (not written) the space before it.
+        pieces = pc.split_pattern(pa.array(["\n" + t.replace("\n", " \n") if t else "\n" for t in texts], pa.large_string()), " ")
+        coded = pieces.flatten().dictionary_encode()
+        at, distinct = coded.indices.to_numpy(), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        begin = np.asarray(pieces.offsets, np.int64) - pieces.offsets[0].as_py()
         # An empty word, or one with white space at an end: the text has white space side by side, or at an end.
-        loose = {w for w in here if w not in words and (w in ("", "\n") or w[w[0] == "\n":].strip() != w[w[0] == "\n":])}
-        if loose:
-            cut = [c if c and loose.isdisjoint(c) else None for c in cut]
-            here -= loose
-        words.learn(here)
-        get, start = {w: words[w] for w in here}.__getitem__, len(words.raw("\n"))
-        return [b"".join(map(get, c))[start:] if c else words.raw(t) if t else b"" for t, c in zip(texts, cut)]
+        new = [i for i, w in enumerate(distinct) if w not in words]
+        loose = np.zeros(len(distinct), bool)
+        loose[[i for i in new if (w := distinct[i]) in ("", "\n") or w[w[0] == "\n":].strip() != w[w[0] == "\n":]]] = True
+        empty = np.array([not t for t in texts], bool)
+        whole = np.logical_or.reduceat(loose[at], begin[:-1]) & ~empty if loose.any() else np.zeros(len(texts), bool)
+        words.learn([distinct[i] for i in new if not loose[i]])
+        lead = words.raw("\n")
+        # Words that only such texts hold are not looked up; an empty text is its mark alone.
+        for i in np.flatnonzero(loose):
+            distinct[i] = "\n"
+        words.spare["\n"] = lead
+        ids = [*map(words.__getitem__, distinct), END_BYTES]
+        sizes = np.array([len(i) // 4 for i in ids], np.int64)
+        flat, starts = np.frombuffer(b"".join(ids), "<u4"), np.concatenate(([0], np.cumsum(sizes[:-1])))
+        at = np.insert(at.astype(np.int64), begin[1:], len(ids) - 1)  # the end id after each text
+        begin = begin + np.arange(len(begin))
+        count = sizes[at]
+        out = np.cumsum(count)
+        raw = memoryview(flat[np.repeat(starts[at] - out + count, count) + np.arange(out[-1] if len(out) else 0)].tobytes())
+        edge = np.concatenate(([0], out))[begin] * 4
+        skip = len(lead)
+        return [memoryview(words.raw(t) + END_BYTES) if w else raw[a + skip:b] if t else raw[b - 4:b]
+                for t, w, a, b in zip(texts, whole.tolist(), edge[:-1].tolist(), edge[1:].tolist())]
 
     return encode
 
 
-END_BYTES = np.array([END_ID], "<u4").tobytes()
 #: Texts that are encoded together.
-TEXTS = 1500
+TEXTS, CHARS = 1500, 1 << 22
 
 
 def encoded(batches, columns: list[str], path: str | None = None):
-    """(values of ``columns``, ids with the end id as bytes) of every row of pandas batches with a text column."""
+    """(values of ``columns``, ids with the end id) of every row of pandas batches with a text column."""
     enc = encoder(path)
     for batch in batches:
-        for at in range(0, len(batch), TEXTS):
-            part = batch.iloc[at:at + TEXTS]
-            texts = [t if isinstance(t, str) else None for t in part["text"].tolist()]
-            yield from zip(zip(*(part[c].tolist() for c in columns)), (d + END_BYTES for d in enc(texts)))
+        texts = [t if isinstance(t, str) else None for t in batch["text"].tolist()]
+        values = list(zip(*(batch[c].tolist() for c in columns)))
+        for at in cuts(texts):
+            yield from zip(values[at], enc(texts[at]))
+
+
+def cuts(texts: list) -> list[slice]:
+    """Runs of at most ``TEXTS`` texts and about ``CHARS`` code points; a longer text is a run of its own."""
+    out, start, chars = [], 0, 0
+    for i, t in enumerate(texts):
+        n = len(t) if t else 0
+        if i > start and (i - start >= TEXTS or chars + n > CHARS):
+            out.append(slice(start, i))
+            start, chars = i, 0
+        chars += n
+    return [*out, slice(start, len(texts))] if len(texts) > start else out
