@@ -3,11 +3,12 @@
 A document is the set of hashes of its five-word shingles; equal sets are
 collapsed first.  Each run sends a set into the buckets of a few sampled
 shingles (the same hash decides for every set, so similar sets meet).  Buckets
-that are small are compared by brute force; larger ones are split again on
-sampled entries of the members' sketches (every member has children, however
-short its text), after everything close to a pivot of the bucket has been tied to
-it, so that a large group of near copies leaves in linear time.  Runs are repeated until a pair at the threshold is missed with
-less than the allowed probability.
+that are small are compared by brute force.  In a larger one everything close to a pivot
+is tied to it, so that a large group of near copies leaves in linear time; the
+others are split again on sampled entries of their sketches that the pivot does not share, so
+that a passage which is common to the whole bucket does not keep it together (every member
+has children, however short its text).  Runs are repeated until a pair at the
+threshold is missed with less than the allowed probability.
 
 Bucket comparisons use 128-bin minimum sketches with a wide margin and only
 decide which documents to look at together.  Inside the groups so found
@@ -34,7 +35,7 @@ RECALL = 0.9999
 #: Sampled shingles per run, over 1 / similarity; sketch entries that split a node.
 OVERSAMPLE, BRANCH = 1.5, 2
 #: Buckets up to this size are compared by brute force; levels of splitting.
-SMALL, DEPTH = 48, 4
+SMALL, DEPTH = 512, 4
 BINS = 128
 #: Estimated similarity that ties two documents of a small bucket, that ties one to the pivot of a large bucket,
 #: and from which it leaves the large bucket.  1 - J is a metric: a partner of a document that leaves is itself
@@ -48,9 +49,13 @@ _U = np.uint64
 
 def runs_needed(recall: float = RECALL, similarity: float = SIMILARITY) -> int:
     """Runs until a pair at the threshold meets in an unsplit bucket of one of them, whatever is split on the way."""
+    # A pair that a pivot does not tie has a member less than STAR from it, which shares at most this part
+    # of the pair's union with the pivot; what is left of the pair's common entries decides on its children.
+    masked = STAR * (1 + similarity) / (1 + STAR)
+    kept = (similarity - masked) / (1 - masked)
     parted = 0.0  # probability that a pair in one bucket is in no common bucket DEPTH levels below
     for _ in range(DEPTH):
-        parted = (1 - similarity * (1 - parted)) ** BRANCH
+        parted = (1 - kept * (1 - parted)) ** BRANCH
     miss = math.exp(-OVERSAMPLE * (1 - parted))  # Poisson: OVERSAMPLE shared samples are expected in a run
     return max(1, math.ceil(math.log(1 - recall) / math.log(miss)))
 
@@ -90,6 +95,12 @@ def estimate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return ((a == b) & (a > 0)).sum(axis=-1) / np.maximum(either, 1)
 
 
+def unshared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The sketches ``a`` without the entries that are those of ``b``; whole where nothing would be left."""
+    out = np.where(a == b, np.uint16(0), a)
+    return np.where((out > 0).any(axis=-1, keepdims=True), out, a)
+
+
 def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The least index of each of ``n`` vertices' component under the edges (a, b)."""
     label = np.arange(n)
@@ -223,9 +234,11 @@ def _ties(sets: DataFrame) -> DataFrame:
         pivots = stored(large.groupBy("bucket").agg(F.min("row").alias("pivot"))
                         .join(sk.withColumnRenamed("row", "pivot").withColumnRenamed("sketch", "pivot_sketch"), "pivot"), "pivots")
 
-        def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def measure(batches: Iterator[pd.DataFrame], split: bool = level < DEPTH) -> Iterator[pd.DataFrame]:
             for b in batches:
-                yield b.assign(near=estimate(_sketches(b["sketch"]), _sketches(b["pivot_sketch"]))).drop(columns="pivot_sketch")
+                own, pivot = _sketches(b["sketch"]), _sketches(b["pivot_sketch"])
+                left = b["sketch"] if not split else [r.tobytes() for r in unshared(own, pivot)]
+                yield b.assign(near=estimate(own, pivot), sketch=left).drop(columns="pivot_sketch")
 
         measured = stored(large.join(pivots, "bucket").select("bucket", "row", "sketch", "pivot", "pivot_sketch")
                           .mapInPandas(measure, "bucket long, row long, sketch binary, pivot long, near double"), "measured")
@@ -235,7 +248,7 @@ def _ties(sets: DataFrame) -> DataFrame:
         if level == DEPTH:
             # What no level could split is compared in full, block against block.
             indexed = stored(cell_index(rest, ["bucket"], ["row"], "_i"), "unsplit")
-            found.append(_block_pairs(indexed, "bucket", SMALL * 4, ["row", "sketch"], _block_ties, "a long, b long"))
+            found.append(_block_pairs(indexed, "bucket", BLOCK, ["row", "sketch"], _block_ties, "a long, b long"))
         else:
             buckets = _split(rest)
     edges = _brute(_union(small))
@@ -338,7 +351,7 @@ def _links(docs: DataFrame, reps: DataFrame, groups: DataFrame, similarity: floa
 
 
 def jaccard_classes(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
-    """(row, doc_id, class_id, n_links): one row per row of ``docs``.
+    """(row, doc_id, class_id, n_links, text_key, root): one row per row of ``docs``.
 
     Words are runs outside the white space, A-Z lower-cased; a text of fewer than
     five words is one shingle of them all; null and blank texts have no shingle, no
@@ -347,7 +360,8 @@ def jaccard_classes(docs: DataFrame, similarity: float = SIMILARITY, recall: flo
     the number of other documents that are that similar to this one, equal ones
     included.  Rows that repeat a doc_id are documents of their own (equal
     texts are linked).  Null doc_ids only name a class that has no other.  An empty table gives no rows.  ``row``
-    tells equal rows apart within one result.  Other columns are not read.
+    tells equal rows apart within one result; ``root`` is one of its class's (null without shingles).  A
+    very long text is one set of shingles of its whole length.  Other columns are not read.
     """
     rows = _sketched(docs, runs_needed(recall, similarity), similarity)
     same = stored(rows.filter("n > 0").groupBy("k1", "k2", "n").agg(
@@ -361,25 +375,32 @@ def jaccard_classes(docs: DataFrame, similarity: float = SIMILARITY, recall: flo
         "k1", "k2", "n", "copies", "least_id", F.coalesce("root", "row").alias("root"),
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "named", light=True)
     names = stored(named.groupBy("root").agg(F.min("least_id").alias("class_id")), "names", light=True)
-    by_set = stored(named.join(names, "root").select("k1", "k2", "n", "class_id", "n_links"), "classes", light=True)
+    by_set = stored(named.join(names, "root").select("k1", "k2", "n", "class_id", "n_links", "root"), "classes", light=True)
     return rows.join(by_set, ["k1", "k2", "n"], "left").select(
         "row", "doc_id", F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "text_key")
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "text_key", "root")
 
 
 def one_per_class(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of ``docs`` of the smallest doc_id of each class; one of equal rows, and every row without a link."""
-    found = jaccard_classes(docs, similarity)
-    gone = stored(found.filter((F.col("n_links") > 0) & ~F.col("doc_id").eqNullSafe(F.col("class_id")))
-                  .select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_t")).distinct(), "gone", light=True)
-    keyed = boxed(docs, "doc_id", "text").withColumn("_k", F.xxhash64("text"))
-    stay = keyed.join(gone, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_k") == F.col("_t")), "left_anti")
-    # Equal rows of one doc_id are copies too; texts without a shingle have none.
-    twice = found.filter("n_links > 0").groupBy("doc_id", "text_key").count().filter("count > 1")
+    """One row of ``docs`` of each class, and every row without a link.
+
+    Of a class the row of the smallest doc_id stays (null ids last, then by the text's hash); one
+    of equal rows.  Null and blank texts have no link.  All columns are kept as they are;
+    an empty table gives an empty one.
+    """
+    linked = jaccard_classes(docs, similarity).filter("n_links > 0")
+    linked = stored(linked.groupBy("root", "doc_id", "text_key").agg(F.count(F.lit(1)).alias("times")), "linked", light=True)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "text_key")).alias("s")
+    stays = linked.groupBy("root").agg(first).select(F.col("s.doc_id").alias("_d"), F.col("s.text_key").alias("_t"))
+    match = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_key") == F.col("_t"))
+    gone = stored(linked.join(stays, match, "left_anti").select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_t")), "gone", light=True)
+    keyed = boxed(docs, "doc_id", "text").withColumn("text_key", F.xxhash64("text"))
+    stay = keyed.join(gone, match, "left_anti")
+    # Of equal rows of one doc_id one stays.
+    twice = linked.filter("times > 1")
     if not twice.isEmpty():
         again = stored(twice.select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_t")), "twice", light=True)
-        match = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_k") == F.col("_t"))
-        one = stay.join(again, match, "left_semi").dropDuplicates(["doc_id", "_k"])
+        one = stay.join(again, match, "left_semi").dropDuplicates(["doc_id", "text_key"])
         stay = stay.join(again, match, "left_anti").unionByName(one)
     return unboxed(stay, docs.columns)
 

@@ -114,6 +114,67 @@ def test_jaccard_join_empty_and_one_per_class(spark):
     assert sorted(r["doc_id"] for r in out.collect()) == [4, 5, 6]
 
 
+@pytest.mark.parametrize("rows,kept", [
+    ([(None, "a b c d e f g h i j k"), (None, "a b c d e f g h i j k l"), (None, "a b c d e f g h i j k l m")], 1),
+    ([(7, "a b c d e f g h i j k"), (7, "a b c d e f g h i j k l"), (8, "other words that stand alone here")], 2),
+    ([(7, "a b c d e f g h i j k"), (7, "a b c d e f g h i j k"), (None, "a b c d e f g h i j k l"), (9, None), (9, None), (9, " ")], 4)])
+def test_one_row_of_a_class_stays_whatever_its_ids(spark, rows, kept):
+    docs = documents(spark, rows, extra=True)
+    out = jaccard_join.one_per_class(docs).collect()
+    assert len(out) == kept
+    if rows[0][0] == 7:
+        assert sum(r["doc_id"] == 7 for r in out) == 1
+
+
+def common_passage(m, seed=9):
+    """``m`` texts of which two fifths are one passage, a near copy of every fourth among them."""
+    rng = random.Random(seed)
+    passage = [f"p{i}" for i in range(40)]
+    rows = []
+    for i in range(m):
+        if i % 4 == 3:
+            text = list(rows[-1][1].split())
+            text[rng.randrange(60)] = f"x{i}"
+        else:
+            text = [f"w{rng.randrange(10 ** 6)}" for _ in range(60)]
+            text[30:30] = passage
+        rows.append((i, " ".join(text)))
+    return rows
+
+
+def test_jaccard_join_of_a_hot_passage_grows_with_its_members(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "SMALL", 32)
+    made = []
+    for m in (200, 400):
+        children, edges = [], []
+        split, ties = jaccard_join._split, jaccard_join._ties
+        monkeypatch.setattr(jaccard_join, "_split", lambda d: (children.append(d.count()), split(d))[1])
+        monkeypatch.setattr(jaccard_join, "_ties", lambda d: (lambda e: (edges.append(e.count()), e)[1])(ties(d)))
+        rows = common_passage(m)
+        got = jaccard_join.jaccard_classes(documents(spark, rows)).collect()
+        monkeypatch.setattr(jaccard_join, "_split", split)
+        monkeypatch.setattr(jaccard_join, "_ties", ties)
+        assert sorted(((r["doc_id"], r["class_id"], r["n_links"]) for r in got), key=str) == brute_jaccard(rows)
+        made.append((sum(children), sum(edges)))
+    (c1, e1), (c2, e2) = made
+    assert c2 <= 2.6 * c1 and c2 <= 16 * 400 and e2 <= 3 * e1
+
+
+def test_components_of_parallel_edges(spark):
+    from lloydflow.llm.components import components
+
+    rng = random.Random(3)
+    edges = [(rng.randrange(g * 100, g * 100 + 60), rng.randrange(g * 100, g * 100 + 60)) for g in range(8) for _ in range(40 + 30 * g)]
+    label = {v: v for e in edges for v in e}
+    for _ in range(200):
+        for a, b in edges:
+            label[a] = label[b] = min(label[a], label[b])
+    want = {v: r for v, r in label.items() if any(v in e and e[0] != e[1] for e in edges)}
+    got = {r["v"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == want
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
 def brute_targets(sizes, cap=3):
     order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
     weight = {s: (1, 2, 3)[i % 3] for i, s in enumerate(order)}
