@@ -30,6 +30,34 @@ PERCENTILE = 90
 IMAGE_IDS = 1 << 18
 
 
+def _pack_bits(values: np.ndarray, w: int) -> np.ndarray:
+    """Rows of ``BLOCK`` values of ``w`` bits as bytes, lowest bit first: eight values fill ``w`` bytes."""
+    kind = np.uint32 if w <= 25 else np.uint64  # a value and its shift span at most w + 7 bits
+    eights = np.ascontiguousarray(values.reshape(-1, 8).T).astype(kind)
+    planes = np.zeros((w, eights.shape[1]), np.uint8)
+    for k in range(8):
+        byte, shift = divmod(k * w, 8)
+        v = eights[k] << kind(shift)
+        for j in range(byte, min(w, byte + (shift + w + 7) // 8)):
+            planes[j] |= (v >> kind(8 * (j - byte))).astype(np.uint8)
+    return planes.T.reshape(len(values), BLOCK * w // 8)
+
+
+def _unpack_bits(body: np.ndarray, w: int) -> np.ndarray:
+    """The values of such rows."""
+    planes = np.ascontiguousarray(body.reshape(-1, w).T)
+    out = np.empty((8, planes.shape[1]), np.uint32)
+    kind = np.uint32 if w <= 25 else np.uint64  # a value and its shift span at most w + 7 bits
+    mask = kind((1 << w) - 1)
+    for k in range(8):
+        byte, shift = divmod(k * w, 8)
+        v = np.zeros(planes.shape[1], kind)
+        for j in range(byte, min(w, byte + (shift + w + 7) // 8)):
+            v |= planes[j].astype(kind) << kind(8 * (j - byte))
+        out[k] = (v >> kind(shift)) & mask
+    return out.T.reshape(len(body), BLOCK)
+
+
 def pack(ids: np.ndarray) -> bytes:
     """ids (uint32) as blocks: header, index of block starts, blocks."""
     n = len(ids)
@@ -50,13 +78,8 @@ def pack(ids: np.ndarray) -> bytes:
     packed: list = [b""] * n_blocks
     for w in np.unique(width):
         of = np.flatnonzero(width == w)
-        if w == 16:  # whole bytes need no bit work
-            for i, b in zip(of, low[of].astype("<u2")):
-                packed[i] = b.tobytes()
-        elif w:
-            bits = np.unpackbits(low[of].view(np.uint8).reshape(len(of), BLOCK, 4), axis=2, bitorder="little")[:, :, :w]
-            body = np.packbits(bits.reshape(len(of), BLOCK * int(w)), axis=1, bitorder="little")
-            for i, b in zip(of, body):
+        if w:
+            for i, b in zip(of, _pack_bits(low[of], int(w))):
                 packed[i] = b.tobytes()
     n_over = over.sum(axis=1).astype(np.uint16)
     where = np.nonzero(over)
@@ -79,29 +102,23 @@ def unpack(data: bytes, first: int = 0, count: int | None = None) -> np.ndarray:
     starts = np.frombuffer(data, "<u8", n_blocks, 12)
     body = 12 + 8 * n_blocks
     last = n_blocks if count is None else min(n_blocks, first + count)
-    heads = [struct.unpack_from("<IBH", data, body + int(starts[i])) for i in range(first, last)]
-    out = np.zeros((len(heads), BLOCK), np.uint32)
-    widths = np.array([h[1] for h in heads], np.uint8)
     raw = np.frombuffer(data, np.uint8)
-    begins = starts[first:last].astype(np.int64) + body + 7
+    begins = starts[first:last].astype(np.int64) + body
+    heads = raw[begins[:, None] + np.arange(7)]
+    bases, widths = np.ascontiguousarray(heads[:, :4]).view("<u4")[:, 0], heads[:, 4]
+    n_over = np.ascontiguousarray(heads[:, 5:]).view("<u2")[:, 0].astype(np.int64)
+    begins += 7
+    out = np.zeros((len(heads), BLOCK), np.uint32)
     for w in np.unique(widths):
         if w:
             of = np.flatnonzero(widths == w)
-            size = BLOCK * int(w) // 8
-            body_bytes = raw[begins[of][:, None] + np.arange(size)]
-            if w == 16:
-                out[of] = body_bytes.view("<u2")
-                continue
-            bits = np.unpackbits(body_bytes, axis=1, bitorder="little").reshape(len(of), BLOCK, int(w))
-            full = np.zeros((len(of), BLOCK, 32), np.uint8)
-            full[:, :, :w] = bits
-            out[of] = np.packbits(full, axis=2, bitorder="little").view("<u4").reshape(len(of), BLOCK)
-    for i, (base, w, n_over) in enumerate(heads):
-        if n_over:
-            at = int(begins[i]) + BLOCK * w // 8
-            pos = np.frombuffer(data, np.uint8, n_over, at)
-            out[i, pos] |= np.frombuffer(data, "<u4", n_over, at + n_over) << np.uint32(w)
-    out += np.array([h[0] for h in heads], np.uint32)[:, None]
+            out[of] = _unpack_bits(raw[begins[of][:, None] + np.arange(BLOCK * int(w) // 8)], int(w))
+    block = np.repeat(np.arange(len(heads)), n_over)
+    nth = np.arange(len(block)) - np.repeat(np.cumsum(n_over) - n_over, n_over)
+    lists = (begins + BLOCK * widths.astype(np.int64) // 8)[block]  # positions, then high bits
+    high = np.ascontiguousarray(raw[(lists + n_over[block] + 4 * nth)[:, None] + np.arange(4)]).view("<u4")[:, 0]
+    out[block, raw[lists + nth]] |= high << widths[block].astype(np.uint32)
+    out += bases[:, None]
     end = n if last == n_blocks else last * BLOCK
     return out.reshape(-1)[: end - first * BLOCK]
 
