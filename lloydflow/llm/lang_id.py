@@ -17,16 +17,18 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import boxed, crc_mod, table
+from .common import boxed, crc_mod, table, unboxed
 
 DIM = 1024
 ORDER = 3
 #: Letter symbols: 0 is the gap between words, 1 to 26 are a to z, the rest share the other letters.
 SYMBOLS = 64
 SEED = 20240
-#: Documents whose n-gram counts are bundled in one matrix product.
-BATCH = 256
+#: Documents, and about how many of their code points, that are bundled in one go; n-grams per matrix product.
+BATCH, CHARS, GRAMS = 256, 1 << 21, 4096
 UNKNOWN = "und"
+#: Labelled rows that the floors of the scores are learnt from, standard deviations below their mean, rows a length needs.
+FLOOR_ROWS, SPREAD, FLOOR_LEAST = 20_000, 5.0, 100
 
 
 def letter_vectors(dim: int = DIM) -> np.ndarray:
@@ -91,14 +93,32 @@ def gram_codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _bundle(codes: np.ndarray, group: np.ndarray, n_groups: int, letters: np.ndarray) -> np.ndarray:
-    """Sum of the n-gram vectors of each group (n_groups x dim)."""
+    """Sum of the n-gram vectors of each group (n_groups x dim), for ``GRAMS`` of the n-grams present at a time."""
     present = np.zeros(SYMBOLS ** ORDER, bool)
     present[codes] = True
     grams = np.flatnonzero(present)
     place = np.zeros(SYMBOLS ** ORDER, np.int64)
     place[grams] = np.arange(len(grams))
-    counts = np.bincount(group * len(grams) + place[codes], minlength=n_groups * len(grams))
-    return counts.reshape(n_groups, len(grams)).astype(np.float32) @ ngram_vectors(grams, letters).astype(np.float32)
+    at = place[codes]
+    out = np.zeros((n_groups, letters.shape[1]), np.float32)
+    for first in range(0, len(grams), GRAMS):
+        some = grams[first:first + GRAMS]
+        here = slice(None) if len(grams) <= GRAMS else (at >= first) & (at < first + GRAMS)
+        counts = np.bincount(group[here] * len(some) + at[here] - first, minlength=n_groups * len(some))
+        out += counts.reshape(n_groups, len(some)).astype(np.float32) @ ngram_vectors(some, letters).astype(np.float32)
+    return out
+
+
+def _parts(texts: list[str]) -> Iterator[slice]:
+    """Runs of at most ``BATCH`` texts and about ``CHARS`` code points; a longer text is a run of its own."""
+    start = chars = 0
+    for i, t in enumerate(texts):
+        if i > start and (i - start >= BATCH or chars + len(t) > CHARS):
+            yield slice(start, i)
+            start, chars = i, 0
+        chars += len(t)
+    if len(texts) > start:
+        yield slice(start, len(texts))
 
 
 def train(labelled: DataFrame, dim: int = DIM) -> tuple[list[str], np.ndarray]:
@@ -111,10 +131,10 @@ def train(labelled: DataFrame, dim: int = DIM) -> tuple[list[str], np.ndarray]:
     def bundle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         letters, sums = letter_vectors(dim), {}
         for batch in batches:
-            for at in range(0, len(batch), BATCH):
-                part = batch.iloc[at:at + BATCH]
-                langs, group = np.unique(part["lang"].to_numpy().astype(str), return_inverse=True)
-                codes, doc, _ = gram_codes(part["text"].tolist())
+            texts, own = batch["text"].tolist(), batch["lang"].to_numpy().astype(str)
+            for at in _parts(texts):
+                langs, group = np.unique(own[at], return_inverse=True)
+                codes, doc, _ = gram_codes(texts[at])
                 for name, v in zip(langs, _bundle(codes, group[doc], len(langs), letters).astype(np.float64)):
                     sums[name] = sums.get(name, 0) + v
         if sums:
@@ -136,7 +156,7 @@ def predict(docs: DataFrame, languages: list[str], prototypes: np.ndarray) -> Da
 
     ``und`` with score 0 where the text is null or has no letter, or nothing was
     learnt.  Ties go to the language that is first by name.  The score is the cosine, at
-    least 0.
+    least 0.  A very long text is bundled whole, a part of its n-grams at a time.
     """
     dim = prototypes.shape[1]
 
@@ -145,8 +165,8 @@ def predict(docs: DataFrame, languages: list[str], prototypes: np.ndarray) -> Da
         for batch in texts:
             names, scores = [], []
             values = ["" if t is None else t for t in batch.tolist()]
-            for at in range(0, len(values), BATCH):
-                part = values[at:at + BATCH]
+            for at in _parts(values):
+                part = values[at]
                 codes, doc, has = gram_codes(part)
                 v = _bundle(codes, doc, len(part), letters)
                 norm = np.linalg.norm(v, axis=1)
@@ -166,6 +186,44 @@ def predict(docs: DataFrame, languages: list[str], prototypes: np.ndarray) -> Da
             .select("_row", "doc_id", F.col("_judged.lang").alias("lang_pred"), F.col("_judged.score").alias("score")))
 
 
+def length_class(text: str = "text") -> F.Column:
+    """The power of two that the number of a text's letters reaches."""
+    return F.floor(F.log2(F.length(F.regexp_replace(text, r"[^\p{L}]", "")) + 1)).cast("int")
+
+
+def score_floors(labelled: DataFrame, languages: list[str], prototypes: np.ndarray, rows: int = FLOOR_ROWS,
+                 spread: float = SPREAD, least: int = FLOOR_LEAST) -> dict[int, float]:
+    """Per length class the cosine below which a text is like none of the labelled ones.
+
+    It lies ``spread`` standard deviations below the mean of the labelled texts of that length (about
+    ``rows`` of them, picked by hash); a class of fewer than ``least`` has none.
+    """
+    share = min(1.0, rows / max(1, labelled.count()))
+    some = labelled.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < int(share * (1 << 20)))
+    scored = predict(some.select("doc_id", "text"), languages, prototypes).select("score", length_class("_row.text").alias("c"))
+    found = scored.groupBy("c").agg(F.count(F.lit(1)), F.avg("score"), F.stddev_pop("score")).collect()  # a row a power of two
+    return {c: mean - spread * sd for c, n, mean, sd in found if c is not None and n >= least}
+
+
+def accepted(docs: DataFrame, folds: int = 4, held_out: int = 2) -> DataFrame:
+    """The rows of ``docs`` (columns and order of columns kept) that read as one of the learnt languages.
+
+    Rejected are texts without a letter (null and empty ones too), and texts whose cosine lies
+    below the floor of their length: endless repetition, codes, foreign scripts.  Where
+    nothing could be learnt every text with a letter stays.  Equal rows share their fate.
+    """
+    labelled = docs.filter((crc_mod(F.col("doc_id"), folds) != held_out) & F.col("text").isNotNull() & F.col("lang").isNotNull())
+    languages, prototypes = train(labelled.select("text", "lang"))
+    if not languages:
+        return docs.filter(F.coalesce(length_class(), F.lit(0)) > 0)
+    floors = score_floors(labelled.select("doc_id", "text"), languages, prototypes)
+    judged = predict(docs, languages, prototypes).filter(F.col("lang_pred") != UNKNOWN)
+    if floors:
+        floor = F.create_map(*[F.lit(x) for c, low in floors.items() for x in (c, low)])
+        judged = judged.filter(F.col("score") >= F.coalesce(floor[length_class("_row.text")], F.lit(0.0)))
+    return unboxed(judged, docs.columns)
+
+
 def identify(docs: DataFrame, folds: int = 4, held_out: int = 2) -> DataFrame:
     """(_row, doc_id, held_out, lang_pred, score): one row per row of ``docs``, its own columns in the struct.
 

@@ -66,9 +66,9 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Data
         F.col("doc_id").alias("_d"), F.col("text_key").alias("_t"), F.col("words").alias("_words"))
     joined = boxed(docs, "doc_id", "text").withColumn("_tk", F.xxhash64("text")).join(
         words, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_tk") == F.col("_t")), "left")
-    # The sparse words as a dense array, so that a line finds its bit by index.
-    dense = ("CASE WHEN _words IS NULL THEN NULL ELSE transform(sequence(0, element_at(_words, -1).word), "
-             "w -> coalesce(map_from_entries(_words)[w], 0L)) END")
+    # The sparse words as a dense array, so that a line finds its bit by index: each word behind the empty ones before it.
+    dense = ("CASE WHEN _words IS NULL THEN NULL ELSE flatten(transform(_words, (w, i) -> "
+             "concat(array_repeat(0L, w.word - IF(i = 0, 0, _words[i - 1].word + 1)), array(w.bits)))) END")
     kept = (f"CASE WHEN _dense IS NULL THEN coalesce(text, '') ELSE array_join(filter(_lines, (l, i) -> "
             f"i DIV {WORD_BITS} >= size(_dense) OR "
             f"(shiftright(_dense[CAST(i DIV {WORD_BITS} AS INT)], CAST(i % {WORD_BITS} AS INT)) & 1L) = 0L), '\\n') END")

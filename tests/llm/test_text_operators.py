@@ -112,6 +112,33 @@ def test_language_id(spark):
     assert lang_id.identify(documents(spark, [])).count() == 0
 
 
+def test_language_filter_keeps_clean_texts(spark):
+    rng = np.random.default_rng(6)
+    vocab = {"en": "the and with from that have this would there their".split(), "de": "der und nicht eine auch wird über schön straße für".split()}
+    rows = [(i, " ".join(rng.choice(vocab[g], rng.integers(30, 60))), g, "s") for i, g in enumerate(list(vocab) * 300)]
+    strange = [(5000, "qxzq " * 60, None, "s"), (5001, "жук лес " * 30, None, "s"), (5002, "zzzz" * 60, "en", "s")]
+    odd = [(6000 + i, t, None, "s") for i, t in enumerate([None, "", " 12 ", "!?"])]
+    docs = documents(spark, rows + strange + odd, extra=True)
+    out = lang_id.accepted(docs)
+    assert out.columns == docs.columns
+    assert {r["doc_id"] for r in out.collect()} == {r[0] for r in rows}
+    unknown = documents(spark, [(r[0], r[1], None, r[3]) for r in rows[:5] + strange + odd])
+    assert {r["doc_id"] for r in lang_id.accepted(unknown).collect()} == {r[0] for r in rows[:5] + strange}
+    assert lang_id.accepted(documents(spark, [])).count() == 0
+
+
+def test_bundles_in_slices_and_parts(monkeypatch):
+    texts = ["some words of a text", "x" * 40, "", "other words"] * 5
+    letters = lang_id.letter_vectors(64)
+    codes, doc, _ = lang_id.gram_codes(texts)
+    whole = lang_id._bundle(codes, doc, len(texts), letters)
+    monkeypatch.setattr(lang_id, "GRAMS", 3)
+    assert (lang_id._bundle(codes, doc, len(texts), letters) == whole).all()
+    monkeypatch.setattr(lang_id, "CHARS", 30)
+    parts = [texts[s] for s in lang_id._parts(texts)]
+    assert sum(parts, []) == texts and all(len(p) == 1 or sum(map(len, p)) <= 30 for p in parts) and list(lang_id._parts([])) == []
+
+
 def test_bundles_are_sums_of_bound_letters():
     texts = ["Ab c", "", "ßx, y!z"]
     letters = lang_id.letter_vectors(64)
