@@ -4,9 +4,10 @@ The strings that the patterns label are the examples.  Per kind, their prefix
 tree over character classes is generalised by merging states whose final and
 outgoing frequencies are statistically compatible (Hoeffding bound, with
 recursion into the common subtrees).  A further automaton is inferred from
-other long tokens.  A candidate token is a secret of a kind if that kind's
-automaton explains its format better than the background does, by more than the
-labelled examples' own low percentile.
+other tokens.  Every token as long as a labelled credential may be is a candidate.  It is a
+secret of a kind if that kind's automaton finds its format as likely, per character, as that of
+the labelled examples (their low percentile, less ``SLACK``), and explains it better than
+the background does, by ``LEAST_GAIN``.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from __future__ import annotations
 import math
 import os
 import re
+import zlib
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,12 +29,9 @@ from .common import stored, table
 KINDS = ("assign", "access", "hex")
 #: The labelled sample: distinct strings per kind, and background tokens, by smallest hash.
 EXAMPLES, BACKGROUND = 600, 6000
-#: A kind with fewer examples gets no automaton.
-LEAST_EXAMPLES = 20
-#: Shortest candidate token; confidence of the merge test; the examples' percentile that a candidate must reach.
-CANDIDATE, ALPHA, PERCENTILE = 12, 0.05, 2
-#: log-probability of a class that a state has never seen.
-UNSEEN = math.log(1e-5)
+#: Shortest candidate token (and labelled credential); confidence of the merge test; the examples' percentile that a
+#: candidate's log-likelihood per character must reach, less some slack, and the least log-odds against the background.
+CANDIDATE, ALPHA, PERCENTILE, SLACK, LEAST_GAIN = 6, 0.05, 2, 0.5, math.log(1000)
 
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 # The lengths asked of a run are part of these patterns: a run that is too short has no longer match inside.
@@ -48,17 +48,53 @@ def base_spans(text: str) -> list[tuple[int, int, int, str]]:
     """(start, kind, end, credential) of the fixed patterns, by start and kind."""
     out = []
     if "=" in text or ":" in text:
-        out += [(m.start(), 0, m.end(), m[2]) for m in _ASSIGN.finditer(text) if len(m[2]) >= 6]
+        out += [(m.start(), 0, m.end(), m[2]) for m in _ASSIGN.finditer(text) if len(m[2]) >= CANDIDATE]
     if "AKIA" in text:
         out += [(m.start(), 1, m.end(), m[0]) for m in _ACCESS.finditer(text)]
     out += [(m.start(), 2, m.end(), m[0]) for m in _HEX.finditer(text)]
     return sorted(out)
 
 
-def other_tokens(text: str, spans: list[tuple[int, int, int, str]]) -> list[tuple[int, str]]:
-    """(start, token) of the long tokens that overlap no span."""
-    return [(m.start(), m[0]) for m in _TOKEN.finditer(text)
-            if not any(s < m.end() and m.start() < e for s, _, e, _ in spans)]
+def other_tokens(text: str, spans: list[tuple[int, int, int, str]]) -> list[tuple[int, str, bool]]:
+    """(start, token, touches a span) of the tokens that do not lie within one span."""
+    starts, furthest, top = [], [], -1
+    for start, _, end, _ in spans:  # by start
+        top = max(top, end)
+        starts.append(start)
+        furthest.append(top)
+    out = []
+    for m in _TOKEN.finditer(text):
+        if not starts:
+            out.append((m.start(), m[0], False))
+            continue
+        i = bisect_right(starts, m.start()) - 1
+        if i < 0 or furthest[i] < m.end():  # no span that begins before the token reaches its end
+            j = bisect_left(starts, m.end()) - 1
+            out.append((m.start(), m[0], j >= 0 and furthest[j] > m.start()))
+    return out
+
+
+class Least:
+    """The ``k`` distinct strings of smallest hash."""
+
+    def __init__(self, k: int):
+        self.k, self.kept, self.limit = k, {}, 1 << 32
+
+    def add(self, value: str) -> None:
+        h = zlib.crc32(value.encode())
+        if h <= self.limit:
+            self.kept[value] = h
+            if len(self.kept) > 4 * self.k:
+                self._cut()
+
+    def _cut(self) -> None:
+        self.kept = dict(sorted(self.kept.items(), key=lambda x: (x[1], x[0]))[:self.k])
+        if len(self.kept) == self.k:
+            self.limit = max(self.kept.values())
+
+    def values(self) -> list[tuple[int, str]]:
+        self._cut()
+        return [(h, v) for v, h in self.kept.items()]
 
 
 class Automaton:
@@ -132,32 +168,83 @@ class Automaton:
                 self._fold(home, state)
         self.steps = {(s, c): (t, math.log(self.freq[s][c] / self.count[s]) + _WITHIN[c]) for s in red for c, t in self.next[s].items()}
         self.ends = {s: math.log(self.final[s] / self.count[s]) for s in red if self.final[s]}
+        # What a state has never seen counts as half a string.
+        self.unseen = {s: math.log(0.5 / (self.count[s] + 0.5 * len(_CLASSES))) for s in red}
         del self.count, self.final, self.next, self.freq
 
-    def score(self, token: str) -> float:
-        """log-probability of the token (none without the common prefix); unseen classes and ends cost UNSEEN and leave the state as it is."""
-        if not token.startswith(self.prefix):
-            return -math.inf
+    def walk(self, token: str) -> tuple[float, float]:
+        """log-probability of the token's characters, and of its end there.
+
+        A class or an end that the state has never seen, and each letter that is not the common
+        prefix's, costs ``unseen`` and leaves the state as it is.
+        """
         at, total = 0, 0.0
+        if not token.startswith(self.prefix):
+            total = self.unseen[0] * (len(self.prefix) - sum(a == b for a, b in zip(token, self.prefix)))
         for ch in token[len(self.prefix):]:
             c = _CLASS_OF[ch]
             step = self.steps.get((at, c))
             if step:
                 at, total = step[0], total + step[1]
             else:
-                total += UNSEEN + _WITHIN[c]
-        return total + self.ends.get(at, UNSEEN)
+                total += self.unseen[at] + _WITHIN[c]
+        return total, self.ends.get(at, self.unseen[at])
+
+    def score(self, token: str) -> float:
+        """log-probability of the token."""
+        return sum(self.walk(token))
 
 
 def infer(examples: dict[str, list[str]], background: list[str]):
-    """(automaton of the background, {kind: (automaton, least gain)}) from labelled strings."""
-    ground, found = Automaton(background), {}
+    """(automaton of the background, {kind: (automaton, least log-likelihood per character)}) from labelled strings.
+
+    Unlabelled secrets are among the other tokens, so the background is inferred twice: the second
+    time without those that a kind explains better than the first.
+    """
+    found = {}
     for kind, strings in examples.items():
-        if len(strings) >= LEAST_EXAMPLES:
+        if strings:
             a = Automaton(strings)
-            gains = [a.score(s) - ground.score(s) for s in strings]
-            found[kind] = (a, max(math.log(100), float(np.percentile(gains, PERCENTILE))))
-    return ground, found
+            found[kind] = (a, float(np.percentile([a.walk(s)[0] / len(s) for s in strings], PERCENTILE)) - SLACK)
+    ground = Automaton(background)
+    plain = [t for t in background if verdict(t, ground, found, 0.0)[0] < 0]
+    return Automaton(plain) if plain else ground, found
+
+
+def verdict(token: str, ground: Automaton, automata: dict, least: float = LEAST_GAIN) -> tuple[int, float]:
+    """(index of the kind that the token is of, its log-odds against the background); -1 if of none."""
+    plain, best = ground.score(token), (-1, 0.0)
+    for i, k in enumerate(KINDS):
+        if k in automata:
+            body, end = automata[k][0].walk(token)
+            gain = body + end - plain
+            if gain >= least and gain > best[1] and body >= automata[k][1] * len(token):
+                best = (i, gain)
+    return best
+
+
+def labelled_sample(texts: DataFrame, examples: int = EXAMPLES, background: int = BACKGROUND) -> tuple[dict[str, list[str]], list[str]]:
+    """({kind: credentials}, other tokens): the distinct ones of smallest hash over all ``texts``.
+
+    Each task sends its own smallest, so no more than the bounds leaves it.
+    """
+    def least(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kept = [Least(examples) for _ in KINDS] + [Least(background)]
+        for b in batches:
+            for t in b["text"]:
+                if t:
+                    spans = base_spans(t)
+                    for _, k, _, value in spans:
+                        kept[k].add(value)
+                    for _, token, touches in other_tokens(t, spans):
+                        if not touches:
+                            kept[-1].add(token)
+        yield pd.DataFrame([(k, h, v) for k, some in enumerate(kept) for h, v in some.values()], columns=["kind", "h", "value"])
+
+    found = stored(texts.select("text").mapInPandas(least, "kind int, h long, value string").distinct(), "labelled", light=True)
+    picked = [[r[0] for r in found.filter(F.col("kind") == k).orderBy("h", "value").limit(n).select("value").collect()]
+              for k, n in enumerate([examples] * len(KINDS) + [background])]
+    return dict(zip(KINDS, picked)), picked[-1]
 
 
 def scan(docs: DataFrame, examples: int = EXAMPLES, background: int = BACKGROUND) -> DataFrame:
@@ -165,52 +252,36 @@ def scan(docs: DataFrame, examples: int = EXAMPLES, background: int = BACKGROUND
 
     ``base`` and ``found`` are arrays of (start, kind, end, score), in code points with
     exclusive end, of the fixed patterns and of the further tokens that an automaton
-    recognises.  Null texts are empty.  Rows that repeat a doc_id are scanned each for
-    itself.  An empty table, or too few examples, gives no further spans.  Other
-    columns are not read.
+    recognises; such a token may reach beyond a fixed span, which stays beside it.  On equal
+    gains the kind that is listed first wins.  Null texts are empty, very long ones are scanned
+    whole.  Rows that repeat a doc_id are scanned each for itself.  A kind without
+    a labelled string gives no further spans, and an empty table no rows.  Other columns are not read.
     """
-    def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            base, other = [], []
-            for t in b["text"].tolist():
-                spans = base_spans(t or "")
-                base.append([{"start": s, "kind": k, "end": e, "value": v} for s, k, e, v in spans])
-                other.append([{"start": s, "value": v} for s, v in other_tokens(t or "", spans)])
-            yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64"), "base": base, "other": other})
-
-    spans = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(
-        extract, "doc_id long, base array<struct<start:long,kind:int,end:long,value:string>>, other array<struct<start:long,value:string>>"), "spans")
-
-    # The labelled sample: distinct strings of smallest hash, bounded by the parameters.
-    labelled = spans.select(F.explode("base").alias("s")).select("s.kind", "s.value").distinct()
-    tokens = spans.select(F.explode("other").alias("s")).select("s.value").distinct()
-    sample = {k: [r[0] for r in labelled.filter(F.col("kind") == i).select("value")
-                  .orderBy(F.xxhash64("value"), "value").limit(examples).collect()] for i, k in enumerate(KINDS)}
-    ground, automata = infer(sample, [r[0] for r in tokens.orderBy(F.xxhash64("value"), "value").limit(background).collect()])
+    ground, automata = infer(*labelled_sample(docs, examples, background))
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: dict[str, tuple[int, float]] = {}
 
-        def verdict(token: str) -> tuple[int, float]:
-            if token not in known:
-                if len(known) > 200_000:
-                    known.clear()
-                gains = [(automata[k][0].score(token) - ground.score(token), i) for i, k in enumerate(KINDS) if k in automata]
-                gains = [(g, i) for g, i in gains if g >= automata[KINDS[i]][1]]
-                g, i = max(gains, key=lambda x: (x[0], -x[1])) if gains else (0.0, -1)
-                known[token] = (i, g)
-            return known[token]
-
         for b in batches:
-            found = []
-            for other in b["other"]:
-                marks = [(o["start"], o["value"], *verdict(o["value"])) for o in other]
-                found.append([{"start": s, "kind": k, "end": s + len(v), "score": g} for s, v, k, g in marks if k >= 0])
-            base = [[{"start": s["start"], "kind": s["kind"], "end": s["end"], "score": None} for s in x] for x in b["base"]]
+            base, found = [], []
+            for t in b["text"].tolist():
+                spans = base_spans(t or "")
+                base.append([{"start": s, "kind": k, "end": e, "score": None} for s, k, e, _ in spans])
+                more = []
+                for start, token, _ in other_tokens(t or "", spans):
+                    if token not in known:
+                        if len(known) > 200_000:
+                            known.clear()
+                        known[token] = verdict(token, ground, automata)
+                    kind, gain = known[token]
+                    if kind >= 0:
+                        more.append({"start": start, "kind": kind, "end": start + len(token), "score": gain})
+                found.append(more)
             yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64"), "base": base, "found": found})
 
     span = "array<struct<start:long,kind:int,end:long,score:double>>"
-    return spans.mapInPandas(judge, f"doc_id long, base {span}, found {span}")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return texts.mapInPandas(judge, f"doc_id long, base {span}, found {span}")
 
 
 def op3_secret_scan(spark, sf_dir) -> DataFrame:

@@ -2,7 +2,9 @@
 
 import hashlib
 import math
+import random
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -95,6 +97,77 @@ def test_automaton_is_a_distribution_over_its_examples():
     assert a.score("ab1") > a.score("zz9") and a.score("ab1") < 0
 
 
+def test_short_secrets_and_tokens_beyond_a_span_are_found(spark):
+    rng = np.random.default_rng(8)
+    pick = lambda chars, n: "".join(rng.choice(list(chars), n))
+    words = lambda: " ".join(pick("abcdefghijklmnopqrstuvwxyz", rng.integers(3, 12)) for _ in range(20))
+    short = lambda: pick("ABCDEFGHJKLMNPQRSTUVWXYZ23456789", 10)
+    wide = lambda: "ghp_" + pick(HEX, 30) + "XYZW"
+    rows = [(i, f"{words()} password={short() if i % 2 else wide()} {words()}") for i in range(80)]
+    rows += [(100 + i, f"{words()} {short()} {words()}") for i in range(10)] + [(200 + i, f"{words()} {wide()} {words()}") for i in range(5)]
+    rows += [(300 + i, words()) for i in range(60)]
+    out = {r["doc_id"]: r for r in secret_scan.scan(documents(spark, rows)).collect()}
+    texts = dict(rows)
+    for d, r in out.items():
+        found = [texts[d][s["start"]:s["end"]] for s in r["found"]]
+        want = [w for w in texts[d].split() if "=" not in w and (w[0].isupper() or w[0].isdigit() or w.startswith("ghp_"))]
+        assert found == want, d
+        assert [(s["start"], s["kind"], s["end"]) for s in r["base"]] == base_brute(texts[d])  # the bare hexadecimal span stays
+
+
+def test_automaton_scores_against_every_way_through():
+    rng = random.Random(4)
+    strings = ["ab" + "".join(rng.choice("01cx") for _ in range(rng.randint(2, 6))) for _ in range(200)]
+    a = secret_scan.Automaton(strings)
+
+    def brute(token):
+        at, p, rest = 0, 0.0, token
+        for want in a.prefix:
+            if token.startswith(a.prefix):
+                rest = token[len(a.prefix):]
+            else:
+                p += 0.0 if token[a.prefix.index(want):a.prefix.index(want) + 1] == want else a.unseen[0]
+                rest = token[len(a.prefix):]
+        for ch in rest:
+            kind = next(i for i, cs in enumerate(secret_scan._CLASSES) if ch in cs)
+            if (at, kind) in a.steps:
+                p, at = p + a.steps[at, kind][1], a.steps[at, kind][0]
+            else:
+                p += a.unseen[at] - math.log(len(secret_scan._CLASSES[kind]))
+        return p + a.ends.get(at, a.unseen[at])
+
+    for token in strings[:20] + ["abzzz", "xb01", "a", "zz9.", "ab"]:
+        assert a.score(token) == pytest.approx(brute(token))
+    # Without what was never seen the probabilities of all strings sum to one: those of up to sixty characters to nearly one.
+    layers, total = {0: 1.0}, 0.0
+    for _ in range(60):
+        total += sum(p * math.exp(a.ends[s]) for s, p in layers.items() if s in a.ends)
+        nxt = {}
+        for (s, c), (t, lp) in a.steps.items():
+            if s in layers:
+                nxt[t] = nxt.get(t, 0) + layers[s] * math.exp(lp) * len(secret_scan._CLASSES[c])
+        layers = nxt
+    assert total == pytest.approx(1, abs=1e-4)
+
+
+def test_least_strings_by_hash():
+    rng = random.Random(2)
+    values = [f"v{rng.randrange(3000)}" for _ in range(20_000)]
+    least = secret_scan.Least(50)
+    for v in values:
+        least.add(v)
+    assert sorted(least.values()) == sorted((zlib.crc32(v.encode()), v) for v in set(values))[:50]
+
+
+def test_tokens_that_touch_spans():
+    spans = [(0, 0, 12, ""), (3, 2, 9, ""), (20, 2, 30, "")]
+    text = "abcdefghijkl inside__ x" + "y" * 7 + "zzzz freeword"
+    got = secret_scan.other_tokens(text, spans)
+    want = [(m.start(), m[0], any(s < m.end() and m.start() < e for s, _, e, _ in spans)) for m in secret_scan._TOKEN.finditer(text)
+            if not any(s <= m.start() and m.end() <= e for s, _, e, _ in spans)]
+    assert got == want and len(got) == 3
+
+
 def test_language_id(spark):
     rng = np.random.default_rng(5)
     vocab = {"en": "the and with from that have this would there their".split(), "de": "der und nicht eine auch wird über schön straße für".split(),
