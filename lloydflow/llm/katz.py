@@ -12,8 +12,8 @@ back-off weight of the history needs; histories that hold more than
 ``HOT_SHARE`` of all tokens are few by definition, and their bigrams are
 spread over all buckets and their sums added up apart.
 
-Discounts are Good-Turing with Katz's correction for counts up to ``K``.  Bigrams
-below ``MIN_COUNT`` count as unseen.  For every history the probabilities of
+Discounts are Good-Turing with Katz's correction for counts up to ``K``; every bigram of the
+training texts is listed, those seen once too.  For every history the probabilities of
 all known words and of the unknown word sum to one.
 """
 
@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 
 from .common import WS_CHARS, WS_CLASS, ascii_lower, crc_mod, stored, table
 
-#: Counts that are discounted; least count of a listed bigram.
-K, MIN_COUNT = 5, 2
+#: Counts that are discounted.
+K = 5
 #: Tokens in a block; questions in a bucket; share of all tokens that makes a history hot.
 BLOCK_TOKENS, BUCKET_KEYS, HOT_SHARE = 1_500_000, 2_000_000, 1 / 400
 #: Word hash of the end token, the least of all.
@@ -106,15 +106,15 @@ class Unigrams:
 def backoff(stats: np.ndarray, history: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(back-off weight, denominator) per history from its sums and training count.
 
-    ``stats`` columns: listed bigrams with counts 2 to K, the counts above K, and the
+    ``stats`` columns: listed bigrams with counts 1 to K, the counts above K, and the
     unigram probability of all listed words.  An unseen history has weight 1.
     """
-    spent = stats[:, : K - 1] @ (d[2:] * np.arange(2, K + 1)) + stats[:, K - 1]
+    spent = stats[:, :K] @ (d[1:] * np.arange(1, K + 1)) + stats[:, K]
     seen = history > 0
     total = np.where(seen, history, 1).astype(np.float64)
     # Nothing left for unseen words: they get one more count.
     total = np.where(seen & (total - spent <= 1e-9 * total), total + 1, total)
-    weight = np.where(seen, (1 - spent / total) / (1 - stats[:, K]), 1.0)
+    weight = np.where(seen, (1 - spent / total) / (1 - stats[:, K + 1]), 1.0)
     return weight, total
 
 
@@ -283,17 +283,39 @@ def _firsts(v: np.ndarray) -> np.ndarray:
 
 def _pack_stats(stats: np.ndarray) -> bytes:
     """The sums' columns: numbers of bigrams and counts as integers, the probabilities as they are."""
-    parts = [planes(stats[:, i].astype(np.uint64)) for i in range(K)] + [planes(stats[:, K])]
-    return b"".join(len(p).to_bytes(4, "little") + p for p in parts)
+    return _joined(*[planes(stats[:, i].astype(np.uint64)) for i in range(K + 1)], planes(stats[:, K + 1]))
 
 
 def _unpack_stats(data: bytes) -> np.ndarray:
-    columns, at = [], 0
-    for i in range(K + 1):
+    kinds = [np.uint64] * (K + 1) + [np.float64]
+    return np.stack([unplanes(p, t).astype(np.float64) for p, t in zip(_parted(data), kinds)], axis=1)
+
+
+def _joined(*parts: bytes) -> bytes:
+    return b"".join(len(p).to_bytes(4, "little") + p for p in parts)
+
+
+def _parted(data: bytes) -> Iterator[bytes]:
+    at = 0
+    while at < len(data):
         n = int.from_bytes(data[at:at + 4], "little")
-        columns.append(unplanes(data[at + 4:at + 4 + n], np.uint64 if i < K else np.float64).astype(np.float64))
+        yield data[at + 4:at + 4 + n]
         at += 4 + n
-    return np.stack(columns, axis=1)
+
+
+def pack_pairs(v: np.ndarray, w: np.ndarray, totals: np.ndarray) -> tuple[bytes, bytes]:
+    """Bigrams in order as their histories with run lengths and their words; and their counts."""
+    order = np.lexsort((w, v))
+    v, w = v[order], w[order]
+    first = _firsts(v) if len(v) else np.empty(0, np.int64)
+    runs = np.diff(np.append(first, len(v))).astype(np.uint32)
+    return _joined(planes(v[first]), planes(runs), planes(w)), planes(totals[order])
+
+
+def unpack_pairs(keys: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(histories, words, counts) of a stored part of the bigram table."""
+    heads, runs, words = (unplanes(p, t) for p, t in zip(_parted(keys), (np.uint64, np.uint32, np.uint64)))
+    return np.repeat(heads, runs), words, unplanes(counts, np.uint64)
 
 
 def _count_pairs(blocks: DataFrame, words: DataFrame, uni: Unigrams, hot: np.ndarray, buckets: int) -> DataFrame:
@@ -319,14 +341,14 @@ def _count_pairs(blocks: DataFrame, words: DataFrame, uni: Unigrams, hot: np.nda
         _, first, place = np.unique(mix(v + mix(w)), return_index=True, return_inverse=True)
         totals = np.bincount(place, weights=counts.astype(np.float64)).astype(np.uint64)
         v, w, c1 = v[first], w[first], c1[first]
-        listed = np.flatnonzero(totals >= MIN_COUNT)
+        listed = np.flatnonzero(totals)
         names, at = np.unique(v[listed], return_inverse=True)
         t = totals[listed]
-        sums = [np.bincount(at, weights=(t == r).astype(np.float64), minlength=len(names)) for r in range(2, K + 1)]
+        sums = [np.bincount(at, weights=(t == r).astype(np.float64), minlength=len(names)) for r in range(1, K + 1)]
         sums += [np.bincount(at, weights=x, minlength=len(names)) for x in (np.where(t > K, t, 0).astype(np.float64), uni.p(c1[listed]))]
         stats = np.stack(sums, axis=1)
         k, mine = int(asked["bucket"].iloc[0]), np.isin(names, hot)
-        out = [_row(2, k, MODEL, planes(np.concatenate([v[listed], w[listed]])), planes(t), b"", int(totals.sum()), int((totals > 0).sum()), _of_counts(totals)),
+        out = [_row(2, k, MODEL, *pack_pairs(v[listed], w[listed], t), b"", int(totals.sum()), int((totals > 0).sum()), _of_counts(totals)),
                _row(2, k, HOT, names[mine].tobytes(), extra=stats[mine].tobytes())]
         end = 0
         for block, h, r in zip(asked["block"], heads, runs):
@@ -348,12 +370,12 @@ def _hot_sums(pairs: DataFrame) -> dict[int, np.ndarray]:
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for keys, extra in zip(b["keys"], b["extra"]):
-                stats = np.frombuffer(extra).reshape(-1, K + 1)
-                yield pd.DataFrame({"v": np.frombuffer(keys, np.int64), **{f"s{i}": stats[:, i] for i in range(K + 1)}})
+                stats = np.frombuffer(extra).reshape(-1, K + 2)
+                yield pd.DataFrame({"v": np.frombuffer(keys, np.int64), **{f"s{i}": stats[:, i] for i in range(K + 2)}})
 
     exploded = pairs.filter(F.col("block") == HOT).select("keys", "extra").mapInPandas(
-        rows, "v long, " + ", ".join(f"s{i} double" for i in range(K + 1)))
-    return {r[0]: np.array(r[1:]) for r in exploded.groupBy("v").agg(*[F.sum(f"s{i}") for i in range(K + 1)]).collect()}
+        rows, "v long, " + ", ".join(f"s{i} double" for i in range(K + 2)))
+    return {r[0]: np.array(r[1:]) for r in exploded.groupBy("v").agg(*[F.sum(f"s{i}") for i in range(K + 2)]).collect()}
 
 
 def score(docs: DataFrame, folds: int = 5, held_out: int = 1) -> DataFrame:
@@ -400,7 +422,7 @@ def score(docs: DataFrame, folds: int = 5, held_out: int = 1) -> DataFrame:
         v, w, bucket, place, ids = x.pairs(ids, hot, buckets)
         # The answers stand in the order of the questions.
         c2 = np.zeros(len(v), np.uint64)
-        stats = np.zeros((len(ids), K + 1))
+        stats = np.zeros((len(ids), K + 2))
         told = {int(k): (n, c, e) for k, n, c, e in zip(*(_answer(answers, 2)[q] for q in ("bucket", "keys", "counts", "extra")))}
         for k, i, j in _slices(bucket):
             own, counts, extra = told[k]
@@ -411,7 +433,7 @@ def score(docs: DataFrame, folds: int = 5, held_out: int = 1) -> DataFrame:
         history = np.where(ids == END_ID, 0, np.append(c1, np.uint64(starts)))  # nothing follows an end
         weight, total = backoff(stats, history, d)
         p1 = uni.p(c1)
-        listed = c2 >= MIN_COUNT
+        listed = c2 > 0
         discounted = np.where(c2 > K, 1.0, d[np.minimum(c2, K).astype(np.int64)]) * c2
         # Listed bigrams at their own probability, all others at the weighted lower order.
         p2 = np.where(listed, discounted / total[v], weight[v] * p1[w])

@@ -246,7 +246,7 @@ def brute_katz(rows):
     p1 = lambda w: (d1[c1[w]] if c1[w] <= 5 else 1) * c1[w] / scale if c1[w] else unknown
     spent, lower = defaultdict(float), defaultdict(float)
     for (a, b), c in c2.items():
-        if c >= 2:
+        if c >= 1:
             spent[a] += (d2[c] if c <= 5 else 1) * c
             lower[a] += p1(b)
 
@@ -255,7 +255,7 @@ def brute_katz(rows):
             return p1(b)
         n = hist[a] + (hist[a] - spent[a] <= 1e-9 * hist[a])
         c = c2[a, b]
-        return (d2[c] if c <= 5 else 1) * c / n if c >= 2 else (1 - spent[a] / n) / (1 - lower[a]) * p1(b)
+        return (d2[c] if c <= 5 else 1) * c / n if c >= 1 else (1 - spent[a] / n) / (1 - lower[a]) * p1(b)
 
     for a in list(hist)[:20]:
         assert abs(sum(p2(a, w) for w in c1) + p2(a, "\0") - 1) < 1e-9
@@ -276,6 +276,18 @@ def test_katz_against_brute_force(spark, rows, monkeypatch):
         assert f[5:] == pytest.approx(w[5:], abs=1e-5)
 
 
+def test_katz_table_lists_every_training_bigram(spark, monkeypatch):
+    rows = [(i, " ".join(f"w{(i * j) % 11}" for j in range(1, 30))) for i in range(40)]
+    kept = []
+    stored = katz.stored
+    monkeypatch.setattr(katz, "stored", lambda df, name, **k: (kept.append((name, stored(df, name, **k))), kept[-1][1])[1])
+    katz.score(documents(spark, rows)).count()
+    table = dict(kept)["ngrams_2"].filter(f"block = {katz.MODEL}").collect()
+    counts = sorted(c for r in table for c in katz.unpack_pairs(r["keys"], r["counts"])[2].tolist())
+    want = Counter(p for d, t in rows if not held(d, 5, 1) for p in zip(["<s>"] + words(t), words(t) + ["</s>"]))
+    assert counts == sorted(want.values()) and 1 in counts
+
+
 def test_katz_without_training_rows_and_empty(spark):
     only = next(i for i in range(50) if held(i, 5, 1))
     r = katz.score(documents(spark, [(only, "a b")])).collect()[0]
