@@ -43,10 +43,13 @@ def main() -> None:
     L = points_l(spark, SF_DIR).select("x", "y")
     C = points_c(spark, SF_DIR).select("x", "y")
     E = points_e(spark, SF_DIR).select("x", "y")
+    cores = int(CPUS)  # lineitem is a single row group here: the runs of several rounds deal it out once
     k30 = lattice(30)
     k100 = lattice(100)
     k1000 = lattice(1000, cols=40, x0=-1000, dx=300, y0=0, dy=400)
 
+    wide = spark.range(15_000).selectExpr("CAST(id AS INT) AS rank", "CAST((id * 7919) % 11000 AS INT) AS x", "CAST((id * 104729) % 10100 AS INT) AS y")
+
     step(C, K5).collect()  # warm-up: codegen form
     step(C, k100).collect()  # warm-up: vectorised form (Python workers)
 
@@ -61,14 +64,15 @@ def main() -> None:
         "step_combined_L_k1000_far": lambda: step(L, [(-9_000_000, -9_000_000), *k1000[1:]], "combined").collect(),
         **{f"assign_L_k{k}": (lambda c: lambda: drain(assign(L, prepare_centers(c))))(lattice(k)) for k in (24, 28, 32, 40)},
         "write_listing_L_k5": lambda: write_assignments(assign(L, prepare_centers(K5)), scratch_path(spark, "bench-listing")),
+        "step_table_L_k15000": lambda: step(L, wide).collect(),
         "assign_L_k5": lambda: drain(assign(L, prepare_centers(K5))),
-        "fit_fixed_plain_L_R5": lambda: fit(L, K5, iterations=5, mode="plain"),
-        "fit_fixed_combined_L_R5": lambda: fit(L, K5, iterations=5, mode="combined"),
-        "fit_fixed_combined_L_k100_R3": lambda: fit(L, k100, iterations=3, mode="combined"),
+        "fit_fixed_plain_L_R5": lambda: fit(L, K5, iterations=5, mode="plain", partitions=cores),
+        "fit_fixed_combined_L_R5": lambda: fit(L, K5, iterations=5, mode="combined", partitions=cores),
+        "fit_fixed_combined_L_k100_R3": lambda: fit(L, k100, iterations=3, mode="combined", partitions=cores),
         "fit_stop_any_C_R10": lambda: fit(C, K5, iterations=10, mode="plain", stop="any"),
-        "fit_stop_all_L_R10": lambda: fit(L, K5, iterations=10, mode="plain", stop="all"),
-        "fit_status_L_R3": lambda: fit(L, K5, iterations=3, mode="combined").status_rows().collect(),
-        "fit_final_assignment_L_R3": lambda: drain(fit(L, K5, iterations=3, mode="combined").assignment(L)),
+        "fit_stop_all_L_R10": lambda: fit(L, K5, iterations=10, mode="plain", stop="all", partitions=cores),
+        "fit_status_L_R3": lambda: fit(L, K5, iterations=3, mode="combined", partitions=cores).status_rows().collect(),
+        "fit_final_assignment_L_R3": lambda: drain(fit(L, K5, iterations=3, mode="combined", partitions=cores).assignment(L)),
     }
     times = {}
     for name, run in runs.items():

@@ -172,7 +172,7 @@ def fit(points: DataFrame, centers, iterations: int = 1, mode: str = "combined",
         threshold: int = STABILITY_THRESHOLD, strategy: str = "auto", x: str = "x", y: str = "y",
         weight: str | None = None, persist: bool | str = True, output_prefix: str | None = None,
         status_files: bool = False, final_listing: bool = False, collapse: bool = False,
-        resume: bool = False, in_plan: int = IN_PLAN_CENTERS) -> FitResult | TableFitResult:
+        resume: bool = False, in_plan: int = IN_PLAN_CENTERS, partitions: int | None = None) -> FitResult | TableFitResult:
     """Run Lloyd iterations under one of the reference's policies.
 
     * ``stop="none"`` — exactly ``iterations`` rounds (I2 plain, I5 combined).
@@ -196,6 +196,10 @@ def fit(points: DataFrame, centers, iterations: int = 1, mode: str = "combined",
     exact, and much less work on very repetitive integer data.  The final
     listing still lists every original point.
 
+    ``partitions`` deals the points anew over so many partitions before they are kept: one
+    shuffle that pays when the source has fewer splits than the cluster has cores (a
+    single Parquet row group, a compressed text file) and several rounds follow.
+
     Every round is computed, also at a fixed point: R rounds give R measured times.
 
     ``resume=True`` (with ``output_prefix``) restarts a run whose driver was lost.
@@ -229,7 +233,7 @@ def fit(points: DataFrame, centers, iterations: int = 1, mode: str = "combined",
         source = collapse_points(points.select(x, y), x, y)
         weight = "weight"
     cols = [x, y] + ([weight] if weight else [])
-    pts = source.select(*cols)
+    pts = source.select(*cols).repartition(partitions) if partitions else source.select(*cols)
     out = FitResult(spark, mode, stop, threshold, started_from=ranked)
     out.points_read = pts
     first = 1

@@ -90,7 +90,7 @@ def _deal(spark, key: str, sizes) -> tuple[DataFrame, int]:
     centres share parts and a centre larger than a part has its own share of several.
     """
     if isinstance(sizes, DataFrame):
-        texts = sizes.select(center_text("x", "y").alias(key), F.col("points").cast("long").alias("__points")).filter("__points > 0")
+        texts = sizes.select(center_text("x", "y").alias(key), F.col("points").cast("long").alias("__points"))
         counted = running_totals(texts, [key], "__points", "__before")
     else:
         rows, before = [], 0

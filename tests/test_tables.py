@@ -131,6 +131,13 @@ def test_rounds_over_a_table_equal_the_list_form(spark, scratch, mode, stop, col
     assert text_of(f"{a}Final") == text_of(f"{b}Final")
 
 
+def test_points_of_one_split_are_dealt_on_request(spark):
+    pts = spark.createDataFrame([(i % 50, i % 31) for i in range(500)], "x INT, y INT").coalesce(1)
+    got = fit(pts, [(0, 0), (40, 20)], iterations=2, partitions=6)
+    assert got.iterations[-1].rows == fit(pts, [(0, 0), (40, 20)], iterations=2).iterations[-1].rows
+    assert got.points_read.rdd.getNumPartitions() == 6
+
+
 def text_of(path):
     files = sorted(f for f in os.listdir(path) if f.startswith("part-"))
     return "".join(open(os.path.join(path, f)).read() for f in files)
