@@ -59,21 +59,28 @@ def exact_topk(vectors: DataFrame, k: int = 10, every: int = 100, scale: int = 1
     take no part, nor do rows without a vec_id; a missing component of a shorter
     vector counts 0.  Rows that repeat a vec_id are candidates (and queries) each for
     themselves.  An empty table gives no rows.  Scores are exact while their absolute partial sums
-    stay below 2^53.
+    fit a long; from 2^53 on they are summed in extended precision.
     """
     whole = usable(vectors).withColumn(
         "embedding", F.transform("embedding", lambda x: F.floor(x * scale).cast("double")))
     candidates = blocks(whole, CANDIDATE_ROWS, "cb")
-    queries = blocks(whole.filter(F.col("vec_id") % every == 0).coalesce(8), QUERY_ROWS, "qb")
+    asked = whole.filter(F.col("vec_id") % every == 0)
+    queries = blocks(asked.repartition(max(1, -(-asked.count() // QUERY_ROWS))), QUERY_ROWS, "qb")
 
     def match(qs, cs) -> pd.DataFrame:
         (q_ids, q), (c_ids, c) = qs, cs
         q, c = _align(q, c)
         square = c ** 2
         rests = [np.sqrt(square[at:].sum(axis=0)) for at in range(0, max(len(c), 1), DIM_STEP)]
+        # Sums that doubles may not hold exactly are taken in the wider type, without pruning.
+        wide = np.abs(q).max(initial=0) * np.abs(c).max(initial=0) * len(c) >= 2 ** 53
         out = []
         for j, qid in enumerate(q_ids):
-            cols, scores = branch_and_bound(q[:, j], c, rests, k, c_ids == qid)
+            if wide:
+                cols = np.flatnonzero(c_ids != qid)
+                scores = q[:, j].astype(np.longdouble) @ c[:, cols].astype(np.longdouble)
+            else:
+                cols, scores = branch_and_bound(q[:, j], c, rests, k, c_ids == qid)
             order = np.lexsort((c_ids[cols], -scores))[:k]
             out.append(pd.DataFrame({"query_id": qid, "vec_id": c_ids[cols][order], "score": scores[order].astype(np.int64)}))
         return pd.concat(out)

@@ -33,7 +33,10 @@ def brute_exact(rows, k, every):
     return sorted(out)
 
 
-@pytest.mark.parametrize("rows", [clustered(400), [(0, [0.5, 0.25]), (100, [0.5]), (7, []), (8, [0.0, 0.0]), (9, [0.5, 0.25])], [(100, [1.0])]])
+LARGE = [(i, [1e6 + 17 * i, -9e5 + 3 * i, 7e5 + (i % 3) / 1024]) for i in range(101)]  # products far beyond 2 ** 53
+
+
+@pytest.mark.parametrize("rows", [clustered(400), LARGE, [(0, [0.5, 0.25]), (100, [0.5]), (7, []), (8, [0.0, 0.0]), (9, [0.5, 0.25])], [(100, [1.0])]])
 def test_exact_topk(spark, rows, monkeypatch):
     monkeypatch.setattr(topk_exact, "CANDIDATE_ROWS", 64)
     monkeypatch.setattr(topk_exact, "QUERY_ROWS", 3)
