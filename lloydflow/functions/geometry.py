@@ -13,10 +13,10 @@ def _col(c: str | Column) -> Column:
 
 
 def squared_distance(x: str | Column, y: str | Column, cx: str | Column | int, cy: str | Column | int) -> Column:
-    """Exact squared Euclidean distance as DOUBLE (no 32-bit wrap).
+    """Squared Euclidean distance as DOUBLE (no 32-bit wrap; exact while below 2**53).
 
-    Integer coordinates give integral squares, exact while below 2**53, so the
-    arg-min over squared distances equals the arg-min over distances.
+    Assignments compare its root: large squares that differ may have one root, and then the
+    lowest rank wins.
     """
     cxc = F.lit(float(cx)) if isinstance(cx, int) else _col(cx).cast("double")
     cyc = F.lit(float(cy)) if isinstance(cy, int) else _col(cy).cast("double")

@@ -12,6 +12,10 @@ import numpy as np
 from .nearest_kernel import candidate_cells, nearest_indices
 
 
+#: Distances from which a search tree over the centres is built first.
+_TREE_PAYS = 1 << 24
+
+
 class Tiles:
     """The cuts and bounding boxes of a tiling: a few numbers per tile."""
 
@@ -85,7 +89,8 @@ def merged(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.
 
 def nearest_of(px: np.ndarray, py: np.ndarray, cx: np.ndarray, cy: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Index of the nearest of a tile's centres (first on ties) and its distance."""
-    return nearest_indices(px, py, cx, cy, candidate_cells(cx, cy) if len(px) > 64 else None)
+    # A search tree pays when it spares many distances.
+    return nearest_indices(px, py, cx, cy, candidate_cells(cx, cy) if len(px) * len(cx) > _TREE_PAYS else None)
 
 
 def sums_by(key: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:

@@ -18,6 +18,7 @@ errors for a point without coordinates or without a centre in reach.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,11 +34,12 @@ from . import nearest_kernel, tile_kernel
 from .assign import _FAR_MESSAGE, _NULL_MESSAGE
 from .tile_kernel import Tiles, merged, nearest_of, sums_by
 
-cloudpickle.register_pickle_by_value(nearest_kernel)
-cloudpickle.register_pickle_by_value(tile_kernel)
+# Executors need no installed copy of the package: the task functions travel by value.
+for _module in (nearest_kernel, tile_kernel, sys.modules[__name__]):
+    cloudpickle.register_pickle_by_value(_module)
 
 #: Centres per tile, and distinct points per join group, aimed at.
-TILE_CENTERS = 4096
+TILE_CENTERS = 1024
 GROUP_POINTS = 200_000
 #: Points that are looked at to size the groups (their share of the table; results don't depend on it).
 SIZING_POINTS = 1_000_000

@@ -75,6 +75,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 _WRITTEN: dict[str, list[str]] = {}
 
 
+def scratch_table(spark: SparkSession, name: str) -> str:
+    """A new path below the shared folder for a table that ``clear_scratch`` may delete."""
+    path = scratch_path(spark, name)
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
 def written(df, name: str):
     """``df`` written below the shared folder and read back.
 
@@ -82,9 +89,8 @@ def written(df, name: str):
     several readers share one evaluation.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = scratch_table(spark, name)
     df.write.parquet(path)
-    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -95,7 +101,7 @@ def delete_path(spark: SparkSession, path: str) -> None:
 
 
 def clear_scratch(spark: SparkSession) -> int:
-    """Delete the tables that ``written`` made in this session; their DataFrames can't be read any more."""
+    """Delete the intermediate tables of this session; results that still read them can't be read any more."""
     paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
     for path in paths:
         delete_path(spark, path)

@@ -3,6 +3,8 @@
 import os
 import random
 import re
+import subprocess
+import sys
 
 import numpy as np
 import pytest
@@ -20,7 +22,7 @@ from lloydflow.session import clear_scratch
 from lloydflow.sources import read_centers, read_centers_json, read_result, read_status_centers, sinks, write_centers_json
 from lloydflow.sources.centers import as_center_list, ranked_table
 from tests import brute
-from tests.conftest import write_text
+from tests.conftest import ROOT, write_text
 
 FAILS = (PySparkException, Py4JJavaError)
 
@@ -131,6 +133,25 @@ def test_rounds_over_a_table_equal_the_list_form(spark, scratch, mode, stop, col
     assert text_of(f"{a}Final") == text_of(f"{b}Final")
 
 
+def test_workers_need_no_copy_of_the_package(tmp_path):
+    script = tmp_path / "far.py"
+    script.write_text(f"""
+import sys
+sys.path.insert(0, {ROOT!r})  # the driver's path alone
+from lloydflow.session import local_session
+from lloydflow import step, fit
+spark = local_session(2)
+pts = spark.range(300).selectExpr("CAST(id % 37 AS INT) AS x", "CAST(id % 23 AS INT) AS y")
+ctr = spark.range(90).selectExpr("CAST(id AS INT) AS rank", "CAST(id * 7 % 41 AS INT) AS x", "CAST(id * 5 % 29 AS INT) AS y")
+a = sorted(map(tuple, step(pts, ctr, in_plan=0).collect()))
+assert a == sorted(map(tuple, step(pts, ctr).collect())) and len(a) == 90, a
+assert fit(pts, ctr, in_plan=0).assignment(pts).count() == 300
+""")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=240)
+    assert done.returncode == 0, done.stderr[-2000:]
+
+
 def test_points_of_one_split_are_dealt_on_request(spark):
     pts = spark.createDataFrame([(i % 50, i % 31) for i in range(500)], "x INT, y INT").coalesce(1)
     got = fit(pts, [(0, 0), (40, 20)], iterations=2, partitions=6)
