@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lloydflow.session import scratch_path
+from lloydflow.session import scratch_table
 
 #: White space of the contracts: space and U+0009 to U+000D.
 WS_CHARS = " \t\n\x0b\x0c\r"
@@ -25,10 +25,11 @@ def stored(df: DataFrame, name: str, light: bool = False) -> DataFrame:
     Cuts lineage so that a lost executor never forces the work above to be done
     again, and lets several readers share one evaluation.  A ``light`` table (a few
     numbers per row) is written by at most four tasks a core, so that many shuffle partitions
-    don't become as many tiny files.
+    don't become as many tiny files.  The tables stay until ``lloydflow.session.clear_scratch``,
+    which a caller may use once the results are written.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = scratch_table(spark, name)
     out = df.coalesce(4 * spark.sparkContext.defaultParallelism) if light else df
     out.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
