@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 
 END_ID = 2
 #: Most words kept by one Python worker; what a batch needs beyond it lives as long as the batch.
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 250_000
 #: New words that go to the library in one call.
 BULK = 2000
 
@@ -150,14 +150,18 @@ def encoder(path: str | None = None):
             distinct[i] = "\n"
         words.spare["\n"] = lead
         ids = [*map(words.__getitem__, distinct), END_BYTES]
-        sizes = np.array([len(i) // 4 for i in ids], np.int64)
-        flat, starts = np.frombuffer(b"".join(ids), "<u4"), np.concatenate(([0], np.cumsum(sizes[:-1])))
-        at = np.insert(at.astype(np.int64), begin[1:], len(ids) - 1)  # the end id after each text
+        # A text has fewer than 2 ** 31 ids, so 32 bits index them.
+        sizes = np.array([len(i) // 4 for i in ids], np.int32)
+        flat, starts = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(sizes, dtype=np.int32) - sizes
+        at = np.insert(at, begin[1:], len(ids) - 1)  # the end id after each text
         begin = begin + np.arange(len(begin))
         count = sizes[at]
-        out = np.cumsum(count)
-        raw = memoryview(flat[np.repeat(starts[at] - out + count, count) + np.arange(out[-1] if len(out) else 0)].tobytes())
-        edge = np.concatenate(([0], out))[begin] * 4
+        out = np.cumsum(count, dtype=np.int32)
+        source = np.repeat(starts[at] - out + count, count)
+        source += np.arange(len(source), dtype=np.int32)
+        raw = memoryview(flat[source].tobytes())
+        edge = np.concatenate(([0], out)).astype(np.int64)[begin] * 4
+        del pieces, coded, at, count, out, source
         skip = len(lead)
         return [memoryview(words.raw(t) + END_BYTES) if w else raw[a + skip:b] if t else raw[b - 4:b]
                 for t, w, a, b in zip(texts, whole.tolist(), edge[:-1].tolist(), edge[1:].tolist())]
@@ -166,7 +170,7 @@ def encoder(path: str | None = None):
 
 
 #: Texts that are encoded together.
-TEXTS, CHARS = 1500, 1 << 22
+TEXTS, CHARS = 1500, 1 << 21
 
 
 def encoded(batches, columns: list[str], path: str | None = None):
