@@ -20,7 +20,7 @@ from ..functions.constants import STATUS_CONVERGED, STATUS_NOT_CONVERGED
 from ..operators.convergence import with_movement
 from ..operators.ordering import rank_by_center_text
 from ..operators.tiles import TileIndex, assign_table, build_index, stats_table
-from ..session import local_frame, written
+from ..session import local_frame, scratch_table, written
 from ..sources.centers import collapse_centers, ranked_table
 from ..sources.sinks import iteration_path, write_assignments, write_result, write_status
 from .record import RunRecord
@@ -169,14 +169,10 @@ def fit_table(points: DataFrame, source: DataFrame, centers: DataFrame, iteratio
     for r in range(first, iterations + 1):
         t0 = time.perf_counter()
         ranked = rank_by_center_text(result_table(points, state, build_index(state), mode, x, y, weight)).select(*RESULT_COLUMNS)
-        if record is None:
-            rows = written(ranked, f"round-{r}")
-            path = rows.inputFiles()[0].rsplit("/", 1)[0]
-        else:
-            # A name of its own for each try: what a lost driver left is not read.
-            path = f"{record.folder}/table{r}-{int(time.time() * 1000)}"
-            ranked.write.parquet(path)
-            rows = spark.read.parquet(path)
+        # Beside the record under a name of its own for each try: what a lost driver left is not read.
+        path = scratch_table(spark, f"round-{r}") if record is None else f"{record.folder}/table{r}-{int(time.time() * 1000)}"
+        ranked.write.parquet(path)
+        rows = spark.read.parquet(path)
         moved = with_movement(rows, threshold)
         k, n, move, stable = moved.agg(F.count(F.lit(1)), F.sum("n_points"), F.max("move"), F.count_if("stable")).first()
         done = TableRound(r, k, n, move, stable, time.perf_counter() - t0, path)
