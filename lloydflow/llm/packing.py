@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import cell_index, stored, table
-from .tokenize import encoded
+from .tokenize import CACHE_ENTRIES, encoded
 
 CAPACITY = 1024
 #: Groups of the large lengths; lengths up to CAPACITY // SMALL_PART are small.
@@ -31,7 +31,7 @@ GROUPS, SMALL_PART = 40, 8
 KEEP_ROOM = (0, 2, 5, 10, 20, 40, 80, 160)
 
 
-def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = None) -> DataFrame:
+def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = None, entries: int = CACHE_ENTRIES) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32): documents cut where they exceed ``capacity``.
 
     A document is its ids and the end id.  Of a longer one the first piece holds
@@ -44,7 +44,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = No
             out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
             return out.assign(doc_id=out["doc_id"].astype("Int64"))
 
-        for (d,), data in encoded(batches, ["doc_id"], tokenizer):
+        for (d,), data in encoded(batches, ["doc_id"], tokenizer, entries):
             data = memoryview(data)
             n, at, k = len(data) // 4, 0, 0
             size = n % capacity or capacity
@@ -236,14 +236,15 @@ def _lookup(bins: list[tuple[int, list[int]]]):
     return (*(np.array([r[j] for r in rows], np.int64) for j in range(3)), first)
 
 
-def pack(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = None) -> DataFrame:
+def pack(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = None, entries: int = CACHE_ENTRIES) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset for every piece.
 
     Null and empty texts are one end id.  Rows that repeat a doc_id are packed
     each for itself.  Null doc_ids stay null.  An empty table gives no rows;
-    other columns are not read.  Every sequence is filled gaplessly from 0.
+    other columns are not read.  Every sequence is filled gaplessly from 0.  ``entries`` bounds the
+    words that a Python worker keeps encoded (about 200 bytes each).
     """
-    cut = stored(pieces(docs, capacity, tokenizer), "pieces")
+    cut = stored(pieces(docs, capacity, tokenizer, entries), "pieces")
     # At most ``capacity`` rows.
     histogram = {int(n): int(c) for n, c in cut.groupBy("length").count().collect()}
     keys, firsts, offsets, n_bins = _lookup(plan_bins(histogram, capacity))

@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 
 END_ID = 2
 #: Most words kept by one Python worker; what a batch needs beyond it lives as long as the batch.
-CACHE_ENTRIES = 250_000
+CACHE_ENTRIES = 500_000
 #: New words that go to the library in one call.
 BULK = 2000
 
@@ -111,7 +111,7 @@ def _process_store() -> dict:
     return sys.modules["tokenizers"].__dict__.setdefault("_kept_encoders", {})
 
 
-def encoder(path: str | None = None):
+def encoder(path: str | None = None, entries: int = CACHE_ENTRIES):
     """A function texts -> each text's ids and the end id (little-endian uint32); null texts are empty.
 
     The words of a batch of texts are cut and told apart by Arrow, each different one is looked
@@ -121,13 +121,13 @@ def encoder(path: str | None = None):
     from tokenizers import Tokenizer
 
     kept = _process_store()
-    if path not in kept:
+    if (path, entries) not in kept:
         tok = Tokenizer.from_file(path)
         tok.encode_special_tokens = True  # their strings in a text are ordinary text
         # The cutting rule belongs to the byte-level pattern; other tokenizers get whole texts.
         byte_level = tok.normalizer is None and str(tok.pre_tokenizer).startswith("ByteLevel(add_prefix_space=False")
-        kept[path] = (_Words(tok), byte_level)
-    words, byte_level = kept[path]
+        kept[path, entries] = (_Words(tok, entries), byte_level)
+    words, byte_level = kept[path, entries]
 
     def encode(texts: list) -> list[memoryview]:
         if not byte_level:
@@ -173,9 +173,9 @@ def encoder(path: str | None = None):
 TEXTS, CHARS = 1500, 1 << 21
 
 
-def encoded(batches, columns: list[str], path: str | None = None):
+def encoded(batches, columns: list[str], path: str | None = None, entries: int = CACHE_ENTRIES):
     """(values of ``columns``, ids with the end id) of every row of pandas batches with a text column."""
-    enc = encoder(path)
+    enc = encoder(path, entries)
     for batch in batches:
         texts = [t if isinstance(t, str) else None for t in batch["text"].tolist()]
         values = list(zip(*(batch[c].tolist() for c in columns)))
