@@ -258,7 +258,8 @@ def fit(points: DataFrame, centers, iterations: int = 1, mode: str = "combined",
     elif output_prefix is not None:
         record = RunRecord(spark, output_prefix)
         record.begin(settings)
-    with _kept(pts, persist) as pts:
+    dealt = pts
+    with _kept(dealt, persist) as pts:
         out.points_read = pts
         for r in range(first, iterations + 1):
             t0 = time.perf_counter()
@@ -282,7 +283,7 @@ def fit(points: DataFrame, centers, iterations: int = 1, mode: str = "combined",
             listed = points.select(x, y) if collapse else pts.select(x, y)
             write_assignments(out.assignment(listed, x, y, strategy), iteration_path(output_prefix, "Final"),
                               mode="overwrite" if resume else "errorifexists", sizes=out.sizes())
-    out.points_read = source.select(*cols)
+    out.points_read = dealt
     return out
 
 
