@@ -33,7 +33,7 @@ from .common import WS_CHARS, WS_CLASS, ascii_lower, crc_mod, stored, table
 #: Counts that are discounted.
 K = 5
 #: Tokens in a block; questions in a bucket; share of all tokens that makes a history hot.
-BLOCK_TOKENS, BUCKET_KEYS, HOT_SHARE = 1_500_000, 2_000_000, 1 / 400
+BLOCK_TOKENS, BUCKET_KEYS, HOT_SHARE = 1_500_000, 1_200_000, 1 / 400
 #: Word hash of the end token, the least of all.
 END = 0
 #: Ids: words that training has not seen, the history of a first token (not a token), the end token, then all others.
