@@ -136,7 +136,8 @@ def local_frame(spark: SparkSession, rows, schema: str):
         # Long VALUES texts are slow to parse; larger row sets go through Arrow.
         import pandas as pd
 
-        return spark.createDataFrame(pd.DataFrame(list(rows), columns=[n for n, _ in fields]), schema)
+        # As objects: a null in a column of integers would make them all doubles.
+        return spark.createDataFrame(pd.DataFrame(list(rows), columns=[n for n, _ in fields], dtype=object), schema)
     values = ", ".join("(" + ", ".join(_sql_literal(v) for v in row) + ")" for row in rows)
     cols = ", ".join(f"col{i + 1}" for i in range(len(fields)))
     select = ", ".join(f"CAST(col{i + 1} AS {t}) AS `{n}`" for i, (n, t) in enumerate(fields))

@@ -72,6 +72,25 @@ def test_assignment_keeps_rows_and_columns(spark, scratch, monkeypatch):
         assert got == sorted((k, x, y, *brute.nearest(x, y, list(dict.fromkeys(ctr)))) for k, x, y in pts)
 
 
+@pytest.mark.parametrize("arrow", ["true", "false"])
+def test_an_index_of_many_tiles_is_saved_and_loaded(spark, scratch, arrow):
+    """More tiles than a VALUES list takes, the last of each strip without a cut."""
+    side, spacing = 40, 10
+    index = tiles.build_index(ranked_table(centers_df(spark, [(x * spacing, y * spacing) for x in range(side) for y in range(side)])), per_tile=4)
+    assert index.tiles.n > 256
+    path, kept = scratch("index"), spark.conf.get("spark.sql.execution.arrow.pyspark.enabled")
+    spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", arrow)
+    try:
+        index.save(path)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", kept)
+    again = tiles.TileIndex.load(spark, path).tiles
+    assert again.x_cuts.tolist() == index.tiles.x_cuts.tolist()
+    assert [c.tolist() for c in again.y_cuts] == [c.tolist() for c in index.tiles.y_cuts]
+    for name in ("x0", "x1", "y0", "y1"):
+        assert getattr(again, name).tolist() == getattr(index.tiles, name).tolist()
+
+
 def test_table_search_fails_like_the_list(spark):
     far = [(-2147483648, -2147483648)] + [(-2147483648 + i, -2147483648) for i in range(1, 50)]
     bad = spark.createDataFrame([(1, 1), (None, 3)], "x INT, y INT")
