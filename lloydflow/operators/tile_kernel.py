@@ -46,20 +46,21 @@ class Tiles:
             tile[rows] = self.first[s] + np.searchsorted(self.y_cuts[s], py[rows], "left")
         return tile
 
-    def within(self, px: np.ndarray, py: np.ndarray, reach: np.ndarray, own: int) -> tuple[np.ndarray, np.ndarray]:
-        """(point, tile) pairs: tiles other than ``own`` whose box is at most ``reach`` from the point.
+    def within(self, px: np.ndarray, py: np.ndarray, reach: np.ndarray, own) -> tuple[np.ndarray, np.ndarray]:
+        """(point, tile) pairs: tiles other than ``own`` (one for all, or each point's) whose box is at most ``reach`` from the point.
 
         Distances to a box are rooted the same way as distances to centres, and rounding keeps
         their order, so no centre as near as ``reach`` is lost, ties included.
         """
         wide = reach * (1 + 1e-12) + 1e-9  # a range may only be too large
+        own = np.broadcast_to(own, px.shape)
         low = np.searchsorted(self.strip_x1, px - wide, "left")
         high = np.searchsorted(self.strip_x0, px + wide, "right")
         points, tiles = [], []
         for s in range(int(low.min(initial=0)), int(high.max(initial=0))):
             a, b = self.first[s], self.first[s + 1]
             rows = np.flatnonzero((low <= s) & (s < high))
-            if b - a == 1 and a == own or not len(rows):
+            if not len(rows):
                 continue
             first = a + np.searchsorted(self.y1[a:b], py[rows] - wide[rows], "left")
             last = a + np.searchsorted(self.y0[a:b], py[rows] + wide[rows], "right")
@@ -69,7 +70,7 @@ class Tiles:
             p = rows[pair]
             dx = np.maximum(np.maximum(self.x0[tile] - px[p], px[p] - self.x1[tile]), 0.0)
             dy = np.maximum(np.maximum(self.y0[tile] - py[p], py[p] - self.y1[tile]), 0.0)
-            keep = (np.sqrt(dx * dx + dy * dy) <= reach[p]) & (tile != own)
+            keep = (np.sqrt(dx * dx + dy * dy) <= reach[p]) & (tile != own[p])
             points.append(p[keep])
             tiles.append(tile[keep])
         if not points:
@@ -93,6 +94,18 @@ def nearest_of(px: np.ndarray, py: np.ndarray, cx: np.ndarray, cy: np.ndarray) -
     return nearest_indices(px, py, cx, cy, candidate_cells(cx, cy) if len(px) * len(cx) > _TREE_PAYS else None)
 
 
+def nearest_by_tile(pt: np.ndarray, px: np.ndarray, py: np.ndarray, ct: np.ndarray, cx: np.ndarray, cy: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Index of the nearest centre (first on ties) of each point's own tile ``pt`` and its distance; ``ct`` is in order."""
+    at, d = np.empty(len(pt), np.int64), np.empty(len(pt), np.float64)
+    order = np.argsort(pt, kind="stable")
+    which, starts = np.unique(pt[order], return_index=True)
+    for tile, rows in zip(which, np.split(order, starts[1:])):
+        a, b = np.searchsorted(ct, tile, "left"), np.searchsorted(ct, tile, "right")
+        near, d[rows] = nearest_of(px[rows], py[rows], cx[a:b], cy[a:b])
+        at[rows] = a + near
+    return at, d
+
+
 def sums_by(key: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
     """Distinct keys and the sum of each column per key."""
     order = np.argsort(key, kind="stable")

@@ -2,10 +2,11 @@
 
 ``TileIndex`` cuts the centres into tiles of a few thousand: strips by quantiles of x,
 ranges by quantiles of y inside a strip.  The driver sees only the cuts and
-the bounding box of each tile.  The search is two joins on (tile, salt):
+the bounding box of each tile.  The search is two joins on (pack, salt):
 
 1. Every point meets the centres of the tile it falls in.  A tile with many points
-   is dealt to several salts, and its centres go to each of them; equal points are
+   is dealt to several salts, and its centres go to each of them; tiles with few points
+   are packed together, so that a group is worth its cost.  Equal points are
    merged before they are shuffled, so one repeated point is no hot key.  The
    distance found bounds the true one, and nearly all points lie deeper in their
    tile than that bound.
@@ -32,7 +33,7 @@ from ..functions.constants import INITIAL_BEST_DISTANCE
 from ..session import local_frame, written
 from . import nearest_kernel, tile_kernel
 from .assign import _FAR_MESSAGE, _NULL_MESSAGE
-from .tile_kernel import Tiles, merged, nearest_of, sums_by
+from .tile_kernel import Tiles, merged, nearest_by_tile, sums_by
 
 # Executors need no installed copy of the package: the task functions travel by value.
 for _module in (nearest_kernel, tile_kernel, sys.modules[__name__]):
@@ -41,6 +42,8 @@ for _module in (nearest_kernel, tile_kernel, sys.modules[__name__]):
 #: Centres per tile, and distinct points per join group, aimed at.
 TILE_CENTERS = 1024
 GROUP_POINTS = 200_000
+#: Most tiles with few points that share a join group.
+PACK_TILES = 32
 #: Points that are looked at to size the groups (their share of the table; results don't depend on it).
 SIZING_POINTS = 1_000_000
 
@@ -134,30 +137,42 @@ def _routed(points: DataFrame, tiles: Tiles, x: str, y: str, weight: str | None)
     return plain.mapInPandas(route, "tile INT, x INT, y INT, w BIGINT")
 
 
-def _salts(counts: list[tuple[int, int]], n_tiles: int, factor: float) -> np.ndarray:
-    """Groups per tile from (perhaps sampled) point counts."""
-    out = np.ones(n_tiles, np.int64)
+def _groups(counts: list[tuple[int, int]], n_tiles: int, factor: float) -> pd.DataFrame:
+    """``tile, salts, pack`` from (perhaps sampled) point counts: the groups of a large tile, or the pack of a small one."""
+    points = np.zeros(n_tiles, np.float64)
     for tile, n in counts:
-        out[tile] = max(1, int(np.ceil(n * factor / GROUP_POINTS)))
-    return out
-
-
-def _meet(rows: DataFrame, index: TileIndex, salts: np.ndarray, search, schema: str) -> DataFrame:
-    """``search(points, centres, tile)`` over the groups of (tile, salt), the centres repeated per salt."""
+        points[tile] = n * factor
+    salts = np.maximum(1, np.ceil(points / GROUP_POINTS)).astype(np.int64)
+    packs, pack, held, size = np.empty(n_tiles, np.int64), 0, 0, 0.0
+    for tile in range(n_tiles):
+        if held and (held >= PACK_TILES or size + points[tile] > GROUP_POINTS):
+            pack, held, size = pack + 1, 0, 0.0
+        packs[tile] = pack
+        held, size = held + 1, size + points[tile]
+    return pd.DataFrame({"tile": np.arange(n_tiles), "salts": salts, "pack": packs})
+
+
+def _meet(rows: DataFrame, index: TileIndex, groups: pd.DataFrame, search, schema: str) -> DataFrame:
+    """``search(points, centres)`` over the groups of (pack, salt), the centres repeated per salt."""
     spark = rows.sparkSession
     # One row a tile, as many as the tiling itself.
-    per_tile = F.broadcast(spark.createDataFrame(pd.DataFrame({"tile": np.arange(len(salts)), "salts": salts}), "tile INT, salts INT"))
+    per_tile = F.broadcast(spark.createDataFrame(groups, "tile INT, salts INT, pack INT"))
     salt = F.pmod(F.xxhash64("x", "y"), F.col("salts")).cast("int")
-    left = rows.join(per_tile, "tile").withColumn("salt", salt).drop("salts")
+    left = rows.join(per_tile, "tile").select(F.col("pack").alias("group"), salt.alias("salt"), *[rows[c] for c in rows.columns])
     right = (index.centers.join(per_tile, "tile")
-             .select("tile", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "rank", "x", "y"))
+             .select(F.col("pack").alias("group"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "tile", "rank", "x", "y"))
+
+    def group(points: pd.DataFrame, centres: pd.DataFrame) -> pd.DataFrame:
+        return search(points if len(points) else None, centres)
+
+    return left.groupBy("group", "salt").cogroup(right.groupBy("group", "salt")).applyInPandas(group, schema)
 
-    def group(key: tuple, points: pd.DataFrame, centres: pd.DataFrame) -> pd.DataFrame:
-        if not len(points):
-            return search(None, None, None)
-        return search(points, centres.sort_values("rank"), int(key[0]))
 
-    return left.groupBy("tile", "salt").cogroup(right.groupBy("tile", "salt")).applyInPandas(group, schema)
+def _in_order(centres: pd.DataFrame) -> tuple[np.ndarray, ...]:
+    """``tile, x, y, rank`` of a group's centres by tile and rank."""
+    tile, cx, cy, rank = (centres[c].to_numpy(np.int32) for c in ("tile", "x", "y", "rank"))
+    order = np.lexsort((rank, tile))
+    return tile[order], cx[order], cy[order], rank[order]
 
 
 def _frame(size: int, **columns) -> pd.DataFrame:
@@ -167,14 +182,15 @@ def _frame(size: int, **columns) -> pd.DataFrame:
 
 def _first_search(tiles: Tiles, mode: str | None):
     """Search of the own tile: settled points (summed per centre if ``mode`` is given) and those that may do better elsewhere."""
-    def search(points, centres, tile):
+    def search(points, centres):
         if points is None:
             return _frame(0)
         px, py, w = merged(points["x"].to_numpy(np.int32), points["y"].to_numpy(np.int32), points["w"].to_numpy(np.int64))
         fx, fy = px.astype(np.float64), py.astype(np.float64)
-        cx, cy, rank = (centres[c].to_numpy(np.int32) for c in ("x", "y", "rank"))
-        at, d = nearest_of(fx, fy, cx.astype(np.float64), cy.astype(np.float64))
-        p, t = tiles.within(fx, fy, d, tile)
+        ct, cx, cy, rank = _in_order(centres)
+        own = tiles.tile_of(fx, fy)
+        at, d = nearest_by_tile(own, fx, fy, ct, cx.astype(np.float64), cy.astype(np.float64))
+        p, t = tiles.within(fx, fy, d, own)
         order = np.argsort(p, kind="stable")
         p, t = p[order], t[order]
         which, starts = np.unique(p, return_index=True)
@@ -197,12 +213,13 @@ def _first_search(tiles: Tiles, mode: str | None):
     return search
 
 
-def _second_search(points, centres, tile):
+def _second_search(points, centres):
     """The nearest centre of another tile for each point sent there."""
     if points is None:
         return pd.DataFrame({c: [] for c in ("x", "y", "d", "rank", "center_x", "center_y")})
-    cx, cy, rank = (centres[c].to_numpy(np.int32) for c in ("x", "y", "rank"))
-    at, d = nearest_of(points["x"].to_numpy(np.float64), points["y"].to_numpy(np.float64), cx.astype(np.float64), cy.astype(np.float64))
+    ct, cx, cy, rank = _in_order(centres)
+    px, py = points["x"].to_numpy(np.float64), points["y"].to_numpy(np.float64)
+    at, d = nearest_by_tile(points["tile"].to_numpy(), px, py, ct, cx.astype(np.float64), cy.astype(np.float64))
     return pd.DataFrame({"x": points["x"].to_numpy(), "y": points["y"].to_numpy(), "d": d, "rank": rank[at],
                          "center_x": cx[at], "center_y": cy[at]})
 
@@ -214,12 +231,12 @@ def _search(points: DataFrame, index: TileIndex, x: str, y: str, weight: str | N
     sized = points.sample(False, share, 7) if share < 1 else points
     counts = [tuple(r) for r in _routed(sized, tiles, x, y, weight).groupBy("tile").count().collect()]  # a row a tile
     routed = _routed(points, tiles, x, y, weight)
-    found = written(_meet(routed, index, _salts(counts, tiles.n, 1 / share), _first_search(tiles, mode), FOUND), "first-search")
+    found = written(_meet(routed, index, _groups(counts, tiles.n, 1 / share), _first_search(tiles, mode), FOUND), "first-search")
     settled = found.filter("tiles IS NULL")
     near = found.filter("tiles IS NOT NULL").select("x", "y", "w", "d", "rank", "center_x", "center_y", "tiles")
     sent = near.select("x", "y", F.explode("tiles").alias("tile"))
     counts = [tuple(r) for r in sent.groupBy("tile").count().collect()]
-    other = _meet(sent, index, _salts(counts, tiles.n, 1), _second_search, "x INT, y INT, d DOUBLE, rank INT, center_x INT, center_y INT")
+    other = _meet(sent, index, _groups(counts, tiles.n, 1), _second_search, "x INT, y INT, d DOUBLE, rank INT, center_x INT, center_y INT")
     both = near.drop("tiles").unionByName(other.withColumn("w", F.lit(0).cast("long")))
     best = both.groupBy("x", "y").agg(F.sum("w").alias("w"), F.min(F.struct("d", "rank", "center_x", "center_y")).alias("b"))
     return settled, best.select("x", "y", "w", "b.*")
