@@ -200,6 +200,27 @@ def test_language_filter_keeps_clean_texts(spark):
     assert lang_id.accepted(documents(spark, [])).count() == 0
 
 
+def test_language_floors_come_from_all_labelled_rows(spark, monkeypatch):
+    """More labelled rows than once were looked at: every one counts in its length's mean and deviation."""
+    words = ["haus", "baum", "wasser", "tree", "house", "water", "maison", "arbre"]
+    rows = [(i, " ".join(words[(i * k) % 8] for k in range(1, 2 + i % 4)), "de" if i % 3 else "fr", None) for i in range(30_000)]
+    docs, found, learn = documents(spark, rows), [], lang_id.score_floors
+
+    def kept(*a, **k):
+        found.append(learn(*a, **k))
+        return found[-1]
+
+    monkeypatch.setattr(lang_id, "score_floors", kept)
+    lang_id.accepted(docs).count()
+    labelled = docs.filter(lang_id.crc_mod(docs["doc_id"], 4) != 2)
+    languages, prototypes = lang_id.train(labelled.select("text", "lang"))
+    scored = lang_id.predict(labelled, languages, prototypes).select("score", lang_id.length_class("_row.text").alias("c")).toPandas()
+    groups = {int(c): g["score"].to_numpy() for c, g in scored.groupby("c")}
+    exact = {c: v.mean() - lang_id.SPREAD * v.std() for c, v in groups.items() if len(v) >= lang_id.FLOOR_LEAST}
+    assert len(scored) > 20_000 and len(exact) > 1 and found[0].keys() == exact.keys()
+    assert all(abs(found[0][c] - exact[c]) < 1e-9 for c in exact)
+
+
 def test_bundles_in_slices_and_parts(monkeypatch):
     texts = ["some words of a text", "x" * 40, "", "other words"] * 5
     letters = lang_id.letter_vectors(64)
