@@ -28,6 +28,8 @@ BLOCK = 256
 PERCENTILE = 90
 #: An image is closed when it holds this many ids (a longer document makes a longer image).
 IMAGE_IDS = 1 << 18
+#: Words that a worker keeps encoded, texts and code points that are encoded together: there is room beside the images.
+KEPT_WORDS, TEXTS, CHARS = 1_000_000, 3000, 1 << 22
 
 
 def _pack_bits(values: np.ndarray, w: int) -> np.ndarray:
@@ -158,7 +160,7 @@ def write_tokens(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
             ids = np.frombuffer(b"".join(chunks), "<u4")
             return pd.DataFrame({"part": [part], "seq": [seq], "n_ids": [n], "data": [image(doc_ids, lengths, ids)]})
 
-        for (d,), data in encoded(batches, ["doc_id"], tokenizer):
+        for (d,), data in encoded(batches, ["doc_id"], tokenizer, KEPT_WORDS, TEXTS, CHARS):
             doc_ids.append(None if d is None or d != d else int(d))
             lengths.append(len(data) // 4)
             chunks.append(data)

@@ -42,6 +42,7 @@ _LATIN = "\u024f"
 # Byte-level vocabularies write a byte as a letter: printable ones as themselves, the others as U+0100 and up, in order.
 _PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _BYTE_LETTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+_SPACE = chr(_BYTE_LETTERS[32])
 
 
 class _Words(dict):
@@ -82,12 +83,14 @@ class _Words(dict):
             letters = w[1:] if w[:1] == "\n" else w
             if not letters.isalpha():
                 continue  # one by one, when asked for
-            if max(letters) > _LATIN:
+            if letters.isascii():  # ASCII letters stand for themselves
+                mapped = letters
+            elif max(letters) > _LATIN:
                 rest.append(w)
-            elif letters is w:
-                self.keep(w, _packed(tokenize((" " + w).encode().decode("latin-1").translate(_BYTE_LETTERS))))
+                continue
             else:
-                self.keep(w, lead + _packed(tokenize(letters.encode().decode("latin-1").translate(_BYTE_LETTERS))))
+                mapped = letters.encode().decode("latin-1").translate(_BYTE_LETTERS)
+            self.keep(w, _packed(tokenize(_SPACE + mapped)) if letters is w else lead + _packed(tokenize(mapped)))
         for mark, some in ((" ", [w for w in rest if w[0] != "\n"]), ("\n", [w for w in rest if w[0] == "\n"])):
             for at in range(0, len(some), BULK):
                 part = some[at:at + BULK]
@@ -137,21 +140,24 @@ def encoder(path: str | None = None, entries: int = CACHE_ENTRIES):
         coded = pieces.flatten().dictionary_encode()
         at, distinct = coded.indices.to_numpy(), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         begin = np.asarray(pieces.offsets, np.int64) - pieces.offsets[0].as_py()
+        ids = [*map(words.get, distinct)]
         # An empty word, or one with white space at an end: the text has white space side by side, or at an end.
-        new = [i for i, w in enumerate(distinct) if w not in words]
+        new = [i for i, raw in enumerate(ids) if raw is None]
         loose = np.zeros(len(distinct), bool)
-        loose[[i for i in new if (w := distinct[i]) in ("", "\n") or w[w[0] == "\n":].strip() != w[w[0] == "\n":]]] = True
+        loose[[i for i in new if not (w := distinct[i]).isalnum() and (w in ("", "\n") or w[w[0] == "\n":].strip() != w[w[0] == "\n":])]] = True
         empty = np.array([not t for t in texts], bool)
         whole = np.logical_or.reduceat(loose[at], begin[:-1]) & ~empty if loose.any() else np.zeros(len(texts), bool)
-        words.learn([distinct[i] for i in new if not loose[i]])
+        learnt = [i for i in new if not loose[i]]
+        words.learn([distinct[i] for i in learnt])
+        for i in learnt:
+            ids[i] = words[distinct[i]]
         lead = words.raw("\n")
         # Words that only such texts hold are not looked up; an empty text is its mark alone.
         for i in np.flatnonzero(loose):
-            distinct[i] = "\n"
-        words.spare["\n"] = lead
-        ids = [*map(words.__getitem__, distinct), END_BYTES]
+            ids[i] = lead
+        ids.append(END_BYTES)
         # A text has fewer than 2 ** 31 ids, so 32 bits index them.
-        sizes = np.array([len(i) // 4 for i in ids], np.int32)
+        sizes = np.fromiter(map(len, ids), np.int32, len(ids)) // 4
         flat, starts = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(sizes, dtype=np.int32) - sizes
         at = np.insert(at, begin[1:], len(ids) - 1)  # the end id after each text
         begin = begin + np.arange(len(begin))
@@ -173,22 +179,22 @@ def encoder(path: str | None = None, entries: int = CACHE_ENTRIES):
 TEXTS, CHARS = 1500, 1 << 21
 
 
-def encoded(batches, columns: list[str], path: str | None = None, entries: int = CACHE_ENTRIES):
+def encoded(batches, columns: list[str], path: str | None = None, entries: int = CACHE_ENTRIES, texts_at_once: int = TEXTS, chars: int = CHARS):
     """(values of ``columns``, ids with the end id) of every row of pandas batches with a text column."""
     enc = encoder(path, entries)
     for batch in batches:
         texts = [t if isinstance(t, str) else None for t in batch["text"].tolist()]
         values = list(zip(*(batch[c].tolist() for c in columns)))
-        for at in cuts(texts):
+        for at in cuts(texts, texts_at_once, chars):
             yield from zip(values[at], enc(texts[at]))
 
 
-def cuts(texts: list) -> list[slice]:
-    """Runs of at most ``TEXTS`` texts and about ``CHARS`` code points; a longer text is a run of its own."""
+def cuts(texts: list, most: int = TEXTS, most_chars: int = CHARS) -> list[slice]:
+    """Runs of at most ``most`` texts and about ``most_chars`` code points; a longer text is a run of its own."""
     out, start, chars = [], 0, 0
     for i, t in enumerate(texts):
         n = len(t) if t else 0
-        if i > start and (i - start >= TEXTS or chars + n > CHARS):
+        if i > start and (i - start >= most or chars + n > most_chars):
             out.append(slice(start, i))
             start, chars = i, 0
         chars += n
