@@ -35,7 +35,7 @@ RECALL = 0.9999
 #: Sampled shingles per run, over 1 / similarity; sketch entries that split a node.
 OVERSAMPLE, BRANCH = 1.5, 2
 #: Buckets up to this size are compared by brute force; levels of splitting.
-SMALL, DEPTH = 512, 4
+SMALL, DEPTH = 1024, 4
 BINS = 128
 #: Estimated similarity that ties two documents of a small bucket, that ties one to the pivot of a large bucket,
 #: and from which it leaves the large bucket.  1 - J is a metric: a partner of a document that leaves is itself

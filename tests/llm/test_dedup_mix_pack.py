@@ -334,3 +334,14 @@ def test_pipeline_stages(spark, tmp_path):
     for _, stage in corpus_pipeline.STAGES:
         empty_out = stage(spark, empty, "")
         assert empty_out.count() == 0
+
+
+def test_middling_buckets_are_compared_not_split(spark, monkeypatch):
+    """Unlike texts that share one shingle have no children up to the size that is compared in full."""
+    rng = np.random.default_rng(4)
+    rows = [(i, [7], bytearray((rng.integers(1, 1 << 16, jaccard_join.BINS) if i else np.ones(jaccard_join.BINS)).astype(np.uint16).tobytes()))
+            for i in range(700)]
+    rows.append((700, [7], rows[699][2]))
+    monkeypatch.setattr(jaccard_join, "_split", lambda members: (_ for _ in ()).throw(AssertionError("split")))
+    ties = jaccard_join._ties(spark.createDataFrame(rows, "row long, keys array<long>, sketch binary"))
+    assert {tuple(sorted(r)) for r in ties.collect()} == {(699, 700)}
