@@ -250,7 +250,8 @@ def _ties(sets: DataFrame) -> DataFrame:
             indexed = stored(cell_index(rest, ["bucket"], ["row"], "_i"), "unsplit")
             found.append(_block_pairs(indexed, "bucket", BLOCK, ["row", "sketch"], _block_ties, "a long, b long"))
         else:
-            buckets = _split(rest)
+            # Counted and joined above: written, so that no child is made twice.
+            buckets = stored(_split(rest), "children", light=True)
     edges = _brute(_union(small))
     return _union([edges, *found]).distinct()
 

@@ -336,6 +336,27 @@ def test_pipeline_stages(spark, tmp_path):
         assert empty_out.count() == 0
 
 
+def test_jaccard_join_makes_each_child_once(spark, monkeypatch):
+    """The levels of splitting make BRANCH children a member, however often the buckets are read."""
+    monkeypatch.setattr(jaccard_join, "SMALL", 32)
+    made, members, split = spark.sparkContext.accumulator(0), [], jaccard_join._split
+
+    def tally(batches):
+        for b in batches:
+            made.add(len(b))
+            yield b
+
+    def counted(d):
+        members.append(d.count())
+        return split(d).mapInPandas(tally, "bucket long, row long")
+
+    monkeypatch.setattr(jaccard_join, "_split", counted)
+    rows = common_passage(200)
+    got = jaccard_join.jaccard_classes(documents(spark, rows)).collect()
+    assert sorted(((r["doc_id"], r["class_id"], r["n_links"]) for r in got), key=str) == brute_jaccard(rows)
+    assert sum(members) and made.value == jaccard_join.BRANCH * sum(members)
+
+
 def test_middling_buckets_are_compared_not_split(spark, monkeypatch):
     """Unlike texts that share one shingle have no children up to the size that is compared in full."""
     rng = np.random.default_rng(4)
